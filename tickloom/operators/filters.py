@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tickloom.functions import scalars as sc
 from tickloom.operators.sizes import small_side
+from tickloom.specs.base import as_schema
 
 # Longest ticker list written into the plan itself.
 MAX_INLINE = 1000
@@ -170,17 +171,17 @@ def filter_option_earnings(
     return filter_earnings(keyed, windows, date, "_underlying").drop("_underlying")
 
 
-def schema_diff(df: DataFrame, schema: T.StructType) -> DataFrame:
+def schema_diff(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """Declared columns the data lacks and data columns not declared: (side, field)."""
-    have, want = set(df.columns), set(schema.fieldNames())
+    have, want = set(df.columns), set(as_schema(schema).fieldNames())
     rows = [("missing_in_record", n) for n in sorted(want - have)]
     rows += [("missing_in_schema", n) for n in sorted(have - want)]
     return df.sparkSession.createDataFrame(rows, "side string, field string")
 
 
-def record_drift(records: DataFrame, schema: T.StructType, record: str = "record") -> DataFrame:
+def record_drift(records: DataFrame, schema: T.StructType | str, record: str = "record") -> DataFrame:
     """As :func:`schema_diff` for landed records: fields by side, with record counts."""
-    names = F.array(*[F.lit(n) for n in schema.fieldNames()])
+    names = F.array(*[F.lit(n) for n in as_schema(schema).fieldNames()])
     keys = F.map_keys(F.try_variant_get(record, "$", "map<string,variant>"))
     missing = F.transform(
         F.array_except(names, keys),

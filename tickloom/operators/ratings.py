@@ -66,7 +66,7 @@ def rolling_accounts(
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_distinct(account).alias("total_accounts"),
     )
-    active = spend.groupBy(by, account, date).agg()
+    active = spend.select(by, account, date).distinct()
     following = F.lead(date).over(Window.partitionBy(by, account).orderBy(date))
     spans = active.select(
         by,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions import scalars as sc
+from tickloom.specs.base import as_schema
 
 FILE_GLOB = "*.{csv,csv.gz}"
 
@@ -36,9 +37,9 @@ def _dated(df: DataFrame) -> DataFrame:
     )
 
 
-def coerce(df: DataFrame, schema: T.StructType) -> DataFrame:
+def coerce(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """Cast text columns to ``schema``; a value that does not fit becomes NULL."""
-    return df.select(*[_coerced(df, f) for f in schema.fields])
+    return df.select(*[_coerced(df, f) for f in as_schema(schema).fields])
 
 
 def _coerced(df: DataFrame, field: T.StructField) -> Column:
@@ -75,7 +76,7 @@ def prune_dates(
 def scan_flat_files(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType,
+    schema: T.StructType | str,
     start: str | None = None,
     end: str | None = None,
     bookmark: str | None = None,
@@ -93,13 +94,13 @@ def scan_flat_files(
 
 
 def scan_quotes(
-    spark: SparkSession, path: str | list[str], schema: T.StructType
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str
 ) -> DataFrame:
     """Strictly typed quote files: one bad value fails the job.
 
     Adds ``file_date`` and the source ``file_path``.
     """
-    types = {f.name: f.dataType for f in schema.fields}
+    types = {f.name: f.dataType for f in as_schema(schema).fields}
     names = _header(spark, path)
     missing = sorted(set(types) - set(names) - {"file_date"})
     if missing:
@@ -123,7 +124,7 @@ def scan_quotes(
 def stream_flat_files(
     spark: SparkSession,
     path: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     header: list[str] | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:

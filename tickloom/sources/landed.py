@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.specs.base import as_schema
+
 
 def read_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per landed file, with its text in ``payload``."""
@@ -65,7 +67,7 @@ def record_field(
 
 def read_records(
     exploded: DataFrame,
-    schema: T.StructType,
+    schema: T.StructType | str,
     code_map: dict[str, str] | None = None,
     context: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -79,6 +81,6 @@ def read_records(
         codes[name] = (*codes.get(name, ()), code)
     cols = [
         F.col(f.name) if f.name in context else record_field(f, codes.get(f.name, ()))
-        for f in schema.fields
+        for f in as_schema(schema).fields
     ]
     return exploded.select(*cols)

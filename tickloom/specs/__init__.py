@@ -1,0 +1,6 @@
+from tickloom.specs.base import TableSpec, conform  # noqa: F401
+
+TABLES: dict[str, TableSpec] = {}
+_B="file_date string, ticker string, window_start bigint, open double, close double, high double, low double, volume double, vwap double, transactions bigint, otc boolean"
+TABLES["stocks_flat_files_eod"]=TableSpec("stocks_flat_files_eod",_B,("file_date","ticker","window_start"),"file_date")
+TABLES["stock_bars_1_day"]=TableSpec("stock_bars_1_day","timestamp timestamp,ticker string,open double,high double,low double,close double,volume double,decimal_volume string,vwap double,transactions bigint,source_feed string,otc boolean,active boolean",("timestamp","ticker"),"timestamp")

@@ -5,9 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def as_schema(schema: T.StructType | str) -> T.StructType:
+    """A schema given as one or as DDL text (which needs a running session)."""
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """One declared table. ``ddl`` is its schema as Spark DDL text."""
@@ -19,7 +25,17 @@ class TableSpec:
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.ddl)
+        return as_schema(self.ddl)
 
     def empty(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([], self.schema)
+
+
+def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """``df`` in the table's columns and types; columns it lacks are NULL."""
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in spec.schema.fields
+        ]
+    )
