@@ -22,7 +22,9 @@ def write_table(
     in the batch is replaced. Range partitioning on (date, key) gives every task a
     slice of few dates and splits a large date over many tasks.
     """
-    keys = [k for k in spec.primary_keys if k in df.columns]
+    keys = list(spec.primary_keys)
+    if not set(keys) <= set(df.columns):
+        raise ValueError(f"{spec.name} is keyed by {keys}; the data has {df.columns}")
     once = dedupe(df, keys, order or keys, keep="last")
     others = [k for k in keys if k != partition]
     (

@@ -1,6 +1,13 @@
-from tickloom.specs.base import TableSpec, conform  # noqa: F401
+"""The table registry: name to :class:`TableSpec`."""
 
-TABLES: dict[str, TableSpec] = {}
-_B="file_date string, ticker string, window_start bigint, open double, close double, high double, low double, volume double, vwap double, transactions bigint, otc boolean"
-TABLES["stocks_flat_files_eod"]=TableSpec("stocks_flat_files_eod",_B,("file_date","ticker","window_start"),"file_date")
-TABLES["stock_bars_1_day"]=TableSpec("stock_bars_1_day","timestamp timestamp,ticker string,open double,high double,low double,close double,volume double,decimal_volume string,vwap double,transactions bigint,source_feed string,otc boolean,active boolean",("timestamp","ticker"),"timestamp")
+from tickloom.specs.base import TableSpec, as_schema, conform  # noqa: F401
+from tickloom.specs.fundamentals import fundamental_tables
+from tickloom.specs.markets import market_tables
+from tickloom.specs.reference import reference_tables
+from tickloom.specs.vendors import vendor_tables
+
+TABLES: dict[str, TableSpec] = {
+    table.name: table
+    for family in (market_tables, reference_tables, fundamental_tables, vendor_tables)
+    for table in family()
+}

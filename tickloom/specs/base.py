@@ -16,12 +16,16 @@ def as_schema(schema: T.StructType | str) -> T.StructType:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """One declared table. ``ddl`` is its schema as Spark DDL text."""
+    """One declared table. ``ddl`` is its schema as Spark DDL text.
+
+    ``surrogate`` lists the identity columns of a table keyed by a surrogate.
+    """
 
     name: str
     ddl: str
     primary_keys: tuple[str, ...]
     replication_key: str | None = None
+    surrogate: tuple[str, ...] = ()
 
     @property
     def schema(self) -> T.StructType:
@@ -31,11 +35,40 @@ class TableSpec:
         return spark.createDataFrame([], self.schema)
 
 
-def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
+def spec(
+    name: str, keys: str, ddl: str, since: str | None = None, surrogate: str = ""
+) -> TableSpec:
+    """A table with its key columns given as words."""
+    return TableSpec(name, ddl, tuple(keys.split()), since, tuple(surrogate.split()))
+
+
+def each(kind: str, names: str) -> str:
+    """DDL of several columns of one type."""
+    return ", ".join(f"`{n}` {kind}" for n in names.split())
+
+
+def nested(name: str, ddl: str) -> str:
+    """DDL of a nested object, from the DDL of its fields."""
+    fields = ", ".join(f"{n}: {kind}" for n, kind in _fields(ddl))
+    return f"`{name}` struct<{fields}>"
+
+
+def _fields(ddl: str) -> list[tuple[str, str]]:
+    """Name and type of each top-level column of DDL text."""
+    parts, depth, start = [], 0, 0
+    for i, ch in enumerate(ddl + ","):
+        depth += (ch == "<") - (ch == ">")
+        if ch == "," and depth == 0:
+            parts.append(ddl[start:i].strip())
+            start = i + 1
+    return [tuple(p.split(" ", 1)) for p in parts if p]
+
+
+def conform(df: DataFrame, table: TableSpec) -> DataFrame:
     """``df`` in the table's columns and types; columns it lacks are NULL."""
     return df.select(
         *[
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in spec.schema.fields
+            for f in table.schema.fields
         ]
     )
