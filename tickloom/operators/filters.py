@@ -153,11 +153,13 @@ def filter_earnings(
     ``windows`` is (ticker, snapshot_date). As a broadcast semi-join it also prunes
     the date partitions that no window touches.
     """
-    wanted = windows.select(
+    # Spark prunes partitions by the other side of a join only where that side is
+    # itself filtered; no window has an empty ticker.
+    wanted = windows.where(F.col("ticker") != "").select(
         F.col("snapshot_date").cast(df.schema[date].dataType).alias(date),
         F.col("ticker").alias("_ticker"),
-    ).distinct()
-    side = small_side(wanted)
+    )
+    side = small_side(wanted.distinct())
     return df.join(
         side, (df[date] == side[date]) & (df[ticker] == side["_ticker"]), "left_semi"
     )

@@ -100,3 +100,13 @@ def expand_contracts(
     """
     return contracts.join(small_side(underlyings.select(key).distinct()), key)
 
+
+
+def upsert(
+    existing: DataFrame, batch: DataFrame, keys: list[str], order: list[str]
+) -> DataFrame:
+    """Both tables with one row per key: the last by ``order``, the batch on ties."""
+    both = existing.withColumn("_batch", F.lit(0)).unionByName(
+        batch.withColumn("_batch", F.lit(1)), allowMissingColumns=True
+    )
+    return dedupe(both, keys, [*order, "_batch"], keep="last").drop("_batch")
