@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars as sc
-from tickloom.operators.sizes import small_side
+from tickloom.operators.sizes import by_date
 
 # --- fixed values -----------------------------------------------------------
 # Length of one unit of a bar size, in nanoseconds.
@@ -97,7 +97,7 @@ def daily_ticker_summary(trades: DataFrame, calendar: DataFrame) -> DataFrame:
     ns = F.col("sip_timestamp")
     before, after = ns < F.col("open_ns"), ns >= F.col("close_ns")
     moment = F.struct("sip_timestamp", "sequence_number", "price")
-    days = small_side(calendar.select(F.col("date").alias("from"), "open_ns", "close_ns"))
+    days = by_date(calendar.select(F.col("date").alias("from"), "open_ns", "close_ns"))
     return (
         trades.withColumn("from", sc.ns_to_date(ns))
         .join(days, "from")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars as sc
-from tickloom.operators.sizes import small_side
+from tickloom.operators.sizes import by_date
 
 # --- fixed values -----------------------------------------------------------
 # New York session hours.
@@ -135,7 +135,7 @@ def earnings_windows(
     )
     return (
         listed.select("ticker", "date")
-        .join(small_side(around), "date")
+        .join(by_date(around), "date")
         .select("ticker", F.explode(days).alias("snapshot_date"))
         .where(F.col("snapshot_date").isNotNull())
         .distinct()

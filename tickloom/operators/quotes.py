@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars as sc
-from tickloom.operators.sizes import small_side
+from tickloom.operators.sizes import by_date, small_side
 
 
 @dataclass(frozen=True)
@@ -160,7 +160,7 @@ def on_session_grid(
     days = F.sequence(
         sc.ns_to_date(F.col("_open") - step + 1), sc.ns_to_date(F.col("_last"))
     )
-    by_day = small_side(reach.withColumn("_day", F.explode(days)))
+    by_day = by_date(reach.withColumn("_day", F.explode(days)))
     return (
         quotes.withColumn("_day", sc.ns_to_date(time))
         .join(by_day, "_day")

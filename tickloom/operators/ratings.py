@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.bars import last_by_ticker
-from tickloom.operators.sizes import small_side
+from tickloom.operators.sizes import by_date, small_side
 
 # --- fixed values -----------------------------------------------------------
 # Ratings from worst to best, valued 1 to 5.
@@ -123,7 +123,7 @@ def coverage_gaps(
         *by,
         F.explode(F.sequence(F.date_add("date", 1), F.date_sub("_next", 1))).alias("date"),
     )
-    return inside.join(small_side(calendar.select("date")), "date", "left_semi").select(
+    return inside.join(by_date(calendar.select("date")), "date", "left_semi").select(
         *by, "date"
     )
 

@@ -30,11 +30,11 @@ def explode_results(
     df = pages.withColumn("_page", F.try_parse_json(payload)).drop(payload)
     page = F.col("_page")
     as_list = F.try_variant_get(page, "$", "array<variant>")
-    as_map = F.try_variant_get(page, "$", "map<string,variant>")
     listed = F.try_variant_get(page, "$.results", "array<variant>")
     single = F.try_variant_get(page, "$.results", "variant")
+    # A JSON null under "results" is a variant null, only an absent key is NULL.
     in_object = F.when(
-        F.map_contains_key(as_map, "results"), F.coalesce(listed, F.array(single))
+        single.isNotNull(), F.coalesce(listed, F.array(single))
     ).otherwise(F.array(page))
     df = df.withColumn("record", F.explode(F.coalesce(as_list, in_object))).drop("_page")
     if inner:
