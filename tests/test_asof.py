@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from tickloom.operators import asof
 from tickloom.operators.asof import asof_backward
 
 
@@ -44,16 +45,23 @@ def test_plain(spark, rows, seed):
     assert run(spark, left, right, rows) == brute(left, right)
 
 
-@pytest.mark.parametrize("pieces", [2, 7, 64])
-def test_hot_keys_in_pieces(spark, rows, pieces):
+@pytest.mark.parametrize("hot_rows, stride", [(300, 128), (60, 3), (5, 2), (1, 128)])
+def test_hot_keys_in_pieces(spark, rows, monkeypatch, hot_rows, stride):
+    monkeypatch.setattr(asof, "STRIDE", stride)
     left, right = data(11)
-    assert run(spark, left, right, rows, hot_rows=50, pieces=pieces) == brute(left, right)
+    assert run(spark, left, right, rows, hot_rows=hot_rows) == brute(left, right)
 
 
 def test_hot_key_with_marks_only_at_the_start(spark, rows):
     left = [("hot", t, t) for t in range(300)]
     right = [("hot", 5, 1), ("hot", 5, 2), ("cold", 0, 3)]
-    assert run(spark, left, right, rows, hot_rows=20, pieces=9) == brute(left, right)
+    assert run(spark, left, right, rows, hot_rows=20) == brute(left, right)
+
+
+def test_all_rows_at_one_time(spark, rows):
+    left = [("hot", 7, i) for i in range(200)]
+    right = [("hot", 7, 1000 + i) for i in range(200)]
+    assert run(spark, left, right, rows, hot_rows=50) == brute(left, right)
 
 
 def test_nothing_before(spark, rows):

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from tickloom.operators.sizes import small_side
 from tickloom.session import checkpointed
 
-# Rows of one key that one task may sort, and pieces a larger key is cut into.
+# Rows of one key that one task may sort. A larger key is cut into pieces of about
+# this size, at most this many.
 HOT_ROWS = 20_000_000
-PIECES = 256
+MAX_PIECES = 16_384
+# Bounds are looked up in two steps, first among every so-many-th.
+STRIDE = 128
 
 
 def asof_backward(
@@ -22,15 +25,14 @@ def asof_backward(
     tie: tuple[str, ...] = (),
     prefix: str = "",
     hot_rows: int = HOT_ROWS,
-    pieces: int = PIECES,
 ) -> DataFrame:
     """Every left row with the last right row at or before its time, or NULLs.
 
     Right columns other than the keys are added, with ``prefix``. Among right rows
     of one time the last by ``tie`` wins. Both sides are sorted together by time
     within a key, in one shuffle. A key with more than ``hot_rows`` rows is cut into
-    pieces at its own time quantiles, each piece starting from the last right row
-    before it.
+    pieces of about that size at its own time quantiles, each piece starting from the
+    last right row before it.
     """
     by = [by] if isinstance(by, str) else list(by)
     values = [c for c in right.columns if c not in by]
@@ -43,7 +45,7 @@ def asof_backward(
         F.struct(*[F.col(c) for c in tie], F.lit(0)).alias("_tie"),
         F.struct(*values).alias("_mark"),
     )
-    bounds = _time_bounds(rows, marks, by, hot_rows, pieces)
+    bounds = _time_bounds(rows, marks, by, hot_rows)
     if bounds is None:
         matched = _match(rows, marks, by)
     else:
@@ -68,34 +70,42 @@ def _match(rows: DataFrame, marks: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def _time_bounds(
-    rows: DataFrame, marks: DataFrame, by: list[str], hot_rows: int, pieces: int
+    rows: DataFrame, marks: DataFrame, by: list[str], hot_rows: int
 ) -> DataFrame | None:
     """Time quantiles of every hot key, written once; None when no key is hot."""
     times = rows.select(*by, "_t").unionByName(marks.select(*by, "_t")).dropna()
-    hot = (
-        times.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .drop("_n")
-    )
-    if hot.isEmpty():
+    counts = times.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    hot = checkpointed(counts.where(F.col("_n") > hot_rows))
+    largest = hot.agg(F.max("_n").alias("n")).first().n
+    if largest is None:
         return None
-    cuts = [i / pieces for i in range(1, pieces)]
-    quantiles = F.percentile_approx("_t", cuts, 100 * pieces)
+    pieces = min(MAX_PIECES, largest // hot_rows + 1)
+    cuts = [i / pieces for i in range(1, pieces)] or [0.5]
+    quantiles = F.percentile_approx("_t", cuts, max(10_000, 4 * pieces))
+    # A key of average heat needs only some of the cuts.
+    step = F.greatest(F.lit(1), F.floor(F.lit(largest) / F.col("_n"))).cast("int")
+    some = F.filter("_cuts", lambda x, i: F.pmod(i, F.col("_step")) == 0)
     bounds = (
-        times.join(small_side(hot), by, "left_semi")
-        .groupBy(*by)
-        .agg(F.array_sort(F.array_distinct(quantiles)).alias("_bounds"))
+        times.join(small_side(hot.withColumn("_step", step).drop("_n")), by)
+        .groupBy(*by, "_step")
+        .agg(quantiles.alias("_cuts"))
+        .select(*by, F.array_sort(F.array_distinct(some)).alias("_bounds"))
+        .withColumn("_coarse", F.filter("_bounds", lambda x, i: F.pmod(i, F.lit(STRIDE)) == 0))
     )
-    # Quantiles are approximate, so both uses below must see the same ones.
+    # Quantiles are approximate, so all uses below must see the same ones.
     return checkpointed(bounds)
 
 
-def _piece(t: Column, bounds: Column) -> Column:
+def _piece(t: Column, bounds: Column, coarse: Column) -> Column:
     """Even numbers lie between bounds, odd ones are the bounds themselves."""
-    below = F.size(F.filter(bounds, lambda b: b < t))
-    on = F.array_contains(bounds, t).cast("int")
-    return F.when(bounds.isNull() | t.isNull(), F.lit(0)).otherwise(below * 2 + on)
+    block = F.size(F.filter(coarse, lambda b: b < t))
+    start = F.greatest(block - 1, F.lit(0)) * STRIDE
+    inside = F.slice(bounds, start + 1, F.lit(STRIDE))
+    below = start + F.size(F.filter(inside, lambda b: b < t))
+    on = (F.get(bounds, below) == t).cast("int")
+    return F.when(bounds.isNull() | t.isNull(), F.lit(0)).otherwise(
+        below * 2 + F.coalesce(on, F.lit(0))
+    )
 
 
 def _match_in_pieces(
@@ -105,8 +115,8 @@ def _match_in_pieces(
 
     def cut(df: DataFrame) -> DataFrame:
         joined = df.join(side, by, "left")
-        piece = _piece(F.col("_t"), F.col("_bounds"))
-        return joined.withColumn("_piece", piece).drop("_bounds")
+        piece = _piece(F.col("_t"), F.col("_bounds"), F.col("_coarse"))
+        return joined.withColumn("_piece", piece).drop("_bounds", "_coarse")
 
     rows, marks = cut(rows), cut(marks)
     # The last mark of every piece of a hot key, then the last one before it. A

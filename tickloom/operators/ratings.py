@@ -23,24 +23,32 @@ def consensus(
 ) -> DataFrame:
     """Counts per rating, contributors, price targets and the mean rating.
 
-    The label is the rating nearest to the mean value.
+    The label is the rating nearest to the mean value. Rows are first reduced to one
+    per (ticker, analyst), which makes distinct analysts plain counts and spreads a
+    much-rated ticker over many tasks.
     """
-    code = F.col(rating)
+    code, goal = F.col(rating), F.col(target)
     order = F.array(*[F.lit(r) for r in RATINGS])
     position = F.array_position(order, code)
-    value = F.when(position > 0, position.cast("double"))
-    out = ratings.groupBy(by).agg(
+    value = F.when(position > 0, position)
+    per_analyst = ratings.groupBy(by, analyst).agg(
         *[F.count_if(code == r).alias(f"{r}_ratings") for r in RATINGS],
-        F.count_distinct(F.when(value.isNotNull(), F.col(analyst))).alias(
-            "ratings_contributors"
-        ),
-        F.count_distinct(F.when(F.col(target).isNotNull(), F.col(analyst))).alias(
-            "price_target_contributors"
-        ),
-        F.avg(target).alias("consensus_price_target"),
-        F.max(target).alias("high_price_target"),
-        F.min(target).alias("low_price_target"),
-        F.avg(value).alias("consensus_rating_value"),
+        F.sum(value).alias("_values"),
+        F.count(value).alias("_rated"),
+        F.sum(goal).alias("_targets"),
+        F.count(goal).alias("_aimed"),
+        F.max(goal).alias("_high"),
+        F.min(goal).alias("_low"),
+    )
+    known = F.col(analyst).isNotNull()
+    out = per_analyst.groupBy(by).agg(
+        *[F.sum(f"{r}_ratings").alias(f"{r}_ratings") for r in RATINGS],
+        F.count_if(known & (F.col("_rated") > 0)).alias("ratings_contributors"),
+        F.count_if(known & (F.col("_aimed") > 0)).alias("price_target_contributors"),
+        F.try_divide(F.sum("_targets"), F.sum("_aimed")).alias("consensus_price_target"),
+        F.max("_high").alias("high_price_target"),
+        F.min("_low").alias("low_price_target"),
+        F.try_divide(F.sum("_values"), F.sum("_rated")).alias("consensus_rating_value"),
     )
     nearest = F.floor(F.col("consensus_rating_value") + 0.5).cast("int")
     return out.withColumn("consensus_rating", F.get(order, nearest - 1))
@@ -59,44 +67,51 @@ def rolling_accounts(
     An account counts on day D if it was active within ``n`` days up to D, which for
     one account is a union of intervals. Each activity opens an interval that lasts
     ``n`` days or until the next activity; the distinct count is the running sum of
-    opens minus closes. Rows do not multiply with ``n``.
+    opens minus closes. Rows do not multiply with ``n``, and the input is read once.
     """
-    daily = spend.groupBy(by, date).agg(
-        F.sum(amount).alias("total_spend"),
-        F.count(F.lit(1)).alias("total_transactions"),
-        F.count_distinct(account).alias("total_accounts"),
+    active = spend.groupBy(by, account, date).agg(
+        F.sum(amount).alias("_spend"), F.count(F.lit(1)).alias("_count")
     )
-    active = spend.select(by, account, date).distinct()
     following = F.lead(date).over(Window.partitionBy(by, account).orderBy(date))
-    spans = active.select(
-        by,
-        F.col(date).alias("_from"),
-        *[
-            F.least(F.date_add(date, n), F.coalesce(following, F.date_add(date, n))).alias(f"_to{n}")
-            for n in days
-        ],
-    )
-    steps = F.array(
-        *[
-            F.struct(day.alias("_day"), *[(F.lit(step) if m == n else F.lit(0)).alias(f"_d{m}") for m in days])
-            for n in days
-            for day, step in ((F.col("_from"), 1), (F.col(f"_to{n}"), -1))
-        ]
-    )
+    spans = active.withColumn("_next", following)
+
+    def end(n: int):
+        last = F.date_add(date, n)
+        return F.least(last, F.coalesce("_next", last))
+
+    def step(day, opens: int, closes: int | None):
+        """A change on one day: everything opens at once, each length closes alone."""
+        return F.struct(
+            day.alias("_day"),
+            (F.col("_spend") if opens else F.lit(0.0)).cast("double").alias("_spend"),
+            (F.col("_count") if opens else F.lit(0)).cast("bigint").alias("_count"),
+            F.lit(opens).alias("_accounts"),
+            *[F.lit(opens - (n == closes)).alias(f"_open{n}") for n in days],
+        )
+
+    steps = [step(F.col(date), 1, None), *[step(end(n), 0, n) for n in days]]
     changes = (
-        spans.select(by, F.inline(steps))
+        spans.select(by, F.inline(F.array(*steps)))
         .groupBy(by, "_day")
-        .agg(*[F.sum(f"_d{n}").alias(f"_d{n}") for n in days])
+        .agg(
+            F.sum("_spend").alias("total_spend"),
+            F.sum("_count").alias("total_transactions"),
+            F.sum("_accounts").alias("total_accounts"),
+            *[F.sum(f"_open{n}").alias(f"_open{n}") for n in days],
+        )
     )
+    # One row per category and day from here on.
     running = Window.partitionBy(by).orderBy("_day").rowsBetween(
         Window.unboundedPreceding, 0
     )
-    totals = changes.select(
+    return changes.select(
         by,
         F.col("_day").alias(date),
-        *[F.sum(f"_d{n}").over(running).alias(f"rolling_{n}_day_accounts") for n in days],
-    )
-    return daily.join(totals, [by, date])
+        "total_spend",
+        "total_transactions",
+        "total_accounts",
+        *[F.sum(f"_open{n}").over(running).alias(f"rolling_{n}_day_accounts") for n in days],
+    ).where(F.col("total_accounts") > 0)
 
 
 def coverage(df: DataFrame, date: str, by: list[str]) -> DataFrame:

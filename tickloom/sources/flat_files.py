@@ -80,9 +80,13 @@ def scan_flat_files(
     start: str | None = None,
     end: str | None = None,
     bookmark: str | None = None,
+    header: list[str] | None = None,
 ) -> DataFrame:
-    """Rows of all dated files under ``path`` as ``schema``, dirty values as NULL."""
-    names = _header(spark, path)
+    """Rows of all dated files under ``path`` as ``schema``, dirty values as NULL.
+
+    ``header`` is the column order of the files, when known.
+    """
+    names = header or _header(spark, path)
     raw = (
         spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
         .option("header", True)

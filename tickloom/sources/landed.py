@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.functions import scalars as sc
 from tickloom.specs.base import as_schema
 
 
@@ -55,32 +56,62 @@ def _camel(name: str) -> str:
     return head + "".join(p.capitalize() for p in rest)
 
 
+def _names(name: str, codes: dict[str, str]) -> list[str]:
+    """The keys a column may arrive under, best first."""
+    return list(dict.fromkeys((name, _camel(name), *[c for c, n in codes.items() if n == name])))
+
+
+def _read(record: Column, names: list[str], kind: str) -> Column:
+    reads = [F.try_variant_get(record, f"$['{n}']", kind) for n in names]
+    return reads[0] if len(reads) == 1 else F.coalesce(*reads)
+
+
 def record_field(
-    field: T.StructField, codes: tuple[str, ...] = (), record: str = "record"
+    record: Column,
+    field: T.StructField,
+    codes: dict[str, str],
+    nested: dict[str, dict[str, str]],
 ) -> Column:
-    """One typed column of ``record``: by its name, its camel-case form or a code."""
-    names = dict.fromkeys((field.name, _camel(field.name), *codes))
-    kind = field.dataType.simpleString()
-    reads = [F.try_variant_get(record, f"$['{n}']", kind) for n in names]
-    return F.coalesce(*reads).alias(field.name)
+    """One typed column of a record: by name, camel-case form or code.
+
+    Times may be ISO text or epoch numbers. Objects are read field by field, with
+    the codes that ``nested`` gives for their slug.
+    """
+    names = _names(field.name, codes)
+    if isinstance(field.dataType, T.TimestampType):
+        text = F.try_to_timestamp(_read(record, names, "string"))
+        return F.coalesce(text, sc.epoch_to_timestamp(_read(record, names, "bigint")))
+    if isinstance(field.dataType, T.StructType):
+        inside = _read(record, names, "variant")
+        own = nested.get(field.name.replace("_", ""), {})
+        parts = [
+            record_field(inside, f, own, nested).alias(f.name) for f in field.dataType.fields
+        ]
+        present = F.try_variant_get(inside, "$", "map<string,variant>").isNotNull()
+        return F.when(present, F.struct(*parts))
+    return _read(record, names, field.dataType.simpleString())
 
 
 def read_records(
     exploded: DataFrame,
     schema: T.StructType | str,
-    code_map: dict[str, str] | None = None,
+    codes: dict[str, str] | None = None,
     context: tuple[str, ...] = (),
+    nested: dict[str, dict[str, str]] | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Records as ``schema``; what does not fit a type becomes NULL.
 
-    ``code_map`` maps one-letter codes to names. Columns in ``context`` (a ticker
-    known from the request, say) are taken from the page row instead.
+    ``codes`` maps one-letter codes to names, ``nested`` does so for objects, by
+    their slug. Columns in ``context`` (a ticker known from the request, say) are
+    taken from the page row instead; columns in ``keep`` stay beside the schema's.
     """
-    codes: dict[str, tuple[str, ...]] = {}
-    for code, name in (code_map or {}).items():
-        codes[name] = (*codes.get(name, ()), code)
-    cols = [
-        F.col(f.name) if f.name in context else record_field(f, codes.get(f.name, ()))
-        for f in as_schema(schema).fields
-    ]
-    return exploded.select(*cols)
+    return exploded.select(
+        *keep,
+        *[
+            F.col(f.name)
+            if f.name in context
+            else record_field(F.col("record"), f, codes or {}, nested or {}).alias(f.name)
+            for f in as_schema(schema).fields
+        ]
+    )
