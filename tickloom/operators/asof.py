@@ -12,6 +12,9 @@ from tickloom.session import checkpointed
 # this size, at most this many.
 HOT_ROWS = 20_000_000
 MAX_PIECES = 16_384
+# Times drawn per piece to place the bounds. Any bounds give the same result; good
+# ones only make pieces of like size.
+DRAWS = 1_000
 # Bounds are looked up in two steps, first among every so-many-th.
 STRIDE = 128
 
@@ -85,40 +88,49 @@ def _time_bounds(
     # A key of average heat needs only some of the cuts.
     step = F.greatest(F.lit(1), F.floor(F.lit(largest) / F.col("_n"))).cast("int")
     some = F.filter("_cuts", lambda x, i: F.pmod(i, F.col("_step")) == 0)
+    drawn = times.sample(min(1.0, DRAWS / hot_rows), seed=1)
     bounds = (
-        times.join(small_side(hot.withColumn("_step", step).drop("_n")), by)
+        drawn.join(small_side(hot.withColumn("_step", step).drop("_n")), by)
         .groupBy(*by, "_step")
         .agg(quantiles.alias("_cuts"))
         .select(*by, F.array_sort(F.array_distinct(some)).alias("_bounds"))
-        .withColumn("_coarse", F.filter("_bounds", lambda x, i: F.pmod(i, F.lit(STRIDE)) == 0))
     )
     # Quantiles are approximate, so all uses below must see the same ones.
     return checkpointed(bounds)
 
 
-def _piece(t: Column, bounds: Column, coarse: Column) -> Column:
-    """Even numbers lie between bounds, odd ones are the bounds themselves."""
-    block = F.size(F.filter(coarse, lambda b: b < t))
-    start = F.greatest(block - 1, F.lit(0)) * STRIDE
-    inside = F.slice(bounds, start + 1, F.lit(STRIDE))
-    below = start + F.size(F.filter(inside, lambda b: b < t))
-    on = (F.get(bounds, below) == t).cast("int")
-    return F.when(bounds.isNull() | t.isNull(), F.lit(0)).otherwise(
-        below * 2 + F.coalesce(on, F.lit(0))
+def _with_piece(df: DataFrame, bounds: DataFrame, by: list[str]) -> DataFrame:
+    """Add ``_piece``: even numbers lie between bounds, odd ones are the bounds.
+
+    The bounds of a key are searched in two steps, through two small joins, so that
+    no row ever carries all of them.
+    """
+    stride = F.lit(STRIDE)
+    coarse = F.filter("_bounds", lambda x, i: F.pmod(i, stride) == 0)
+    starts = F.sequence(F.lit(0), F.size("_bounds") - 1, stride)
+    runs = F.transform(starts, lambda i: F.slice("_bounds", i + 1, stride))
+    by_key = small_side(bounds.select(*by, coarse.alias("_coarse")))
+    by_run = small_side(bounds.select(*by, F.posexplode(runs).alias("_run", "_fine")))
+    t = F.col("_t")
+    run = F.greatest(F.size(F.filter("_coarse", lambda b: b <= t)) - 1, F.lit(0))
+    found = F.when(F.col("_coarse").isNotNull() & t.isNotNull(), run)
+    below = F.size(F.filter("_fine", lambda b: b < t))
+    on = F.coalesce((F.get("_fine", below) == t).cast("int"), F.lit(0))
+    piece = (F.col("_run") * stride + below) * 2 + on
+    return (
+        df.join(by_key, by, "left")
+        .withColumn("_run", found)
+        .drop("_coarse")
+        .join(by_run, [*by, "_run"], "left")
+        .withColumn("_piece", F.when(F.col("_fine").isNotNull(), piece).otherwise(F.lit(0)))
+        .drop("_run", "_fine")
     )
 
 
 def _match_in_pieces(
     rows: DataFrame, marks: DataFrame, by: list[str], bounds: DataFrame
 ) -> DataFrame:
-    side = small_side(bounds)
-
-    def cut(df: DataFrame) -> DataFrame:
-        joined = df.join(side, by, "left")
-        piece = _piece(F.col("_t"), F.col("_bounds"), F.col("_coarse"))
-        return joined.withColumn("_piece", piece).drop("_bounds", "_coarse")
-
-    rows, marks = cut(rows), cut(marks)
+    rows, marks = _with_piece(rows, bounds, by), _with_piece(marks, bounds, by)
     # The last mark of every piece of a hot key, then the last one before it. A
     # piece that is a single time starts from its own marks too.
     lasts = (
@@ -137,7 +149,7 @@ def _match_in_pieces(
     starts = numbers.join(lasts, [*by, "_piece"], "left").select(
         *by, "_piece", F.when(single, last(0)).otherwise(last(-1)).alias("_start")
     )
-    starts = small_side(starts)
+    starts = small_side(checkpointed(starts))
     # Rows at a bound need no sorting: their answer is the start of that piece.
     at_bound = (
         rows.where(single)

@@ -12,6 +12,7 @@ from tickloom.session import scratch_path
 from tickloom.sources import earnings as er
 from tickloom.sources import flat_files as ff
 from tickloom.sources import landed, sinks
+from tickloom.sources.tables import load_table
 from tickloom.specs import TABLES, conform
 from tickloom.specs.base import TableSpec
 from tickloom.streaming import quote_bars as sq
@@ -126,6 +127,85 @@ def _(spark, d):
     return landed.read_records(landed.explode_results(pages), schema, {"c": "cust_key"})
 
 
+_K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT)"
+
+
+@query(
+    "src04_landed_bars",
+    f"""SELECT 'U' || user_id AS ticker, epoch_us(date_trunc('millisecond', ts)) AS timestamp_us,
+    round(value, 6) AS open, round(value + {_K}, 6) AS high, CAST({_K} AS DOUBLE) AS volume,
+    event_id AS transactions, event_type <> 'error' AS active FROM events
+    WHERE event_type <> 'signup'""",
+)
+def _(spark, d):
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    kind = F.col("event_type")
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    # Bars of one type lack their time and are dropped; prices are partly text.
+    record = F.struct(
+        F.when(kind != "signup", ms).alias("t"),
+        F.col("value").alias("o"),
+        (F.col("value") + k).cast("string").alias("high"),
+        k.alias("v"),
+        F.col("event_id").alias("n"),
+        F.lit("ignored").alias("T"),
+    )
+    pages = m.table(spark, d, "events").select(
+        F.concat(F.lit("U"), "user_id").alias("ticker"),
+        F.when(kind == "error", "no").when(kind == "view", "yes").alias("active"),
+        F.concat(F.lit('{"results":['), F.to_json(record), F.lit("]}")).alias("payload"),
+    )
+    bars = load_table(pages, "stock_bars_1_minute", ("ticker", "active"))
+    return bars.select(
+        "ticker",
+        F.unix_micros("timestamp").alias("timestamp_us"),
+        "open",
+        "high",
+        "volume",
+        "transactions",
+        "active",
+    )
+
+
+@query(
+    "src04_landed_snapshot",
+    f"""SELECT 'E' || event_id AS ticker, round(value, 6) AS todays_change_percent,
+    CAST({_K} AS DOUBLE) AS prev_close, round(value, 6) AS bid_price,
+    CASE WHEN event_type = 'click' THEN user_id END AS ask_exchange,
+    CASE WHEN event_type = 'click' THEN {_K} END AS bid_exchange,
+    CASE WHEN event_type <> 'click' THEN {_K} END AS exchange,
+    CAST({_K} AS DOUBLE) AS trade_price FROM events""",
+)
+def _(spark, d):
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    quote = F.struct(
+        F.col("value").alias("p"),
+        F.when(F.col("event_type") == "click", F.col("user_id")).alias("X"),
+        k.alias("x"),
+    )
+    record = F.struct(
+        F.concat(F.lit("E"), "event_id").alias("ticker"),
+        F.col("value").alias("todaysChangePerc"),
+        F.struct(k.alias("c")).alias("prevDay"),
+        quote.alias("lastQuote"),
+        F.struct(k.alias("price")).alias("lastTrade"),
+    )
+    pages = m.table(spark, d, "events").select(
+        F.concat(F.lit('{"status":"OK","ticker":'), F.to_json(record), F.lit("}")).alias("payload")
+    )
+    snapshot = load_table(pages, "stock_ticker_snapshot")
+    return snapshot.select(
+        "ticker",
+        "todays_change_percent",
+        F.col("prev_day.close").alias("prev_close"),
+        "last_quote.bid_price",
+        "last_quote.ask_exchange",
+        "last_quote.bid_exchange",
+        "last_quote.exchange",
+        F.col("last_trade.price").alias("trade_price"),
+    )
+
+
 @query(
     "src05_declared_table",
     f"""WITH {m.DAY_BARS} SELECT CAST(make_date(1970, 1, 1) + CAST(window_start // 86400000000000
