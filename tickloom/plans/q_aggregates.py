@@ -258,9 +258,9 @@ _RATING = {
     """WITH r AS (SELECT 'T' || (event_id // 100) AS ticker, user_id AS analyst,
      value AS price_target, CASE event_type WHEN 'click' THEN 3 WHEN 'view' THEN 2
       WHEN 'purchase' THEN 5 WHEN 'signup' THEN 4 ELSE 1 END AS v FROM events)
-    SELECT ticker, count_if(v = 1) AS strong_sell_ratings, count_if(v = 2) AS sell_ratings,
-    count_if(v = 3) AS hold_ratings, count_if(v = 4) AS buy_ratings,
-    count_if(v = 5) AS strong_buy_ratings, count(DISTINCT analyst) AS ratings_contributors,
+    SELECT ticker, count(*) FILTER (v = 1) AS strong_sell_ratings, count(*) FILTER (v = 2) AS sell_ratings,
+    count(*) FILTER (v = 3) AS hold_ratings, count(*) FILTER (v = 4) AS buy_ratings,
+    count(*) FILTER (v = 5) AS strong_buy_ratings, count(DISTINCT analyst) AS ratings_contributors,
     count(DISTINCT analyst) AS price_target_contributors,
     round(avg(price_target), 6) AS consensus_price_target,
     round(max(price_target), 6) AS high_price_target,
