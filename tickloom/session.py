@@ -17,6 +17,19 @@ SQL_SETTINGS = {
 }
 
 
+# For large clusters, set when the session is built. Sizes aim at shuffle partitions
+# of about 200 MB, which fit in memory while sorting.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings above to an existing session."""
     for key, value in SQL_SETTINGS.items():
