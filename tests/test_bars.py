@@ -84,6 +84,12 @@ def test_snapshot(trades):
         assert row.todays_change == today[-1][2] - before[-1][2]
 
 
+def test_snapshot_without_quotes(trades):
+    now = 19_703 * DAY + 12 * 3600 * S
+    snap = br.market_snapshot(trades, None, br.ohlcv_bars(trades, 1, "day"), now)
+    assert "last_quote" not in snap.columns and snap.count() == 2
+
+
 def test_movers(spark):
     df = spark.createDataFrame(
         [("A", 5.0, 20000), ("B", -3.0, 20000), ("C", 9.0, 5), ("D", None, 20000), ("E", 5.0, 20000)],

@@ -128,3 +128,27 @@ def test_latest_before(spark):
     df = quotes(spark, [("A", 500, 1, 1.0), ("A", 100, 2, 1.0), ("A", 1000, 3, 1.0), ("A", 1001, 4, 1.0)])
     assert qt.latest_before(df, 1000, 600).first().sequence_number == 3
     assert qt.latest_before(df, 450, 350).count() == 0
+
+
+def test_contract_bars_follow_their_underlying(spark, rows):
+    day = 86400
+    calendar = _calendar(
+        spark, [(f"1970-01-0{i + 1}", (i * day + 34200) * S, (i * day + 57600) * S) for i in (1, 2)]
+    )
+    data = [("O:A1", "A"), ("O:A2", "A"), ("O:B1", "B")]
+    ticks = spark.createDataFrame(
+        [(o, u, (i * day + 34200 + 90) * S, i, 1.0) for o, u in data for i in (1, 2)],
+        "option_ticker string, underlying_ticker string, sip_timestamp bigint, "
+        "sequence_number bigint, bid_price double",
+    )
+    windows = spark.createDataFrame(
+        [("A", "1970-01-02"), ("B", "1970-01-09")], "ticker string, d string"
+    ).selectExpr("ticker", "CAST(d AS date) AS snapshot_date")
+    out = qt.bars_in_windows(
+        ticks, windows, calendar, 60 * S, "option_ticker", "underlying_ticker"
+    )
+    boundary = (day + 34200 + 120) * S
+    assert rows(out, "option_ticker", "asof_timestamp", "sequence_number") == [
+        ("O:A1", boundary, 1),
+        ("O:A2", boundary, 1),
+    ]

@@ -136,13 +136,14 @@ def last_by_ticker(df: DataFrame, by: str = "ticker") -> DataFrame:
 
 
 def market_snapshot(
-    trades: DataFrame, quotes: DataFrame, bars: DataFrame, as_of_ns: int
+    trades: DataFrame, quotes: DataFrame | None, bars: DataFrame, as_of_ns: int
 ) -> DataFrame:
     """State of every ticker at one time, in nested columns.
 
     ``day`` and ``min`` come from the trades of that UTC day up to the time, rolled
     up through minute bars in one pass; ``prev_day`` is the last earlier daily bar of
-    ``bars``; ``last_trade`` and ``last_quote`` are the latest of that day.
+    ``bars``; ``last_trade`` and ``last_quote`` are the latest of that day. Markets
+    without quotes pass None for them.
     """
     day_ns = as_of_ns - as_of_ns % sc.DAY_NS
     today_text = _iso_date(day_ns)
@@ -189,18 +190,18 @@ def market_snapshot(
     current = current.withColumn(
         "min", F.col("_min").withField("accumulated_volume", F.col("_accumulated"))
     ).drop("_min", "_accumulated")
-    quote = last_by_ticker(quotes.where(today))
-    quote = quote.select(
-        "ticker", F.struct(*[c for c in quote.columns if c != "ticker"]).alias("last_quote")
-    )
+    if quotes is not None:
+        quote = last_by_ticker(quotes.where(today))
+        fields = [c for c in quote.columns if c != "ticker"]
+        quote = quote.select("ticker", F.struct(*fields).alias("last_quote"))
+        current = current.join(quote, "ticker", "full")
     previous = previous_day_bar(bars, today_text)
     previous = previous.select(
         "ticker", F.struct(*[c for c in previous.columns if c != "ticker"]).alias("prev_day")
     )
     close, before = F.col("day.close"), F.col("prev_day.close")
     return (
-        current.join(quote, "ticker", "full")
-        .join(previous, "ticker", "full")
+        current.join(previous, "ticker", "full")
         .withColumn("todays_change", close - before)
         .withColumn("todays_change_percent", F.try_divide((close - before) * 100, before))
         .withColumn("updated", F.lit(as_of_ns).cast("bigint"))
