@@ -76,8 +76,9 @@ def _ema_value(x: Column, a: float, by: str) -> Column:
         return x
     pos = F.col("_pos")
     weight = F.when(pos == 0, x).otherwise((1 - a) * x)
-    terms = weight * F.exp(pos * -math.log(a))
-    return F.sum(terms).over(_so_far(by)) * F.exp(pos * math.log(a))
+    # A power is exact to the last bit, where exp(pos * log(a)) loses three digits.
+    decay = F.pow(F.lit(a), pos)
+    return F.sum(weight / decay).over(_so_far(by)) * decay
 
 
 def _ema_pass(
@@ -166,8 +167,8 @@ def rsi(
     def average(x: Column) -> Column:
         if a == 0:
             return x
-        terms = x / window * F.exp(pos * -math.log(a))
-        return F.sum(terms).over(_so_far(by)) * F.exp(pos * math.log(a))
+        decay = F.pow(F.lit(a), pos)
+        return F.sum(x / window / decay).over(_so_far(by)) * decay
 
     zero = F.lit(0.0)
     df = df.withColumn("_gain", average(F.greatest("_change", zero)))
