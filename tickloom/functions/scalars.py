@@ -6,8 +6,6 @@ them stay inside whole-stage code generation.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -186,6 +184,3 @@ def is_us_ticker(c: Column | str) -> Column:
     ticker = _col(c)
     return F.coalesce((ticker != "") & ~F.contains(ticker, F.lit(".")), F.lit(False))
 
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickloom.functions import is_us_ticker
 from tickloom.operators import calendar as cal
