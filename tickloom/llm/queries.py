@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import quality, toxicity
+from tickloom.llm import quality, token_counts, toxicity
 from tickloom.llm.common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +48,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", held_out.alias("held_out"), score.alias("score")).withColumn(
         "predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int")
     )
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_counts.counted(table(spark, sf_dir, "documents"), path)
