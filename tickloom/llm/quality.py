@@ -13,7 +13,8 @@ lines at all, the plain estimate is singular and would reject a text for one sym
 
 * A null text has no words. Null language or source form groups of their own.
 * A group of one row is its own centre, so that row is kept unless the base rules fail it.
-* Repeated rows are judged alike; an empty table gives an empty table.
+* Repeated rows are judged alike; columns other than the four that are read pass through
+  ``keep_good`` whatever their names (names starting with two underscores excepted); an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.session import checkpointed
 
@@ -97,47 +99,44 @@ def vector(c: np.ndarray) -> np.ndarray:
     )
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts = np.array(
-            [text_counts(t) for t in batch.column("text").to_pylist()], dtype="int64"
-        ).reshape(-1, 7)
-        v = vector(counts.astype("float64"))
-        n = counts[:, 0]
-        failed = (n < MIN_WORDS) | (100 * counts[:, 4] > MAX_REPEAT_PERCENT * n)
-        named = {c: batch.column(c) for c in ("doc_id", "lang", "source", "_row")}
-        named |= {c: counts[:, i] for i, c in enumerate(COUNTS)}
-        named |= {"base_failed": failed} | {c: v[:, i] for i, c in enumerate(VECTOR)}
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in named.values()], list(named))
+_COUNTED = T.StructType(
+    [T.StructField(c, T.LongType()) for c in COUNTS]
+    + [T.StructField("base_failed", T.BooleanType())]
+    + [T.StructField(c, T.DoubleType()) for c in VECTOR]
+)
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """The counts, base verdict and vector of every row, in one pass over the texts.
+@F.arrow_udf(_COUNTED)
+def counted(texts: pa.Array) -> pa.Array:
+    """Counts, base verdict and vector of each text."""
+    c = np.array([text_counts(t) for t in texts.to_pylist()], dtype="int64").reshape(-1, 7)
+    v, n = vector(c.astype("float64")), c[:, 0]
+    failed = (n < MIN_WORDS) | (100 * c[:, 4] > MAX_REPEAT_PERCENT * n)
+    named = {name: c[:, i] for i, name in enumerate(COUNTS)} | {"base_failed": failed}
+    named |= {name: v[:, i] for i, name in enumerate(VECTOR)}
+    return pa.StructArray.from_arrays([pa.array(x) for x in named.values()], list(named))
 
-    ``_row`` is a hash of id and text: a repeated row gets the same, so a verdict can be
-    joined back to rows that share a doc_id.
-    """
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select(
-        "doc_id", "text", "lang", "source", F.xxhash64("doc_id", "text").alias("_row")
-    )
-    schema = f"doc_id {id_type}, lang string, source string, _row long, "
-    schema += ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, "
-    return rows.mapInArrow(_measure, schema + ", ".join(f"{c} double" for c in VECTOR))
+
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id, lang, source, counts, base verdict and vector of every row, in one pass."""
+    kept = [F.col(c).cast("string").alias(c) for c in ("lang", "source")]
+    rows = docs.select("doc_id", *kept, counted("text").alias("counted"))
+    return rows.select("doc_id", "lang", "source", "counted.*")
 
 
-def _distance(centre: str, inverse: str):
-    """Squared Mahalanobis distance to a centre, given the inverse scatter by rows."""
-    d = [F.col(c) - F.col(centre)[i] for i, c in enumerate(VECTOR)]
+def _distance(prefix: str = ""):
+    """Squared Mahalanobis distance of the vector to the joined estimate."""
+    centre, inverse = F.col("__centre"), F.col("__inverse")
+    d = [F.col(prefix + c) - centre[i] for i, c in enumerate(VECTOR)]
     k = len(VECTOR)
-    return sum(d[i] * d[j] * F.col(inverse)[i * k + j] for i in range(k) for j in range(k))
+    return sum(d[i] * d[j] * inverse[i * k + j] for i in range(k) for j in range(k))
 
 
 def _joined(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """Rows with their group's estimate; skewed groups are split by adaptive execution."""
-    e = estimates.withColumnsRenamed({"lang": "_lang", "source": "_source"})
-    same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
-    return rows.join(e, same, "left").drop("_lang", "_source")
+    e = estimates.select([F.col(c).alias(f"__{c}") for c in estimates.columns])
+    same = [rows[c].cast("string").eqNullSafe(e[f"__{c}"]) for c in ("lang", "source")]
+    return rows.join(e, same, "left").drop("__lang", "__source")
 
 
 def _binned(d2):
@@ -201,7 +200,7 @@ def mcd(rows: DataFrame) -> DataFrame:
     """Centre and inverse scatter of each (lang, source) after ``STEPS`` concentration steps."""
     estimates = _start(rows)
     for _ in range(STEPS):
-        d2 = _joined(rows, estimates).withColumn("bin", _binned(_distance("centre", "inverse")))
+        d2 = _joined(rows, estimates).withColumn("bin", _binned(_distance()))
         bins = d2.groupBy("lang", "source", "bin").agg(*_moments())
         group = Window.partitionBy("lang", "source")
         before = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
@@ -218,22 +217,31 @@ def mcd(rows: DataFrame) -> DataFrame:
     return estimates
 
 
+def usual(rows: DataFrame) -> DataFrame:
+    """The estimates of each (lang, source) among the rows that pass the base rules."""
+    return mcd(rows.where(~F.col("base_failed")))
+
+
+def _verdict(prefix: str, cut: float):
+    near = F.coalesce(_distance(prefix) <= cut * cut, F.lit(True))
+    return ~F.col(prefix + "base_failed") & near
+
+
 def judged(docs: DataFrame, cut: float = CUT) -> DataFrame:
-    """Every row's counts, base verdict, distance and final verdict."""
+    """doc_id, lang, source, counts, base verdict, distance and final verdict of every row."""
     rows = checkpointed(measured(docs))
-    # Rows that the base rules reject are no evidence of what is usual.
-    sound = rows.where(~F.col("base_failed"))
-    distance = F.sqrt(F.greatest(_distance("centre", "inverse"), F.lit(0.0)))
-    return (
-        _joined(rows, mcd(sound))
-        .withColumn("distance", distance)
-        .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut, F.lit(True)))
-        .drop("centre", "inverse", *VECTOR)
+    return _joined(rows, usual(rows)).select(
+        "doc_id", "lang", "source", *COUNTS, "base_failed", _verdict("", cut).alias("kept"),
+        F.sqrt(F.greatest(_distance(), F.lit(0.0))).alias("distance"),
     )
 
 
 def keep_good(docs: DataFrame, cut: float = CUT) -> DataFrame:
-    """The rows that the rules keep, with their columns as they were."""
-    verdicts = judged(docs, cut).where("kept").select(F.col("_row").alias("_kept_row")).distinct()
-    row = F.xxhash64("doc_id", "text")
-    return docs.join(verdicts, row == F.col("_kept_row"), "left_semi")
+    """The rows that the rules keep, with their columns as they were.
+
+    The texts are counted twice, once for the estimates and once for the verdict: that is
+    cheaper than moving them through a shuffle.
+    """
+    estimates = usual(checkpointed(measured(docs)))
+    rows = _joined(docs.withColumn("__counted", counted("text")), estimates)
+    return rows.where(_verdict("__counted.", cut)).select(*[docs[c] for c in docs.columns])

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import quality, token_counts, toxicity
+from tickloom.llm import mixing, quality, token_counts, toxicity
 from tickloom.llm.common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,47 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts.counted(table(spark, sf_dir, "documents"), path)
+
+
+@query(
+    "op10_weighted_mix",
+    r"""
+    WITH d AS (
+      SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
+             CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+      FROM documents
+    ), per AS (
+      SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source
+    ), weighed AS (
+      SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+                WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+      FROM per
+    ), levels AS (
+      SELECT *, row_number() OVER o AS nth,
+        (CAST(1.5 AS DOUBLE) * CAST(sum(source_size) OVER () AS BIGINT)
+         - 2 * CAST(coalesce(sum(source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT))
+        / CAST(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS level
+      FROM weighed
+      WINDOW o AS (ORDER BY CAST(source_size AS DOUBLE) / weight, source NULLS LAST)
+    ), chosen AS (
+      SELECT level FROM levels WHERE level * weight <= 2 * source_size ORDER BY nth LIMIT 1
+    ), t AS (
+      SELECT source, source_size,
+             least(chosen.level * weight, CAST(2 * source_size AS DOUBLE)) AS target
+      FROM levels, chosen
+    ), ahead AS (
+      SELECT d.*, CAST(coalesce(sum(size) OVER (
+               PARTITION BY source ORDER BY place, doc_id NULLS FIRST, size
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+      FROM d
+    )
+    SELECT a.doc_id, a.size, t.source_size, t.target,
+           CAST(greatest(least(CAST(floor(target) AS BIGINT) - before, size), 0)
+              + greatest(least(CAST(floor(target) AS BIGINT) - before - t.source_size, size), 0)
+              AS BIGINT) AS taken
+    FROM ahead a JOIN t ON a.source IS NOT DISTINCT FROM t.source
+    """,
+)
+def op10_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size, target and words taken of every document."""
+    return mixing.taken(table(spark, sf_dir, "documents"))
