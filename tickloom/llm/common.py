@@ -51,27 +51,27 @@ def buckets_for(rows: int, per_bucket: int = ROWS_PER_BUCKET) -> int:
 
 
 def running_before(
-    df: DataFrame, by: list[str], bucket: str, order: list[str], value: str, out: str
+    df: DataFrame, by: list[str], bucket: str, order: list[str], values: dict[str, str]
 ) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over the rows before this one within ``by``.
+    """Add sums over the rows before this one within ``by``: ``values`` maps input to output.
 
     ``bucket`` must not decrease along ``order``. Totals per (key, bucket) are made by a
     partial aggregate and summed along the buckets; rows are sorted only inside a bucket,
     so a key with a third of all rows is spread over its buckets.
     """
-    totals = df.groupBy(*by, bucket).agg(F.sum(value).alias("_total"))
     along = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[F.col(c).alias(f"_o_{c}") for c in [*by, bucket]],
-        F.coalesce(F.sum("_total").over(along), F.lit(0)).alias("_offset"),
-    )
     inside = (
         Window.partitionBy(*by, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
-    ranked = df.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    match = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in [*by, bucket]]
-    return (
-        ranked.join(offsets, match)
-        .withColumn(out, F.col("_offset") + F.col("_inside"))
-        .drop("_offset", "_inside", *[f"_o_{c}" for c in [*by, bucket]])
+    totals = df.groupBy(*by, bucket).agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
+    offsets = totals.select(
+        *[F.col(c).alias(f"__o_{c}") for c in [*by, bucket]],
+        *[F.coalesce(F.sum(f"__t_{v}").over(along), F.lit(0)).alias(f"__t_{v}") for v in values],
     )
+    match = [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in [*by, bucket]]
+    sums = {
+        out: F.col(f"__t_{v}") + F.coalesce(F.sum(v).over(inside), F.lit(0))
+        for v, out in values.items()
+    }
+    helpers = [f"__o_{c}" for c in [*by, bucket]] + [f"__t_{v}" for v in values]
+    return df.join(offsets, match).withColumns(sums).drop(*helpers)

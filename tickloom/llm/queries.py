@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import mixing, quality, simhash, token_counts, toxicity
+from tickloom.llm import mixing, packing, quality, simhash, token_counts, toxicity
 from tickloom.llm.common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,16 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies, with a checksum of its ids."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed(table(spark, sf_dir, "documents"), path).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
 @query("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
