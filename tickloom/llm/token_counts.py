@@ -43,8 +43,6 @@ class PrefixCounter:
 
     def learn(self, pieces: set[str]) -> None:
         """Tables of short pieces: every new prefix once, shorter ones first."""
-        if len(self.tables) > MAX_KNOWN:
-            self.tables = {"": b""}
         new: set[str] = set()
         for piece in pieces:
             while piece not in self.tables and piece not in new:
@@ -64,12 +62,15 @@ class PrefixCounter:
 
     def _add(self, chunks: list[str]) -> None:
         """Totals of new chunks from the last entries of their pieces' tables."""
+        if not chunks:
+            return
         if len(self.totals) > MAX_KNOWN:
             self.totals.clear()
+        if len(self.tables) > 2 * MAX_KNOWN:
+            self.tables = {"": b""}
         split = [word_pieces(c) for c in chunks]
         pieces = {p for ps in split for p in ps}
         self.learn({p for p in pieces if len(p) <= LONG_PIECE and p not in self.tables})
-        self.learn({p for p in pieces if len(p) <= LONG_PIECE and p not in self.tables})
         long = [p for p in pieces if len(p) > LONG_PIECE]
         last = dict(zip(long, self._lengths(long)))
         for chunk, ps in zip(chunks, split):
