@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import mixing, packing, quality, simhash, token_counts, toxicity
+from tickloom.llm import mixing, packing, quality, simhash, token_counts, token_files, toxicity
 from tickloom.llm.common import importable, table
+from tickloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,6 +55,18 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_token_files")
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, number and checksum of every document's ids, as read back from the files."""
+    path = scratch_path(spark, "tokens")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), tokenizer, path)
+    return token_files.read_tokens(spark, path).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 @query("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document, trained on two of three folds."""

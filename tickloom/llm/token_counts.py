@@ -66,7 +66,7 @@ class PrefixCounter:
             return
         if len(self.totals) > MAX_KNOWN:
             self.totals.clear()
-        if len(self.tables) > 2 * MAX_KNOWN:
+        if len(self.tables) > 1.5 * MAX_KNOWN:
             self.tables = {"": b""}
         split = [word_pieces(c) for c in chunks]
         pieces = {p for ps in split for p in ps}
