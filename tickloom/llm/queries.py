@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import mixing, packing, quality, simhash, token_counts, token_files, toxicity
+from tickloom.llm import html_text, mixing, packing, quality, simhash, token_counts, token_files, toxicity
 from tickloom.llm.common import importable, table
 from tickloom.session import scratch_path
 
@@ -47,6 +47,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_html_text")
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 @query("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
