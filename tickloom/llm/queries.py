@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import html_text, mixing, packing, quality, simhash, token_counts, token_files, toxicity
+from tickloom.llm import html_text, licences, mixing, packing, quality, simhash, token_counts, token_files, toxicity
 from tickloom.llm.common import importable, table
 from tickloom.session import scratch_path
 
@@ -92,6 +92,58 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(table(spark, sf_dir, "documents"), path)
 
 
+def _licence_sql() -> str:
+    """The scan in DuckDB's SQL, from the same tables of phrases and rules."""
+    cases = " ".join(
+        f"WHEN contains(s, '{phrase}') THEN '{name};'" for name, phrase in licences.SENTENCES
+    )
+    left = "ids"
+    for name, sequence in licences.RULES:
+        left = f"regexp_replace({left}, '{licences.rule_pattern(sequence)}', '<{name}>;', 'g')"
+    telltale, speaks = f"(?i){licences.TELLTALE}", licences.SPEAKS
+    return f"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id, text FROM documents
+    ), cut AS (
+      SELECT r, unnest(list_filter(string_split(
+               regexp_replace(translate(text, chr(1), ' '), '{licences.ENDS}', '\\1' || chr(1), 'g'), chr(1)),
+               lambda x: regexp_matches(x, '{telltale}'))) AS s,
+             generate_subscripts(list_filter(string_split(
+               regexp_replace(translate(text, chr(1), ' '), '{licences.ENDS}', '\\1' || chr(1), 'g'), chr(1)),
+               lambda x: regexp_matches(x, '{telltale}')), 1) AS i
+      FROM d WHERE regexp_matches(text, '{telltale}')
+    ), normal AS (
+      SELECT r, i, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) AS s FROM cut
+    ), named AS (
+      SELECT r, i, CASE {cases} WHEN regexp_matches(s, '{speaks}') THEN 'other;' ELSE '' END AS id
+      FROM normal
+    ), joined AS (
+      SELECT d.r, doc_id, coalesce(string_agg(id, '' ORDER BY i), '') AS ids
+      FROM d LEFT JOIN named USING (r) GROUP BY d.r, doc_id
+    ), ruled AS (
+      SELECT doc_id, ids, {left} AS rest FROM joined
+    )
+    SELECT doc_id,
+           coalesce((SELECT string_agg(l, ',' ORDER BY p) FROM (
+             SELECT l, min(p) AS p FROM (
+               SELECT unnest(regexp_extract_all(rest, '<([^>]+)>', 1)) AS l,
+                      generate_subscripts(regexp_extract_all(rest, '<([^>]+)>', 1), 1) AS p)
+             GROUP BY l)), '') AS licences,
+           CAST(length(ids) - length(replace(ids, ';', '')) AS BIGINT)
+             - CAST(len(regexp_extract_all(ids, 'other;')) AS BIGINT) AS n_known,
+           CAST(len(regexp_extract_all(ids, 'other;')) AS BIGINT) AS n_unknown,
+           CAST(len(list_filter(string_split(rest, ';'),
+             lambda x: x <> '' AND x <> 'other' AND x[1] <> '<')) AS BIGINT) AS n_loose
+    FROM ruled
+    """
+
+
+@query("op9_licence_scan", _licence_sql())
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of every document."""
+    return licences.scanned(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op10_weighted_mix",
     r"""
