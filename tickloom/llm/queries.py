@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import html_text, licences, mixing, packing, quality, simhash, token_counts, token_files, toxicity
+from tickloom.llm import html_text, licences, mixing, packing, quality, simhash, token_counts, token_files, toxicity, weighted_sampling
 from tickloom.llm.common import importable, table
 from tickloom.session import scratch_path
 
@@ -37,6 +37,12 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op2_weighted_sampling")
+def op2_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
+    return weighted_sampling.fingerprinted(table(spark, sf_dir, "documents"))
+
+
 @query("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies, with a checksum of its ids."""
