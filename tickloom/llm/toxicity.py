@@ -62,7 +62,7 @@ class Settings:
     max_unlabelled: int = 9000
     min_documents: int = 3
     min_lift: float = 2.0
-    min_gain: float = 12.0
+    min_gain: float = 25.0
     max_features: int = 20_000
     epochs: int = 300
     rate: float = 0.1
