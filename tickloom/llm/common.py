@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +35,11 @@ def importable(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def each(values: pa.Array) -> Iterator:
+    """The values of an Arrow array one by one, so that a batch's texts are not held twice."""
+    return (v.as_py() for v in values)
+
+
 def word_count(text: Column) -> Column:
     """Words of a text, 0 for null: the places where a word starts, counted inside the JVM."""
     return F.coalesce(F.regexp_count(text, F.lit(NON_SPACE)), F.lit(0)).cast("bigint")

@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tickloom.llm.common import each
+
 SIGMA = 1.0
 INNERMOST_SHARE = 0.97
 
@@ -219,7 +221,7 @@ def main_text(html: str | None) -> str:
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [main_text(h) for h in batch.column("html").to_pylist()]
+        texts = [main_text(h) for h in each(batch.column("html"))]
         n = pa.array([len(t) for t in texts], pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), n],

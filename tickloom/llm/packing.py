@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import buckets_for, hash_bucket, running_before
+from tickloom.llm.common import buckets_for, each, hash_bucket, running_before
 from tickloom.llm.tokens import END, word_encoder
 from tickloom.session import checkpointed
 
@@ -130,7 +130,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     @F.arrow_udf(T.BinaryType())
     def encode(texts: pa.Array) -> pa.Array:
         ids = word_encoder(path).encode
-        return pa.array([ids(t) + _END for t in texts.to_pylist()], pa.binary())
+        return pa.array([ids(t) + _END for t in each(texts)], pa.binary())
 
     rows = docs.select("doc_id", encode("text").alias("ids"))
     return checkpointed(rows.select(F.monotonically_increasing_id().alias("uid"), "*")).withColumn(

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.llm.common import each
 from tickloom.session import checkpointed
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -109,7 +110,7 @@ _COUNTED = T.StructType(
 @F.arrow_udf(_COUNTED)
 def counted(texts: pa.Array) -> pa.Array:
     """Counts, base verdict and vector of each text."""
-    c = np.array([text_counts(t) for t in texts.to_pylist()], dtype="int64").reshape(-1, 7)
+    c = np.array([text_counts(t) for t in each(texts)], dtype="int64").reshape(-1, 7)
     v, n = vector(c.astype("float64")), c[:, 0]
     failed = (n < MIN_WORDS) | (100 * c[:, 4] > MAX_REPEAT_PERCENT * n)
     named = {name: c[:, i] for i, name in enumerate(COUNTS)} | {"base_failed": failed}

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
+from tickloom.llm.common import each
 from tickloom.llm.components import components
 from tickloom.session import checkpointed
 
@@ -67,7 +68,7 @@ def fingerprint(text: str | None) -> int:
 @F.arrow_udf(T.LongType())
 def fingerprints(texts: pa.Array) -> pa.Array:
     """The fingerprint of each text."""
-    return pa.array([fingerprint(t) for t in texts.to_pylist()], pa.int64())
+    return pa.array([fingerprint(t) for t in each(texts)], pa.int64())
 
 
 def as_hex(fp: Column) -> Column:

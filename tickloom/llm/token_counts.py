@@ -22,9 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.tokens import _SOLID, MAX_KNOWN, Encoder, plain, word_chunks, word_pieces
+from tickloom.llm.common import each
+from tickloom.llm.tokens import _SOLID, Encoder, plain, word_chunks, word_pieces
 
 LIMIT = 2048
+# A worker remembers about so many chunks, and half as many prefixes again; then it starts anew.
+MAX_KNOWN = 500_000
 LONG_PIECE = 64
 
 
@@ -116,7 +119,7 @@ def with_prefix_counts(docs: DataFrame, path: str) -> DataFrame:
     @F.arrow_udf("array<int>")
     def tables(texts: pa.Array) -> pa.Array:
         counts = counter(path).counts
-        return pa.array([counts(t).astype("int32") for t in texts.to_pylist()], pa.list_(pa.int32()))
+        return pa.array([counts(t).astype("int32") for t in each(texts)], pa.list_(pa.int32()))
 
     return docs.withColumn("prefix_tokens", tables("text"))
 
@@ -132,7 +135,7 @@ def counted(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = counter(path).total
         for batch in batches:
-            n = pa.array([total(t) for t in batch.column("text").to_pylist()], pa.int64())
+            n = pa.array([total(t) for t in each(batch.column("text"))], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), n], ["doc_id", "n_bytes", "n_tokens"]
             )

@@ -10,7 +10,7 @@ own pre-token pattern.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -19,8 +19,8 @@ import regex
 # The end of a document in token streams.
 END = 2
 
-# A worker remembers at most about so many chunks and as many pieces; then it starts anew.
-MAX_KNOWN = 500_000
+# A worker remembers about twice so many chunks and as many pieces, the latest used.
+MAX_KNOWN = 80_000
 
 # Characters whose lower case has one code point, that NFC leaves alone and that all
 # libraries class alike: ASCII, Latin letters, common punctuation.
@@ -62,6 +62,27 @@ def byte_pieces(chunk: str) -> list[str]:
     return _BYTE_PIECES.findall(chunk)
 
 
+class Recent:
+    """A bounded memory of two generations: what the older one still gives moves to the newer."""
+
+    def __init__(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, words: Iterable[str]) -> list[str]:
+        """Words not remembered. The others are in ``young`` afterwards."""
+        if len(self.young) > MAX_KNOWN:
+            self.old, self.young = self.young, {}
+        out, young, old = [], self.young, self.old
+        for w in words:
+            if w not in young:
+                if w in old:
+                    young[w] = old[w]
+                else:
+                    out.append(w)
+        return out
+
+
 class Encoder:
     """Ids of texts, as little-endian unsigned 16-bit numbers."""
 
@@ -75,25 +96,23 @@ class Encoder:
         if self.library.get_vocab_size(with_added_tokens=True) > 65_536:
             raise ValueError("ids of this vocabulary need more than 16 bits")
         self.chunks, self.pieces = chunks, pieces
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.known, self.parts = Recent(), Recent()
 
     def whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u2").tobytes()
 
-    def learn(self, new: list[str]) -> None:
-        """Ids of new chunks, from their pieces; the library sees new pieces only."""
-        if len(self.known) > MAX_KNOWN:
-            self.known.clear()
-        if len(self.parts) > MAX_KNOWN:
-            self.parts.clear()
+    def learn(self, chunks: set[str]) -> None:
+        """Remember the ids of all these chunks; the library sees new pieces only."""
+        new = self.known.missing(chunks)
         split = [self.pieces(chunk) for chunk in new]
-        missing = list({p for pieces in split for p in pieces if p not in self.parts})
+        missing = self.parts.missing({p for pieces in split for p in pieces})
         found = self.library.encode_batch_fast(missing, add_special_tokens=False)
-        self.parts.update((w, np.array(e.ids, "<u2").tobytes()) for w, e in zip(missing, found))
-        parts = self.parts
-        self.known.update((c, b"".join([parts[p] for p in ps])) for c, ps in zip(new, split))
+        parts = self.parts.young
+        parts.update((w, np.array(e.ids, "<u2").tobytes()) for w, e in zip(missing, found))
+        self.known.young.update(
+            (c, b"".join([parts[p] for p in ps])) for c, ps in zip(new, split)
+        )
 
     def encode(self, text: str | None) -> bytes:
         """The ids of one text; null is empty."""
@@ -101,14 +120,10 @@ class Encoder:
         if chunks is None:
             return self.whole(text)
         try:
-            return b"".join(map(self.known.__getitem__, chunks))
+            return b"".join(map(self.known.young.__getitem__, chunks))
         except KeyError:
-            distinct = set(chunks)
-            self.learn([w for w in distinct if w not in self.known])
-            lost = [w for w in distinct if w not in self.known]
-            if lost:  # memory was cleared while learning
-                self.learn(lost)
-            return b"".join(map(self.known.__getitem__, chunks))
+            self.learn(set(chunks))
+            return b"".join(map(self.known.young.__getitem__, chunks))
 
 
 @lru_cache(maxsize=4)

@@ -21,13 +21,15 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tickloom.llm.common import each
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5)
@@ -145,10 +147,9 @@ def fit(
 def scores(text: Column, model: Model) -> Column:
     """The score of a text column under a trained model."""
 
-    @F.pandas_udf("double")
-    def apply(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            yield pd.Series([model.score(t) for t in part], dtype="float64")
+    @F.arrow_udf(T.DoubleType())
+    def apply(texts: pa.Array) -> pa.Array:
+        return pa.array([model.score(t) for t in each(texts)], pa.float64())
 
     return apply(text)
 
