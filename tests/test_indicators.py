@@ -55,19 +55,19 @@ def test_sma(bars, series, block):
     for ticker, points in by_ticker(series).items():
         for i in range(9, len(points)):
             expected[ticker, points[i][0]] = sum(c for _, c in points[i - 9 : i + 1]) / 10
-    check(ind.sma(bars, 10, block=block), expected)
+    check(ind.sma(bars, 10, interval_ns=DAY, block=block), expected)
 
 
-@pytest.mark.parametrize("window, block", [(10, None), (10, 300), (2, None), (1, None), (50, 1300)])
+@pytest.mark.parametrize("window, block", [(10, None), (10, 300), (2, None), (1, None), (50, 1300), (10_000, None), (50, 1)])
 def test_ema(bars, series, window, block):
     expected = {}
     for ticker, points in by_ticker(series).items():
         values = ema_of([c for _, c in points], window)
         expected.update({(ticker, t): v for (t, _), v in zip(points, values)})
-    check(ind.ema(bars, window, block=block), expected)
+    check(ind.ema(bars, window, interval_ns=DAY, block=block), expected)
 
 
-@pytest.mark.parametrize("windows, block", [((12, 26, 9), None), ((12, 26, 9), 700), ((2, 200, 2), None)])
+@pytest.mark.parametrize("windows, block", [((12, 26, 9), None), ((12, 26, 9), 700), ((2, 200, 2), None), ((12, 6000, 9), None), ((9, 26, 9), 5)])
 def test_macd(bars, series, windows, block):
     short, long, signal = windows
     value, sig = {}, {}
@@ -76,15 +76,14 @@ def test_macd(bars, series, windows, block):
         line = [a - b for a, b in zip(ema_of(xs, short), ema_of(xs, long))]
         for (t, _), v, s in zip(points, line, ema_of(line, signal)):
             value[ticker, t], sig[ticker, t] = v, s
-    out = ind.macd(bars, short, long, signal, block=block)
+    out = ind.macd(bars, short, long, signal, interval_ns=DAY, block=block)
     check(out, value)
     check(out, sig, "signal")
     check(out, {k: value[k] - sig[k] for k in value}, "histogram")
 
 
-@pytest.mark.parametrize("block", [None, 900])
-def test_rsi(bars, series, block):
-    n, expected = 18, {}
+def rsi_of(series, n):
+    expected = {}
     for ticker, points in by_ticker(series).items():
         xs = [c for _, c in points]
         gains = [max(b - a, 0) for a, b in zip(xs, xs[1:])]
@@ -96,7 +95,46 @@ def test_rsi(bars, series, block):
             if i > n:
                 g, l = (g * (n - 1) + gains[i - 1]) / n, (l * (n - 1) + losses[i - 1]) / n
             expected[ticker, points[i][0]] = 100.0 if l == 0 else 100 - 100 / (1 + g / l)
-    check(ind.rsi(bars, n, block=block), expected)
+    return expected
+
+
+@pytest.mark.parametrize("n, block", [(18, None), (18, 900), (18, 7), (1, None), (1, 5), (2900, None)])
+def test_rsi(bars, series, n, block):
+    expected = rsi_of(series, n)
+    check(ind.rsi(bars, n, interval_ns=DAY, block=block), expected)
+
+
+def test_rsi_keeps_its_history_on_flat_prices(spark):
+    """Gains and losses fade alike, so a flat stretch does not move their ratio."""
+    rng, price, points = random.Random(2), 100.0, []
+    for i in range(12_000):
+        price = max(1.0, price + rng.choice([-1, 1])) if i < 8000 else price
+        points.append(("T", DAY * i, price))
+    flat = spark.createDataFrame(points, "ticker string, window_start bigint, close double")
+    check(ind.rsi(flat, 18, interval_ns=DAY), rsi_of(points, 18))
+
+
+def test_shapes_are_checked(bars):
+    for build in (
+        lambda: ind.ema(bars, 2, interval_ns=DAY, block=4096),
+        lambda: ind.rsi(bars, 18, interval_ns=DAY, block=0),
+        lambda: ind.ema(bars, 0, interval_ns=DAY),
+    ):
+        with pytest.raises(ValueError):
+            build()
+    with pytest.raises(TypeError):
+        ind.ema(bars, 2)
+
+
+def test_the_input_is_read_once(spark, tmp_path, series):
+    frame = spark.createDataFrame(series, "ticker string, window_start bigint, close double")
+    frame.write.parquet(str(tmp_path / "bars"))
+    stored = spark.read.parquet(str(tmp_path / "bars"))
+    for out in (ind.ema(stored, interval_ns=DAY), ind.macd(stored, interval_ns=DAY), ind.rsi(stored, interval_ns=DAY),
+                ind.sma(stored, interval_ns=DAY), ind.with_change(stored, interval_ns=DAY)):
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("FileScan") == 1, plan
 
 
 def test_change(bars, series):
@@ -104,13 +142,13 @@ def test_change(bars, series):
     for ticker, points in by_ticker(series).items():
         for (_, a), (t, b) in zip(points, points[1:]):
             expected[ticker, t] = b - a
-    out = ind.with_change(bars, block=13)
+    out = ind.with_change(bars, interval_ns=DAY, block=13)
     assert out.where("todays_change IS NULL").count() == 3
     check(out.where("todays_change IS NOT NULL"), expected, "todays_change")
 
 
 def test_table_form(bars):
-    out = ind.indicator_table(ind.macd(bars), "stock_macd", "day", 12)
+    out = ind.indicator_table(ind.macd(bars, interval_ns=DAY), "stock_macd", "day", 12)
     row = out.where("ticker = 'ONE'").first()
     assert row.series_window_timespan == "close_day_12" and row.underlying_close == 7.0
     assert row.signal == 0.0 and row.timestamp == row.underlying_timestamp

@@ -1,9 +1,10 @@
 """Moving averages, MACD, RSI and changes over bar series.
 
-Bars are one row per (ticker, time). Recurrences are evaluated as running sums of
-scaled terms, ``y[i] = a**i * sum(b[j] * a**-j)``, over blocks with a halo long
-enough that what came before weighs less than a double can hold. Everything is a
-window function over blocks of bounded length.
+Bars are one row per (ticker, time), spaced by ``interval_ns`` or more. Recurrences are
+evaluated block by block: within a block as running sums of scaled terms,
+``y[i] = a**i * sum(b[j] * a**-j)`` from a state of zero, and the state before the block
+is carried over from the summaries of the blocks ahead. No history is left out, for any
+window; the block length only bounds the scaling.
 """
 
 from __future__ import annotations
@@ -14,13 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars as sc
-from tickloom.operators.skew import halo_blocks, owned, with_ordinal
+from tickloom.operators.skew import halo_blocks, owned, states_before, with_ordinal
 
-# Bars per ranking chunk, and the least block length.
+# Bars per ranking chunk and, at most, per block.
 CHUNK_BARS = 4096
-# Weight below which earlier terms are lost in a double anyway (about 1e-20), and
-# the largest power of e by which terms are scaled up within a block.
-LOST = 46.0
+# The largest power of e by which terms are scaled up within a block.
 SCALE = 600.0
 
 
@@ -38,73 +37,88 @@ def _so_far(by: str) -> Window:
     return _in_block(by).rowsBetween(Window.unboundedPreceding, 0)
 
 
-def block_shape(*decays: float) -> tuple[int, int] | None:
-    """(block, halo) for recurrences with these decay factors, or None.
-
-    The slowest sets the halo, the fastest the length over which terms can be
-    scaled. None means no one block serves all of them.
-    """
+def block_length(block: int | None, *decays: float) -> int:
+    """Bars per block: ``block`` if given, else the most that the decay factors allow."""
     logs = [-math.log(a) for a in decays if a > 0]
-    if not logs:
-        return CHUNK_BARS, 1
-    halo = math.ceil(LOST / min(logs)) + 32
-    block = min(int(SCALE / max(logs)) - halo, 64 * CHUNK_BARS)
-    return (block, halo) if block >= 2 * halo else None
+    most = min([int(SCALE / x) for x in logs if x > 0] + [CHUNK_BARS])
+    if block is None:
+        return most
+    if not 1 <= block <= most:
+        raise ValueError(f"a block has 1 to {most} bars for these windows, not {block}")
+    return block
+
+
+def _blocks(bars: DataFrame, by: str, time: str, interval_ns: int, block: int) -> DataFrame:
+    """Rows with ``_ord``, ``_blk`` and ``_pos``, the position within the block."""
+    size = F.lit(block).cast("bigint")
+    ordinal = F.col("_ord")
+    return _ranked(bars, by, time, interval_ns).withColumns(
+        {"_blk": F.call_function("div", ordinal, size), "_pos": F.pmod(ordinal, size)}
+    )
+
+
+def _checked(window: int) -> int:
+    if window < 1:
+        raise ValueError(f"a window has 1 bar or more, not {window}")
+    return window
 
 
 def sma(
     bars: DataFrame,
     window: int = 10,
+    *,
+    interval_ns: int,
     by: str = "ticker",
     time: str = "window_start",
     value: str = "close",
-    interval_ns: int = sc.DAY_NS,
     out: str = "value",
     block: int | None = None,
 ) -> DataFrame:
     """Simple mean of the last ``window`` bars; earlier bars emit nothing."""
-    block = block or max(CHUNK_BARS, 8 * window)
+    block = max(CHUNK_BARS, 8 * _checked(window)) if block is None else block
     df = halo_blocks(_ranked(bars, by, time, interval_ns), block, window - 1)
     frame = _in_block(by).rowsBetween(1 - window, 0)
     df = df.withColumn(out, F.avg(value).over(frame)).where(F.col("_ord") >= window - 1)
     return owned(df)
 
 
-def _ema_value(x: Column, a: float, by: str) -> Column:
-    """Exponential mean within a block, seeded with the block's first value."""
+def _from_zero(term: Column, a: float, power: Column, by: str) -> Column:
+    """``sum(a**(power[i] - power[j]) * term[j])`` over the block so far."""
     if a == 0:
-        return x
-    pos = F.col("_pos")
-    weight = F.when(pos == 0, x).otherwise((1 - a) * x)
+        return term
     # A power is exact to the last bit, where exp(pos * log(a)) loses three digits.
-    decay = F.pow(F.lit(a), pos)
-    return F.sum(weight / decay).over(_so_far(by)) * decay
+    decay = F.pow(F.lit(a), power)
+    return F.sum(term / decay).over(_so_far(by)) * decay
 
 
-def _ema_pass(
-    df: DataFrame, by: str, x: str, window: int, out: str, block: int | None
-) -> DataFrame:
-    """One exponential mean over rows that already carry ``_ord``."""
-    a = 1 - 2 / (window + 1)
-    size, halo = block_shape(a)
-    cut = halo_blocks(df, block or size, halo)
-    cut = cut.withColumn(out, _ema_value(F.col(x), a, by))
-    return cut.where("_own").drop("_blk", "_pos", "_own")
+def _last(column: str) -> Column:
+    return F.max_by(column, "_pos").alias(column)
 
 
 def ema(
     bars: DataFrame,
     window: int = 10,
+    *,
+    interval_ns: int,
     by: str = "ticker",
     time: str = "window_start",
     value: str = "close",
-    interval_ns: int = sc.DAY_NS,
     out: str = "value",
     block: int | None = None,
 ) -> DataFrame:
     """Exponential mean, ``alpha = 2 / (window + 1)``, seeded with the first value."""
-    ranked = _ranked(bars, by, time, interval_ns)
-    return _ema_pass(ranked, by, value, window, out, block).drop("_ord")
+    a = 1 - 2 / (_checked(window) + 1)
+    df = _blocks(bars, by, time, interval_ns, block_length(block, a))
+    df = df.withColumn("_y", _from_zero((1 - a) * F.col(value), a, F.col("_pos"), by))
+    summary = [F.count(F.lit(1)).alias("n"), _last("_y"), F.min_by(value, "_pos").alias("x")]
+    # Before the first bar stands its own value, so that the first mean is that value.
+    df = states_before(
+        df, by, summary, lambda b: b["x"].cast("double"),
+        lambda y, b: F.pow(F.lit(a), b["n"]) * y + b["_y"],
+    )
+    mean = F.pow(F.lit(a), F.col("_pos") + 1) * F.col("_state") + F.col("_y")
+    mean = F.when(F.col("_ord") == 0, F.col(value).cast("double")).otherwise(mean)
+    return df.withColumn(out, mean).drop("_ord", "_blk", "_pos", "_y", "_state")
 
 
 def macd(
@@ -112,78 +126,139 @@ def macd(
     short: int = 12,
     long: int = 26,
     signal: int = 9,
+    *,
+    interval_ns: int,
     by: str = "ticker",
     time: str = "window_start",
     value: str = "close",
-    interval_ns: int = sc.DAY_NS,
     block: int | None = None,
 ) -> DataFrame:
     """Difference of two exponential means, its own mean, and the histogram.
 
-    Usual windows share one block; windows too far apart take one pass each.
+    The three means form one linear recurrence: what a mean's state before the block adds
+    to the signal has a closed form, so one pass serves all windows.
     """
-    ranked = _ranked(bars, by, time, interval_ns)
-    a = {n: 1 - 2 / (n + 1) for n in (short, long, signal)}
-    shape = block_shape(*a.values())
-    if shape:
-        size, halo = shape
-        df = halo_blocks(ranked, block or size, halo)
-        df = df.withColumn("_short", _ema_value(F.col(value), a[short], by))
-        df = df.withColumn("_long", _ema_value(F.col(value), a[long], by))
-        df = df.withColumn("value", F.col("_short") - F.col("_long"))
-        df = owned(df.withColumn("signal", _ema_value(F.col("value"), a[signal], by)))
-    else:
-        df = _ema_pass(ranked, by, value, short, "_short", block)
-        df = _ema_pass(df, by, value, long, "_long", block)
-        df = df.withColumn("value", F.col("_short") - F.col("_long"))
-        df = _ema_pass(df, by, "value", signal, "signal", block).drop("_ord")
-    return df.drop("_short", "_long").withColumn(
-        "histogram", F.col("value") - F.col("signal")
+    s, l, g = (1 - 2 / (_checked(n) + 1) for n in (short, long, signal))
+    df = _blocks(bars, by, time, interval_ns, block_length(block, s, l, g))
+    x, pos = F.col(value), F.col("_pos")
+    df = df.withColumn("_s", _from_zero((1 - s) * x, s, pos, by))
+    df = df.withColumn("_l", _from_zero((1 - l) * x, l, pos, by))
+    df = df.withColumn("_g", _from_zero((1 - g) * (F.col("_s") - F.col("_l")), g, pos, by))
+
+    def carried(a: float, n: Column) -> Column:
+        """What a state of 1 of a mean adds to the signal after n bars."""
+        if a == g:
+            return (1 - g) * n * F.pow(F.lit(a), n)
+        return (1 - g) * a / (a - g) * (F.pow(F.lit(a), n) - F.pow(F.lit(g), n))
+
+    def after(state: Column, n: Column, zero_s: Column, zero_l: Column, zero_g: Column) -> Column:
+        g_now = F.pow(F.lit(g), n) * state["g"] + carried(s, n) * state["s"]
+        return F.struct(
+            (F.pow(F.lit(s), n) * state["s"] + zero_s).alias("s"),
+            (F.pow(F.lit(l), n) * state["l"] + zero_l).alias("l"),
+            (g_now - carried(l, n) * state["l"] + zero_g).alias("g"),
+        )
+
+    summary = [F.count(F.lit(1)).alias("n"), *map(_last, ("_s", "_l", "_g"))]
+    first = F.min_by(value, "_pos").alias("x")
+    df = states_before(
+        df, by, [*summary, first],
+        lambda b: F.struct(
+            b["x"].cast("double").alias("s"), b["x"].cast("double").alias("l"), F.lit(0.0).alias("g")
+        ),
+        lambda state, b: after(state, b["n"], b["_s"], b["_l"], b["_g"]),
+    )
+    now = after(F.col("_state"), pos + 1, F.col("_s"), F.col("_l"), F.col("_g"))
+    first = x.cast("double")
+    seed = F.struct(first.alias("s"), first.alias("l"), F.lit(0.0).alias("g"))
+    now = F.when(F.col("_ord") == 0, seed).otherwise(now)
+    df = df.withColumn("_now", now).withColumns(
+        {"value": F.col("_now.s") - F.col("_now.l"), "signal": F.col("_now.g")}
+    )
+    return df.withColumn("histogram", F.col("value") - F.col("signal")).drop(
+        "_ord", "_blk", "_pos", "_s", "_l", "_g", "_state", "_now"
     )
 
 
 def rsi(
     bars: DataFrame,
     window: int = 18,
+    *,
+    interval_ns: int,
     by: str = "ticker",
     time: str = "window_start",
     value: str = "close",
-    interval_ns: int = sc.DAY_NS,
     out: str = "value",
     block: int | None = None,
 ) -> DataFrame:
-    """Relative strength, seeded with the mean of the first ``window`` changes."""
-    a = (window - 1) / window
-    size, halo = block_shape(a)
-    size = max(block or size, halo + window + 1)
-    df = halo_blocks(_ranked(bars, by, time, interval_ns), size, halo)
-    change = F.col(value) - F.lag(value).over(_in_block(by))
-    df = df.withColumn("_change", F.coalesce(change, F.lit(0.0)))
-    # The first `window` changes of a ticker carry equal weight.
-    pos = F.when(F.col("_blk") == 0, F.greatest("_pos", F.lit(window))).otherwise(
-        F.col("_pos")
-    )
+    """Relative strength, seeded with the mean of the first ``window`` changes.
 
-    def average(x: Column) -> Column:
-        if a == 0:
-            return x
-        decay = F.pow(F.lit(a), pos)
-        return F.sum(x / window / decay).over(_so_far(by)) * decay
-
-    zero = F.lit(0.0)
-    df = df.withColumn("_gain", average(F.greatest("_change", zero)))
-    df = df.withColumn("_loss", average(F.greatest(-F.col("_change"), zero)))
-    strength = 100 - 100 / (1 + F.try_divide("_gain", "_loss"))
-    df = df.withColumn(out, F.when(F.col("_loss") == 0, F.lit(100.0)).otherwise(strength))
-    return owned(df.where(F.col("_ord") >= window)).drop("_change", "_gain", "_loss")
+    The first ``window`` changes of a ticker carry equal weight: the averages decay from
+    the bar after them on.
+    """
+    a = (_checked(window) - 1) / window
+    size = block_length(block, a)
+    df = _blocks(bars, by, time, interval_ns, size)
+    zero, x = F.lit(0.0), F.col(value)
+
+    def decays(ordinal: Column) -> Column:
+        return F.greatest(ordinal - window, F.lit(0).cast("bigint"))
+
+    power = decays(F.col("_ord")) - decays(F.col("_blk") * size - 1)
+    df = df.withColumn("_power", power).withColumn("_change", x - F.lag(value).over(_in_block(by)))
+    # The first change of a block is known once the block before is.
+    for name, sign in (("_gain", 1), ("_loss", -1)):
+        term = F.coalesce(F.greatest(sign * F.col("_change"), zero), zero) / window
+        df = df.withColumn(name, _from_zero(term, a, F.col("_power"), by))
+
+    def after(state: Column, first: Column, power: Column, head: Column, zeros: dict) -> dict:
+        """Both averages from the state before the block and the block's first change."""
+        change = F.coalesce(first - state["last"], zero)
+        keep = F.pow(F.lit(a), power)
+        # With no decay at all only a bar's own change counts.
+        since = F.pow(F.lit(a), power - head)
+        return {
+            n: keep * state[n] + since * F.greatest(sign * change, zero) / window + zeros[n]
+            for n, sign in (("gain", 1), ("loss", -1))
+        }
+
+    summary = [
+        F.min_by(value, "_pos").cast("double").alias("first"),
+        F.max_by(value, "_pos").cast("double").alias("last"),
+        F.max_by("_power", "_pos").alias("power"),
+        F.min_by("_power", "_pos").alias("head"),
+        _last("_gain"), _last("_loss"),
+    ]
+
+    def step(state: Column, b: Column) -> Column:
+        now = after(state, b["first"], b["power"], b["head"], {"gain": b["_gain"], "loss": b["_loss"]})
+        return F.struct(now["gain"].alias("gain"), now["loss"].alias("loss"), b["last"].alias("last"))
+
+    nothing = F.struct(zero.alias("gain"), zero.alias("loss"), F.lit(None).cast("double").alias("last"))
+    df = states_before(df, by, summary, lambda b: nothing, step)
+    whole = Window.partitionBy(by, "_blk").orderBy("_ord").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    df = df.withColumns({"_first": F.first(value).over(whole), "_head": F.first("_power").over(whole)})
+    now = after(
+        F.col("_state"), F.col("_first").cast("double"), F.col("_power"), F.col("_head"),
+        {"gain": F.col("_gain"), "loss": F.col("_loss")},
+    )
+    df = df.withColumns({"_up": now["gain"], "_down": now["loss"]})
+    strength = 100 - 100 / (1 + F.try_divide("_up", "_down"))
+    df = df.withColumn(out, F.when(F.col("_down") == 0, F.lit(100.0)).otherwise(strength))
+    return df.where(F.col("_ord") >= window).drop(
+        "_ord", "_blk", "_pos", "_power", "_change", "_gain", "_loss", "_state", "_first", "_head", "_up", "_down"
+    )
 
 
 def with_change(
     bars: DataFrame,
+    *,
+    interval_ns: int,
     by: str = "ticker",
     time: str = "window_start",
     value: str = "close",
-    interval_ns: int = sc.DAY_NS,
     block: int | None = None,
 ) -> DataFrame:
     """Add ``todays_change`` and ``todays_change_percent`` against the bar before."""

@@ -2,9 +2,10 @@
 
 A window partitioned by ticker alone puts a ticker's full history into one task.
 Here each row first gets its position within its key, counted chunk by chunk, and
-the series is then cut into blocks of fixed length. Every block repeats the last
-few rows of the block before it (the halo), enough for the wanted window, so
-blocks are computed independently.
+the series is then cut into blocks of fixed length. For a window of a few rows, every
+block repeats the last rows of the block before it (the halo). For recurrences, each
+block is summed up in one row; the summaries of a key are folded in order, and the state
+before each block is joined back (``states_before``).
 """
 
 from __future__ import annotations
@@ -13,6 +14,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def tie(df: DataFrame) -> Column:
+    """An aggregate over all columns of ``df``.
+
+    A summary that is joined back to its rows reads few columns, so Spark would prune the
+    others below the shuffle and then run the input twice, once per shuffle. This keeps
+    both sides' shuffles equal, and the second reuses the first.
+    """
+    return F.max(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).alias("_tie")
+
+
 def with_ordinal(df: DataFrame, by: list[str], order: list[str], chunk: Column) -> DataFrame:
     """Add ``_ord``, the 0-based position of each row within its key.
 
@@ -21,20 +32,58 @@ def with_ordinal(df: DataFrame, by: list[str], order: list[str], chunk: Column)
     only ranked within their chunk.
     """
     chunked = df.withColumn("_chunk", chunk)
-    sizes = chunked.groupBy(*by, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    # Both sides of the join below drop null keys; said here, their shuffles stay equal.
+    for key in (*by, "_chunk"):
+        chunked = chunked.where(F.col(key).isNotNull())
+    chunked = chunked.repartition(*by, "_chunk")
+    sizes = chunked.groupBy(*by, "_chunk").agg(F.count(F.lit(1)).alias("_n"), tie(chunked))
     before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = sizes.select(
-        *by, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+        "_tie", *by, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     rank = F.row_number().over(Window.partitionBy(*by, "_chunk").orderBy(*order))
     return (
         chunked.withColumn("_rank", rank)
         .join(offsets, [*by, "_chunk"])
         .withColumn("_ord", F.col("_offset") + F.col("_rank") - 1)
-        .drop("_chunk", "_offset", "_rank")
+        # A hash is never null; the condition only keeps the column in use.
+        .where(F.col("_tie").isNotNull())
+        .drop("_chunk", "_offset", "_rank", "_tie")
+    )
+
+
+def states_before(
+    df: DataFrame, by: str, summary: list[Column], start: Column, step
+) -> DataFrame:
+    """Rows of ``df`` (with ``_blk``) and ``_state``, the state of their key before the block.
+
+    ``summary`` are aggregates of a block. ``start`` is the state before the first block, in
+    terms of the first block's summary ``b``; ``step(state, b)`` is the state after a block.
+    A key has one summary per block, folded in order; rows themselves never meet in one task.
+    """
+    blocks = df.groupBy(by, "_blk").agg(*summary, tie(df))
+    fields = [c for c in blocks.columns if c != by]
+    b = F.col("_all")[0]
+    state = start(b)
+
+    def advance(acc, block):
+        after = step(acc["now"], block)
+        return F.struct(after.alias("now"), F.concat(acc["out"], F.array(acc["now"])).alias("out"))
+
+    none = F.filter(F.array(state), lambda x: F.lit(False))
+    folded = F.aggregate(
+        "_all", F.struct(state.alias("now"), none.alias("out")), advance, lambda acc: acc["out"]
+    )
+    states = (
+        blocks.groupBy(by)
+        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_all"))
+        .select(by, F.explode(F.arrays_zip(F.col("_all._blk").alias("_blk"), folded.alias("_state"))).alias("_z"))
+        .select(F.col(by).alias("_by"), F.col("_z._blk").alias("_of"), F.col("_z._state").alias("_state"))
     )
+    here = (F.col(by) == F.col("_by")) & (F.col("_blk") == F.col("_of"))
+    return df.join(states, here).drop("_by", "_of")
 
 
 def halo_blocks(df: DataFrame, block: int, halo: int) -> DataFrame:

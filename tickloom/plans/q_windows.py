@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalars import DAY_NS
 from tickloom.operators import bars as br
 from tickloom.operators import calendar as cal
 from tickloom.operators import indicators as ind
@@ -35,7 +36,7 @@ def _ema_sql(name: str, source: str, column: str, window: int) -> str:
     'close_day_10' AS series_window_timespan FROM w WHERE rn >= 10""",
 )
 def _(spark, d):
-    values = ind.sma(m.day_bars(spark, d), 10)
+    values = ind.sma(m.day_bars(spark, d), 10, interval_ns=DAY_NS)
     out = ind.indicator_table(values, "stock_sma", "day", 10)
     return out.select(
         "ticker",
@@ -45,9 +46,9 @@ def _(spark, d):
     )
 
 
-def _places(df, *values: str):
-    """Recurrences over prices near 100,000 keep about 4 sure decimals."""
-    return df.select("ticker", "window_start", *[F.round(v, 4).alias(v) for v in values])
+def _places(df, *values: str, places: int = 4):
+    """Rounded values; of prices near 100,000 a double's recurrence has 4 sure decimals."""
+    return df.select("ticker", "window_start", *[F.round(v, places).alias(v) for v in values])
 
 
 @query(
@@ -56,7 +57,7 @@ def _places(df, *values: str):
     SELECT ticker, CAST(window_start AS BIGINT) AS window_start, round(y, 4) AS value FROM e""",
 )
 def _(spark, d):
-    return _places(ind.ema(m.day_bars(spark, d), 10), "value")
+    return _places(ind.ema(m.day_bars(spark, d), 10, interval_ns=DAY_NS), "value")
 
 
 @query(
@@ -71,12 +72,10 @@ def _(spark, d):
     FROM g JOIN diff USING (ticker, rn)""",
 )
 def _(spark, d):
-    return _places(ind.macd(m.day_bars(spark, d)), "value", "signal", "histogram")
+    return _places(ind.macd(m.day_bars(spark, d), interval_ns=DAY_NS), "value", "signal", "histogram")
 
 
-@query(
-    "win04_rsi",
-    f"""WITH RECURSIVE {_SERIES}, ch AS (SELECT ticker, rn - 1 AS rn, window_start,
+_RSI = f"""WITH RECURSIVE {_SERIES}, ch AS (SELECT ticker, rn - 1 AS rn, window_start,
      greatest(close - lag(close) OVER w, 0) AS g, greatest(lag(close) OVER w - close, 0) AS l
      FROM series WINDOW w AS (PARTITION BY ticker ORDER BY rn)),
     seed AS (SELECT ticker, avg(g) AS g, avg(l) AS l FROM ch WHERE rn BETWEEN 1 AND 18
@@ -87,10 +86,52 @@ def _(spark, d):
      SELECT c.ticker, c.rn, c.window_start, (r.g * 17 + c.g) / 18, (r.l * 17 + c.l) / 18
      FROM r JOIN ch c ON c.ticker = r.ticker AND c.rn = r.rn + 1)
     SELECT ticker, CAST(window_start AS BIGINT) AS window_start,
-    round(CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END, 4) AS value FROM r""",
+    round(CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END, 6) AS value FROM r"""
+
+
+@query("win04_rsi", _RSI)
+def _(spark, d):
+    return _places(ind.rsi(m.day_bars(spark, d), 18, interval_ns=DAY_NS), "value", places=6)
+
+
+@query("win04_rsi_blocks", _RSI)
+def _(spark, d):
+    # Blocks of 7 bars: the seed of 18 changes spans three of them.
+    out = ind.rsi(m.day_bars(spark, d), 18, interval_ns=DAY_NS, block=7)
+    return _places(out, "value", places=6)
+
+
+# Prices near 100, where a double's recurrence is sure to six decimals, in blocks of a few bars.
+_SMALL = _SERIES.replace("SELECT ticker, window_start, close,", "SELECT ticker, window_start, close / 1000 AS close,")
+
+
+def _small(spark, d):
+    return m.day_bars(spark, d).withColumn("close", F.col("close") / 1000)
+
+
+@query(
+    "win02_ema_blocks",
+    f"""WITH RECURSIVE {_SMALL}, {_ema_sql('e', 'series', 'close', 10)}
+    SELECT ticker, CAST(window_start AS BIGINT) AS window_start, round(y, 6) AS value FROM e""",
+)
+def _(spark, d):
+    return _places(ind.ema(_small(spark, d), 10, interval_ns=DAY_NS, block=9), "value", places=6)
+
+
+@query(
+    "win03_macd_blocks",
+    f"""WITH RECURSIVE {_SMALL}, {_ema_sql('a', 'series', 'close', 12)},
+    {_ema_sql('b', 'series', 'close', 26)},
+    diff AS (SELECT a.ticker, a.rn, a.window_start, a.y - b.y AS macd
+     FROM a JOIN b ON a.ticker = b.ticker AND a.rn = b.rn),
+    {_ema_sql('g', 'diff', 'macd', 9)}
+    SELECT g.ticker, CAST(g.window_start AS BIGINT) AS window_start, round(macd, 6) AS value,
+    round(g.y, 6) AS signal, round(macd - g.y, 6) AS histogram
+    FROM g JOIN diff USING (ticker, rn)""",
 )
 def _(spark, d):
-    return _places(ind.rsi(m.day_bars(spark, d), 18), "value")
+    out = ind.macd(_small(spark, d), interval_ns=DAY_NS, block=11)
+    return _places(out, "value", "signal", "histogram", places=6)
 
 
 _CHANGES = f"""{m.TICK_DAY_BARS}, changes AS (SELECT ticker, window_start, close, volume,
@@ -111,7 +152,7 @@ _CHANGES = f"""{m.TICK_DAY_BARS}, changes AS (SELECT ticker, window_start, close
     WHERE rank <= 20""",
 )
 def _(spark, d):
-    changes = ind.with_change(m.tick_day_bars(spark, d)).withColumn(
+    changes = ind.with_change(m.tick_day_bars(spark, d), interval_ns=DAY_NS).withColumn(
         "todays_change_percent", F.round("todays_change_percent", 6)
     )
     top = br.top_movers(changes, "both", 20, min_volume=100, by=("window_start",))
@@ -128,7 +169,7 @@ def _(spark, d):
     ORDER BY todays_change_percent DESC, ticker, window_start LIMIT 20""",
 )
 def _(spark, d):
-    changes = ind.with_change(m.tick_day_bars(spark, d)).withColumn(
+    changes = ind.with_change(m.tick_day_bars(spark, d), interval_ns=DAY_NS).withColumn(
         "todays_change_percent", F.round("todays_change_percent", 6)
     )
     top = br.top_movers(changes, "gainers", min_volume=None)
@@ -199,7 +240,7 @@ def _(spark, d):
     round(100 * (close - before) / before, 6) AS todays_change_percent FROM c""",
 )
 def _(spark, d):
-    out = ind.with_change(m.day_bars(spark, d))
+    out = ind.with_change(m.day_bars(spark, d), interval_ns=DAY_NS)
     return out.select("ticker", "window_start", "todays_change", "todays_change_percent")
 
 
@@ -238,7 +279,7 @@ def _(spark, d):
     pct AS todays_change_percent FROM r WHERE rank <= 5""",
 )
 def _(spark, d):
-    changes = ind.with_change(m.tick_day_bars(spark, d)).withColumn(
+    changes = ind.with_change(m.tick_day_bars(spark, d), interval_ns=DAY_NS).withColumn(
         "todays_change_percent", F.round("todays_change_percent", 6)
     )
     top = br.top_movers(changes, "losers", 5, min_volume=None, by=("window_start",))
