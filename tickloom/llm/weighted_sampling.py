@@ -98,6 +98,15 @@ def likeness(a: Column, b: Column) -> Column:
     return sum(equal[1:], equal[0]) / F.lit(float(SLOTS))
 
 
+def _same(a: str, b: str) -> Column:
+    """True for equal ids, nulls included, of two joined sides.
+
+    Written as one expression over both sides, so that a join on ``k`` has no further key
+    and its sides stay dealt by ``k`` alone.
+    """
+    return F.xxhash64(a).bitwiseXOR(F.xxhash64(b)) == 0
+
+
 def with_next(ids: DataFrame) -> DataFrame:
     """(doc_id, k, next_id, next_k): descending doc_id, nulls last, the first after the last.
 
@@ -142,7 +151,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     ring = with_next(ids.select("doc_id", "k"))
     lengths = ids.select(F.col("k").alias("__k"), F.col("doc_id").alias("__id"), "n_chars")
     ring = checkpointed(
-        ring.join(lengths, (F.col("k") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+        ring.join(lengths, (F.col("k") == F.col("__k")) & _same("doc_id", "__id"))
         .withColumn("cut", F.floor(F.col("n_chars") / 3).cast("int"))
         .drop("__k", "__id")
     )
@@ -154,12 +163,12 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     named = ring.select(
         F.col("k").alias("to_k"), F.col("doc_id").alias("to_id"), "next_k", "next_id", "n_chars", "cut"
     )
-    is_next = (F.col("__k") == F.col("next_k")) & F.col("__id").eqNullSafe(F.col("next_id"))
+    is_next = (F.col("__k") == F.col("next_k")) & _same("__id", "next_id")
     tails = lent.join(named, is_next).select(
         "to_k", "to_id", "next_k", "next_id", "n_chars", "cut",
         F.substring("__text", F.lit(1), F.col("cut")).alias("tail"),
     )
-    is_own = (F.col("k") == F.col("to_k")) & F.col("doc_id").eqNullSafe(F.col("to_id"))
+    is_own = (F.col("k") == F.col("to_k")) & _same("doc_id", "to_id")
     head = F.substring("text", F.lit(1), F.col("n_chars") - F.col("cut"))
     pairs = texts.join(tails, is_own).select(
         "k", "doc_id", "next_k", "next_id", F.col("n_chars").cast("bigint").alias("n_chars"),
@@ -173,7 +182,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
         "k", "doc_id", "next_k", "next_id", "n_chars",
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
     )
-    same = (F.col("k") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    same = (F.col("k") == F.col("__k")) & _same("doc_id", "__id")
     none = F.lit("0" * DIGITS * SLOTS)
     found = checkpointed(
         facts.join(signed, same, "left").drop("__k", "__id").withColumns(
