@@ -2,7 +2,6 @@ import random
 
 import pytest
 
-from tickloom.operators import asof
 from tickloom.operators.asof import asof_backward
 
 
@@ -10,7 +9,7 @@ def brute(left, right):
     out = []
     for key, t, row in left:
         best = max(
-            ((r[1], r[2]) for r in right if r[0] == key and t is not None and r[1] <= t),
+            ((r[1], r[2]) for r in right if r[0] == key and None not in (key, t, r[1]) and r[1] <= t),
             default=(None, None),
         )
         out.append((key, t, row, *best))
@@ -45,25 +44,25 @@ def test_plain(spark, rows, seed):
     assert run(spark, left, right, rows) == brute(left, right)
 
 
-@pytest.mark.parametrize("hot_rows, stride", [(300, 128), (60, 3), (5, 2), (1, 128)])
-def test_hot_keys_in_pieces(spark, rows, monkeypatch, hot_rows, stride):
-    monkeypatch.setattr(asof, "STRIDE", stride)
+@pytest.mark.parametrize("bucket", [1, 3, 60, 500, 5000])
+def test_keys_cut_by_time(spark, rows, bucket):
     left, right = data(11)
-    assert run(spark, left, right, rows, hot_rows=hot_rows) == brute(left, right)
+    assert run(spark, left, right, rows, bucket=bucket) == brute(left, right)
 
 
 def test_hot_key_with_marks_only_at_the_start(spark, rows):
     left = [("hot", t, t) for t in range(300)]
     right = [("hot", 5, 1), ("hot", 5, 2), ("cold", 0, 3)]
-    assert run(spark, left, right, rows, hot_rows=20) == brute(left, right)
+    assert run(spark, left, right, rows, bucket=20) == brute(left, right)
 
 
 def test_all_rows_at_one_time(spark, rows):
     left = [("hot", 7, i) for i in range(200)]
     right = [("hot", 7, 1000 + i) for i in range(200)]
-    assert run(spark, left, right, rows, hot_rows=50) == brute(left, right)
+    assert run(spark, left, right, rows, bucket=50) == brute(left, right)
 
 
 def test_nothing_before(spark, rows):
-    left, right = [("a", 5, 1), ("b", 9, 2), ("a", None, 3)], [("a", 6, 7), (None, 1, 8)]
+    left = [("a", 5, 1), ("b", 9, 2), ("a", None, 3), (None, 4, 5), (None, None, 6)]
+    right = [("a", 6, 7), (None, 1, 8), ("a", None, 9)]
     assert run(spark, left, right, rows) == brute(left, right)

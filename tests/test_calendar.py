@@ -54,7 +54,7 @@ def test_earnings_windows(spark, rows):
         ("A", "2024-07-05"),
         ("A", "2024-07-08"),
     ]
-    listed = cal.tickers_on(cal.earnings_windows(earnings, calendar(spark)))
+    listed = cal.listed_tickers(cal.tickers_on(cal.earnings_windows(earnings, calendar(spark))))
     by_date = {r.snapshot_date: r.tickers for r in listed.collect()}
     assert by_date[date(2024, 7, 5)] == ["A", "X.HK"]
 

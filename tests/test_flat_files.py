@@ -88,10 +88,23 @@ def test_sink_is_idempotent(spark, rows):
     sinks.write_table(df, spec, path, order=("n",))
     sinks.write_table(df.where("ticker = 'A'"), spec, path, order=("n",))
     assert rows(spark.read.parquet(path), "ticker", "n") == [("A", 2), ("B", 3)]
+    part = spark.createDataFrame([("2024-01-02", "C", 9)], "file_date string, ticker string, n bigint")
+    sinks.write_table(part.withColumn("file_date", F.to_date("file_date")), spec, path)
+    assert rows(spark.read.parquet(path), "ticker", "n") == [("A", 2), ("B", 3), ("C", 9)]
     with pytest.raises(ValueError):
         sinks.write_table(df.drop("ticker"), spec, path)
 
 
+def test_venues_keep_earlier_batches(spark, rows):
+    schema = "venue string, file_date string, ticker string, sip_timestamp bigint, sequence_number bigint"
+    first = spark.createDataFrame([("cme", "2024-01-02", "A", i, i) for i in range(10)], schema)
+    later = spark.createDataFrame([("cme", "2024-01-03", "A", 99, 99)], schema)
+    path = scratch_path(spark, "venues")
+    for batch in (first, later, later, first.limit(1)):
+        sinks.write_by_venue(batch, path)
+    assert spark.read.parquet(path).count() == 11
+
+
 def test_declared_flat_file(spark, tmp_path):
     path = tmp_path / "2024-01-02.csv"
     path.write_text(

@@ -1,19 +1,27 @@
+import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators.sizes import small_side
+from tickloom.operators.sizes import by_date, on_dates
 
 
-def hinted(df):
-    return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+def test_dates_are_bounded(spark):
+    rows = spark.createDataFrame([("2024-01-02", 1), ("2024-01-02", 2), ("2024-01-03", 3)], "d string, n int")
+    assert sorted(tuple(r) for r in by_date(rows, "d").collect()) == [
+        ("2024-01-02", 1), ("2024-01-02", 2), ("2024-01-03", 3),
+    ]
+    crowded = spark.range(9).select(F.lit("2024-01-02").alias("d"), "id")
+    with pytest.raises(Exception, match="too many rows of date 2024-01-02"):
+        by_date(crowded, "d").collect()
 
 
-def test_hint_only_below_the_limit(spark):
-    df = spark.range(100).withColumn("t", F.lit("x" * 50))
-    assert hinted(small_side(df))
-    assert not hinted(small_side(df, max_bytes=5_000))
-
-
-def test_long_text_counts(spark):
-    df = spark.range(10).withColumn("s", F.struct(F.repeat(F.lit("y"), 1000).alias("t")))
-    assert not hinted(small_side(df, max_bytes=10_000))
-    assert hinted(small_side(df.limit(0), max_bytes=0))
+def test_other_dates_are_not_opened(spark, tmp_path):
+    """The scan's own metrics: one file of five is read."""
+    path = str(tmp_path / "ticks")
+    rows = spark.range(50).selectExpr("date_add(DATE'2024-01-01', cast(id % 5 as int)) as file_date", "id")
+    rows.repartition("file_date").write.partitionBy("file_date").parquet(path)
+    wanted = spark.createDataFrame([("2024-01-03",), (None,)], "day string")
+    out = on_dates(spark.read.parquet(path), "file_date", wanted.selectExpr("cast(day as date) as day"), "day")
+    out = out.select("id")
+    assert len(out.collect()) == 10
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan

@@ -1,22 +1,23 @@
-"""Backward as-of matching with hot keys cut by time."""
+"""Backward as-of matching, cut by time."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickloom.operators.sizes import small_side
-from tickloom.session import checkpointed
+from tickloom.functions import scalars as sc
 
-# Rows of one key that one task may sort. A larger key is cut into pieces of about
-# this size, at most this many.
-HOT_ROWS = 20_000_000
-MAX_PIECES = 16_384
-# Times drawn per piece to place the bounds. Any bounds give the same result; good
-# ones only make pieces of like size.
-DRAWS = 1_000
-# Bounds are looked up in two steps, first among every so-many-th.
-STRIDE = 128
+# Time that one task matches of a key, in nanoseconds or in the numbers of the time column.
+BUCKET = 3_600_000_000_000
+
+
+def _bucket(time: Column, kind: T.DataType, size: int) -> Column:
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return sc.floor_div(F.unix_micros(time.cast("timestamp")), max(1, size // 1000))
+    if isinstance(kind, T.DateType):
+        return sc.floor_div(F.unix_date(time).cast("bigint") * sc.DAY_NS, size)
+    return F.floor(time / F.lit(size)).cast("bigint")
 
 
 def asof_backward(
@@ -27,138 +28,59 @@ def asof_backward(
     right_on: str,
     tie: tuple[str, ...] = (),
     prefix: str = "",
-    hot_rows: int = HOT_ROWS,
+    bucket: int = BUCKET,
 ) -> DataFrame:
     """Every left row with the last right row at or before its time, or NULLs.
 
-    Right columns other than the keys are added, with ``prefix``. Among right rows
-    of one time the last by ``tie`` wins. Both sides are sorted together by time
-    within a key, in one shuffle. A key with more than ``hot_rows`` rows is cut into
-    pieces of about that size at its own time quantiles, each piece starting from the
-    last right row before it.
+    Right columns other than the keys are added, with ``prefix``. Among right rows of one
+    time the last by ``tie`` wins.
+
+    Both sides first collapse to one row per key and time, in partial aggregates, so any
+    number of rows at one instant are one. Times are matched within buckets of ``bucket``
+    time; a bucket starts from the last right row of the buckets before it, found among one
+    row per key and bucket. A key's history is thus spread over its buckets, whatever its
+    size. Left rows then get their time's answer; rows without a key or a time get none.
     """
     by = [by] if isinstance(by, str) else list(by)
     values = [c for c in right.columns if c not in by]
-    rows = left.select(
-        *by, F.col(left_on).alias("_t"), F.struct(*left.columns).alias("_row")
+    rows = left.select(*by, F.col(left_on).alias("_t"), F.struct(*left.columns).alias("_row"))
+    complete = F.col("_t").isNotNull()
+    for key in by:
+        complete = complete & F.col(key).isNotNull()
+
+    marks = (
+        right.select(*by, F.col(right_on).alias("_t"), F.struct(*values).alias("_mark"),
+                     F.struct(*[F.col(c) for c in tie], F.lit(0)).alias("_tie"))
+        .where(complete)
+        .groupBy(*by, "_t")
+        .agg(F.max_by("_mark", "_tie").alias("_mark"))
+        .withColumn("_bucket", _bucket(F.col("_t"), right.schema[right_on].dataType, bucket))
     )
-    marks = right.dropna(subset=[*by, right_on]).select(
-        *by,
-        F.col(right_on).alias("_t"),
-        F.struct(*[F.col(c) for c in tie], F.lit(0)).alias("_tie"),
-        F.struct(*values).alias("_mark"),
+    times = (
+        rows.where(complete).select(*by, "_t").distinct()
+        .withColumn("_bucket", _bucket(F.col("_t"), left.schema[left_on].dataType, bucket))
     )
-    bounds = _time_bounds(rows, marks, by, hot_rows)
-    if bounds is None:
-        matched = _match(rows, marks, by)
-    else:
-        matched = _match_in_pieces(rows, marks, by, bounds)
-    return matched.select(
-        "_row.*", *[F.col(f"_mark.{c}").alias(f"{prefix}{c}") for c in values]
-    )
-
-
-def _match(rows: DataFrame, marks: DataFrame, groups: list[str]) -> DataFrame:
-    """One sort per group: the marks come before the rows of the same time."""
-    merged = rows.withColumn("_is_row", F.lit(1)).unionByName(
-        marks.withColumn("_is_row", F.lit(0)), allowMissingColumns=True
+    merged = times.withColumn("_asks", F.lit(1)).unionByName(
+        marks.withColumn("_asks", F.lit(0)), allowMissingColumns=True
     )
-    seen = (
-        Window.partitionBy(*groups)
-        .orderBy("_t", "_is_row", "_tie")
+    # Marks come before the rows of the same time.
+    so_far = (
+        Window.partitionBy(*by, "_bucket").orderBy("_t", "_asks")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    last = F.last("_mark", ignorenulls=True).over(seen)
-    return merged.withColumn("_mark", last).where("_is_row = 1").drop("_is_row", "_tie")
-
-
-def _time_bounds(
-    rows: DataFrame, marks: DataFrame, by: list[str], hot_rows: int
-) -> DataFrame | None:
-    """Time quantiles of every hot key, written once; None when no key is hot."""
-    times = rows.select(*by, "_t").unionByName(marks.select(*by, "_t")).dropna()
-    counts = times.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    hot = checkpointed(counts.where(F.col("_n") > hot_rows))
-    largest = hot.agg(F.max("_n").alias("n")).first().n
-    if largest is None:
-        return None
-    pieces = min(MAX_PIECES, largest // hot_rows + 1)
-    cuts = [i / pieces for i in range(1, pieces)] or [0.5]
-    quantiles = F.percentile_approx("_t", cuts, max(10_000, 4 * pieces))
-    # A key of average heat needs only some of the cuts.
-    step = F.greatest(F.lit(1), F.floor(F.lit(largest) / F.col("_n"))).cast("int")
-    some = F.filter("_cuts", lambda x, i: F.pmod(i, F.col("_step")) == 0)
-    drawn = times.sample(min(1.0, DRAWS / hot_rows), seed=1)
-    bounds = (
-        drawn.join(small_side(hot.withColumn("_step", step).drop("_n")), by)
-        .groupBy(*by, "_step")
-        .agg(quantiles.alias("_cuts"))
-        .select(*by, F.array_sort(F.array_distinct(some)).alias("_bounds"))
-    )
-    # Quantiles are approximate, so all uses below must see the same ones.
-    return checkpointed(bounds)
-
+    found = merged.withColumn("_mark", F.last("_mark", ignorenulls=True).over(so_far)).where("_asks = 1")
 
-def _with_piece(df: DataFrame, bounds: DataFrame, by: list[str]) -> DataFrame:
-    """Add ``_piece``: even numbers lie between bounds, odd ones are the bounds.
-
-    The bounds of a key are searched in two steps, through two small joins, so that
-    no row ever carries all of them.
-    """
-    stride = F.lit(STRIDE)
-    coarse = F.filter("_bounds", lambda x, i: F.pmod(i, stride) == 0)
-    starts = F.sequence(F.lit(0), F.size("_bounds") - 1, stride)
-    runs = F.transform(starts, lambda i: F.slice("_bounds", i + 1, stride))
-    by_key = small_side(bounds.select(*by, coarse.alias("_coarse")))
-    by_run = small_side(bounds.select(*by, F.posexplode(runs).alias("_run", "_fine")))
-    t = F.col("_t")
-    run = F.greatest(F.size(F.filter("_coarse", lambda b: b <= t)) - 1, F.lit(0))
-    found = F.when(F.col("_coarse").isNotNull() & t.isNotNull(), run)
-    below = F.size(F.filter("_fine", lambda b: b < t))
-    on = F.coalesce((F.get("_fine", below) == t).cast("int"), F.lit(0))
-    piece = (F.col("_run") * stride + below) * 2 + on
-    return (
-        df.join(by_key, by, "left")
-        .withColumn("_run", found)
-        .drop("_coarse")
-        .join(by_run, [*by, "_run"], "left")
-        .withColumn("_piece", F.when(F.col("_fine").isNotNull(), piece).otherwise(F.lit(0)))
-        .drop("_run", "_fine")
-    )
-
-
-def _match_in_pieces(
-    rows: DataFrame, marks: DataFrame, by: list[str], bounds: DataFrame
-) -> DataFrame:
-    rows, marks = _with_piece(rows, bounds, by), _with_piece(marks, bounds, by)
-    # The last mark of every piece of a hot key, then the last one before it. A
-    # piece that is a single time starts from its own marks too.
-    lasts = (
-        marks.join(small_side(bounds.select(*by)), by, "left_semi")
-        .groupBy(*by, "_piece")
-        .agg(F.max_by("_mark", F.struct("_t", "_tie")).alias("_last"))
-    )
-    numbers = bounds.select(
-        *by, F.explode(F.sequence(F.lit(0), F.size("_bounds") * 2)).alias("_piece")
-    )
-    order = Window.partitionBy(*by).orderBy("_piece")
-    last = lambda end: F.last("_last", ignorenulls=True).over(
-        order.rowsBetween(Window.unboundedPreceding, end)
-    )
-    single = F.col("_piece") % 2 == 1
-    starts = numbers.join(lasts, [*by, "_piece"], "left").select(
-        *by, "_piece", F.when(single, last(0)).otherwise(last(-1)).alias("_start")
+    last = F.max_by("_mark", F.when(F.col("_mark").isNotNull(), F.col("_t"))).alias("_last")
+    before = (
+        Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = small_side(checkpointed(starts))
-    # Rows at a bound need no sorting: their answer is the start of that piece.
-    at_bound = (
-        rows.where(single)
-        .join(starts, [*by, "_piece"], "left")
-        .withColumnRenamed("_start", "_mark")
+    starts = merged.groupBy(*by, "_bucket").agg(last).select(
+        *by, "_bucket", F.last("_last", ignorenulls=True).over(before).alias("_start")
     )
-    between = (
-        _match(rows.where(~single), marks.where(~single), [*by, "_piece"])
-        .join(starts, [*by, "_piece"], "left")
-        .withColumn("_mark", F.coalesce("_mark", "_start"))
+    answers = found.join(starts, [*by, "_bucket"]).select(
+        *by, "_t", F.coalesce("_mark", "_start").alias("_mark")
     )
-    return between.select("_row", "_mark").unionByName(at_bound.select("_row", "_mark"))
+    matched = rows.where(complete).join(answers, [*by, "_t"], "left").select("_row", "_mark")
+    rest = rows.where(~complete).select("_row")
+    every = matched.unionByName(rest, allowMissingColumns=True)
+    return every.select("_row.*", *[F.col(f"_mark.{c}").alias(f"{prefix}{c}") for c in values])

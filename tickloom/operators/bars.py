@@ -76,13 +76,20 @@ def ohlcv_bars(
     )
 
 
+def on_file_date(df: DataFrame, date: str) -> DataFrame:
+    """Only files of a UTC date, where rows carry their file's; others hold no tick of it."""
+    if "file_date" not in df.columns:
+        return df
+    return df.where(F.col("file_date") == F.lit(date).cast(df.schema["file_date"].dataType))
+
+
 def daily_market_summary(
     trades: DataFrame, date: str, include_otc: bool = True
 ) -> DataFrame:
     """Every ticker's bar of one UTC day; over-the-counter trades may be left out."""
     start = F.unix_date(F.lit(date).cast("date")).cast("bigint") * F.lit(sc.DAY_NS)
     ns = F.col("sip_timestamp")
-    day = trades.where((ns >= start) & (ns < start + F.lit(sc.DAY_NS)))
+    day = on_file_date(trades, date).where((ns >= start) & (ns < start + F.lit(sc.DAY_NS)))
     if not include_otc:
         day = day.where(~F.coalesce("otc", F.lit(False)))
     return ohlcv_bars(day, 1, "day")
@@ -97,7 +104,7 @@ def daily_ticker_summary(trades: DataFrame, calendar: DataFrame) -> DataFrame:
     ns = F.col("sip_timestamp")
     before, after = ns < F.col("open_ns"), ns >= F.col("close_ns")
     moment = F.struct("sip_timestamp", "sequence_number", "price")
-    days = by_date(calendar.select(F.col("date").alias("from"), "open_ns", "close_ns"))
+    days = by_date(calendar.select(F.col("date").alias("from"), "open_ns", "close_ns"), "from")
     return (
         trades.withColumn("from", sc.ns_to_date(ns))
         .join(days, "from")
@@ -151,7 +158,7 @@ def market_snapshot(
         F.col("sip_timestamp") <= F.lit(as_of_ns).cast("bigint")
     )
     minutes = (
-        trades.where(today)
+        on_file_date(trades, today_text).where(today)
         .withColumn("_minute", bar_start("sip_timestamp", 1, "minute"))
         .groupBy("ticker", "_minute")
         .agg(

@@ -21,8 +21,13 @@ SESSION_CLOSE = "16:00:00"
 # ---------------------------------------------------------------------------
 
 
-def _local_ns(date: Column, clock: str, zone: str) -> Column:
-    local = F.concat_ws(" ", date.cast("string"), F.lit(clock)).cast("timestamp")
+# Steps of a fixed grid that one row carries.
+GRID_RUN = 86_400
+
+
+def _local_ns(date: Column, clock: str | Column, zone: str) -> Column:
+    clock = F.lit(clock) if isinstance(clock, str) else clock
+    local = F.concat_ws(" ", date.cast("string"), clock).cast("timestamp")
     return sc.ts_to_ns(F.to_utc_timestamp(local, zone))
 
 
@@ -32,12 +37,28 @@ def with_session_hours(
     opens: str = SESSION_OPEN,
     closes: str = SESSION_CLOSE,
     zone: str = SESSION_ZONE,
+    exceptions: DataFrame | None = None,
 ) -> DataFrame:
-    """Regular session bounds of each trading day, daylight saving included."""
-    return days.select(
+    """Session bounds of each trading day, daylight saving included.
+
+    ``exceptions`` holds days with hours of their own, such as half-days: a date, and local
+    times ``opens`` and ``closes`` (null where as usual). One row per date.
+    """
+    if exceptions is None:
+        return days.select(
+            F.col(date).alias("date"),
+            _local_ns(F.col(date), opens, zone).alias("open_ns"),
+            _local_ns(F.col(date), closes, zone).alias("close_ns"),
+        )
+    columns = set(exceptions.columns)
+    own = exceptions.select(
+        F.col("date").alias(date),
+        *[(F.col(c) if c in columns else F.lit(None).cast("string")).alias(f"_{c}") for c in ("opens", "closes")],
+    )
+    return days.join(by_date(own, date), date, "left").select(
         F.col(date).alias("date"),
-        _local_ns(F.col(date), opens, zone).alias("open_ns"),
-        _local_ns(F.col(date), closes, zone).alias("close_ns"),
+        _local_ns(F.col(date), F.coalesce("_opens", F.lit(opens)), zone).alias("open_ns"),
+        _local_ns(F.col(date), F.coalesce("_closes", F.lit(closes)), zone).alias("close_ns"),
     )
 
 
@@ -70,11 +91,18 @@ def fixed_grid(ranges: DataFrame, interval_ns: int) -> DataFrame:
     """Sampling times of markets that never close.
 
     ``ranges`` has start_ns and end_ns (and any keys); steps run from the start,
-    unaligned, before the end.
+    unaligned, before the end. A range is first cut into runs of ``GRID_RUN`` steps, so no
+    row carries all steps of a long one.
     """
     step = F.lit(interval_ns).cast("bigint")
-    return ranges.where(F.col("end_ns") > F.col("start_ns")).withColumn(
-        "asof_timestamp", F.explode(F.sequence("start_ns", F.col("end_ns") - 1, step))
+    run = F.lit(interval_ns * GRID_RUN).cast("bigint")
+    runs = F.explode(F.sequence("start_ns", F.col("end_ns") - 1, run))
+    last = F.least(F.col("_run") + run, F.col("end_ns")) - 1
+    return (
+        ranges.where(F.col("end_ns") > F.col("start_ns"))
+        .withColumn("_run", runs)
+        .withColumn("asof_timestamp", F.explode(F.sequence("_run", last, step)))
+        .drop("_run")
     )
 
 
@@ -135,7 +163,7 @@ def earnings_windows(
     )
     return (
         listed.select("ticker", "date")
-        .join(by_date(around), "date")
+        .join(by_date(around, "date"), "date")
         .select("ticker", F.explode(days).alias("snapshot_date"))
         .where(F.col("snapshot_date").isNotNull())
         .distinct()
@@ -143,8 +171,13 @@ def earnings_windows(
 
 
 def tickers_on(windows: DataFrame) -> DataFrame:
-    """Sorted tickers that have a window on each date."""
-    return windows.groupBy("snapshot_date").agg(
+    """(snapshot_date, ticker): the tickers that have a window on each date."""
+    return windows.select("snapshot_date", "ticker").distinct()
+
+
+def listed_tickers(tickers: DataFrame) -> DataFrame:
+    """For display: one row per date with its sorted tickers, all in that row."""
+    return tickers.groupBy("snapshot_date").agg(
         F.array_sort(F.collect_set("ticker")).alias("tickers")
     )
 

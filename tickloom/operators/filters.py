@@ -7,12 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions import scalars as sc
-from tickloom.operators.sizes import small_side
+from tickloom.operators.sizes import on_dates
 from tickloom.specs.base import as_schema
 
-# Longest ticker list written into the plan itself.
-MAX_INLINE = 1000
-
 # --- fixed values -----------------------------------------------------------
 # Config sections by market, and suffixes of range parameters.
 MARKET_SECTIONS = {
@@ -62,20 +59,17 @@ def select_tickers(
 ) -> DataFrame:
     """Keep the chosen tickers; ``None`` or ``*`` keeps all. Case is significant.
 
-    Short lists become an ``IN`` predicate, longer ones or a DataFrame a semi-join.
+    A list is written into the plan as an ``IN`` predicate; a DataFrame is a semi-join.
     """
     if isinstance(tickers, DataFrame):
         name = tickers.columns[0]
         chosen = tickers.select(sc.canonical_ticker(name, market).alias(key)).distinct()
-        return df.join(small_side(chosen), key, "left_semi")
+        return df.join(chosen, key, "left_semi")
     chosen = configured_tickers({"x": {"select_tickers": tickers}}, ("x",))
     if chosen is None:
         return df
     chosen = [_clean_ticker(t, market) for t in chosen]
-    if len(chosen) <= MAX_INLINE:
-        return df.where(F.col(key).isin(*chosen))
-    rows = df.sparkSession.createDataFrame([(t,) for t in set(chosen)], f"{key} string")
-    return df.join(rows, key, "left_semi")
+    return df.where(F.col(key).isin(*chosen))
 
 
 def _listed(values: str | list[str] | None) -> list[str]:
@@ -150,18 +144,16 @@ def filter_earnings(
 ) -> DataFrame:
     """Rows whose ticker has an earnings window on the row's date.
 
-    ``windows`` is (ticker, snapshot_date). As a broadcast semi-join it also prunes
-    the date partitions that no window touches.
+    ``windows`` is (ticker, snapshot_date). Dates without a window are left out first:
+    their partitions are not opened.
     """
-    # Spark prunes partitions by the other side of a join only where that side is
-    # itself filtered; no window has an empty ticker.
-    wanted = windows.where(F.col("ticker") != "").select(
+    df = on_dates(df, date, windows, "snapshot_date")
+    wanted = windows.select(
         F.col("snapshot_date").cast(df.schema[date].dataType).alias(date),
         F.col("ticker").alias("_ticker"),
     )
-    side = small_side(wanted)
     return df.join(
-        side, (df[date] == side[date]) & (df[ticker] == side["_ticker"]), "left_semi"
+        wanted, (df[date] == wanted[date]) & (df[ticker] == wanted["_ticker"]), "left_semi"
     )
 
 
@@ -210,7 +202,7 @@ def live_contracts(contracts: DataFrame, first_window: DataFrame) -> DataFrame:
         F.col("ticker").alias("underlying_ticker"), F.col("first_date").alias("_first")
     )
     return (
-        contracts.join(small_side(first), "underlying_ticker")
+        contracts.join(first, "underlying_ticker")
         .where(F.col("expiration_date").isNull() | (F.col("expiration_date") >= F.col("_first")))
         .drop("_first")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars as sc
-from tickloom.operators.sizes import by_date, small_side
+from tickloom.operators.sizes import by_date, on_dates
 
 
 @dataclass(frozen=True)
@@ -160,7 +160,7 @@ def on_session_grid(
     days = F.sequence(
         sc.ns_to_date(F.col("_open") - step + 1), sc.ns_to_date(F.col("_last"))
     )
-    by_day = by_date(reach.withColumn("_day", F.explode(days)))
+    by_day = by_date(reach.withColumn("_day", F.explode(days)), "_day")
     return (
         quotes.withColumn("_day", sc.ns_to_date(time))
         .join(by_day, "_day")
@@ -212,6 +212,18 @@ def latest_before(quotes: DataFrame, at_ns: int, interval_ns: int) -> DataFrame:
     )
 
 
+def _on_file_dates(df: DataFrame, windows: DataFrame) -> DataFrame:
+    """Where rows carry their file's date, leave out files that no window can need.
+
+    A tick at the midnight after a window's day is in the next day's file, and a session's
+    first interval may reach back to the file before.
+    """
+    if "file_date" not in df.columns:
+        return df
+    near = F.array(F.date_sub("snapshot_date", 1), F.col("snapshot_date"), F.date_add("snapshot_date", 1))
+    return on_dates(df, "file_date", windows.select(F.explode(near).alias("_near")), "_near")
+
+
 def ticks_in_windows(
     ticks: DataFrame, windows: DataFrame, by: str = "ticker", time: str = "sip_timestamp"
 ) -> DataFrame:
@@ -224,9 +236,8 @@ def ticks_in_windows(
     at_midnight = F.pmod(F.col(time), F.lit(sc.DAY_NS)) == 0
     days = F.when(at_midnight, F.array(F.date_sub(day, 1), day)).otherwise(F.array(day))
     wanted = windows.select(F.col("ticker").alias(by), "snapshot_date")
-    return ticks.withColumn("snapshot_date", F.explode(days)).join(
-        small_side(wanted), [by, "snapshot_date"]
-    )
+    ticks = _on_file_dates(ticks, windows)
+    return ticks.withColumn("snapshot_date", F.explode(days)).join(wanted, [by, "snapshot_date"])
 
 
 def bars_in_windows(
@@ -247,8 +258,8 @@ def bars_in_windows(
     wanted = windows.select(F.col("ticker").alias(on), F.col("snapshot_date").alias("_day"))
     keys = [by, "asof_timestamp"]
     placed = (
-        on_session_grid(quotes, calendar, interval_ns)
+        on_session_grid(_on_file_dates(quotes, windows), calendar, interval_ns)
         .withColumn("_day", sc.ns_to_date("asof_timestamp"))
-        .join(small_side(wanted), [on, "_day"], "left_semi")
+        .join(wanted, [on, "_day"], "left_semi")
     )
     return last_record(placed, keys, _fields(quotes, keys))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.bars import last_by_ticker
-from tickloom.operators.sizes import by_date, small_side
+from tickloom.operators.sizes import by_date
 
 # --- fixed values -----------------------------------------------------------
 # Ratings from worst to best, valued 1 to 5.
@@ -138,7 +138,7 @@ def coverage_gaps(
         *by,
         F.explode(F.sequence(F.date_add("date", 1), F.date_sub("_next", 1))).alias("date"),
     )
-    return inside.join(by_date(calendar.select("date")), "date", "left_semi").select(
+    return inside.join(by_date(calendar.select("date"), "date"), "date", "left_semi").select(
         *by, "date"
     )
 
@@ -160,7 +160,7 @@ def convert(amounts: DataFrame, quotes: DataFrame) -> DataFrame:
     rate = (F.col("last.ask") + F.col("last.bid")) / 2
     return (
         amounts.withColumn("_pair", F.concat(F.lit("C:"), F.col("from"), F.col("to")))
-        .join(small_side(latest), "_pair", "left")
+        .join(latest, "_pair", "left")
         .withColumn("converted", F.col("initial_amount") * rate)
         .drop("_pair")
     )

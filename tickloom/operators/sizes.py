@@ -1,41 +1,41 @@
-"""Broadcast hints behind a check of the real size."""
+"""Broadcast hints for sides that a key bounds.
+
+Other joins carry no hint: adaptive execution broadcasts a side that turns out small and
+splits skewed partitions of one that does not. Nothing is run to build a plan.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# What a side may hold to be broadcast, counting 48 bytes a row for the hash table.
-MAX_BROADCAST_BYTES = 128 * 1024 * 1024
-ROW_OVERHEAD = 48
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of a row: 8 per plain field, the text length of everything else."""
-    size = F.lit(ROW_OVERHEAD + 8 * len(df.columns)).cast("bigint")
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.StringType):
-            size = size + F.coalesce(F.octet_length(c), F.lit(0))
-        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-            size = size + F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0)) * 2
-    return size
 
-
-def small_side(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if it is measured to fit, else as it is.
-
-    Measuring is one aggregate over the side, no more. Without the hint Spark picks a
-    shuffled join, whose skewed partitions adaptive execution splits.
-    """
-    measured = df.agg(F.sum(_row_bytes(df)).alias("n")).first().n or 0
-    return F.broadcast(df) if measured <= max_bytes else df
+# Sessions that may share a civil date.
+MAX_PER_DATE = 4
 
 
-def by_date(df: DataFrame) -> DataFrame:
-    """Broadcast hint for a table with at most a few rows per civil date.
+def by_date(df: DataFrame, key: str) -> DataFrame:
+    """Broadcast hint for a table with a few rows per civil date.
 
-    Such a table is bounded by its key: a century has 36,525 dates.
+    A century has 36,525 dates. A table with more than ``MAX_PER_DATE`` rows of a date, such
+    as a calendar of many venues, is an error when the join runs.
     """
-    return F.broadcast(df)
+    others = [c for c in df.columns if c != key]
+    if not others:
+        return F.broadcast(df.distinct())
+    rows = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), F.collect_list(F.struct(*others)).alias("_rows")
+    )
+    crowded = F.raise_error(F.concat(F.lit("too many rows of date "), F.col(key).cast("string")))
+    checked = F.when(F.col("_n") > MAX_PER_DATE, crowded.cast("int")).otherwise(F.lit(0))
+    return F.broadcast(
+        rows.withColumn("_ok", checked).where("_ok = 0").select(key, F.inline("_rows"))
+    )
+
+
+def on_dates(df: DataFrame, date: str, wanted: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` on the dates of ``wanted``, so that a scan opens no other partition."""
+    kind = df.schema[date].dataType
+    # True for every real date; Spark prunes by a side only where a comparison filters it.
+    real = F.col(column) > F.lit("0001-01-01").cast("date")
+    days = wanted.where(real).select(F.col(column).cast(kind).alias(date))
+    return df.join(F.broadcast(days.distinct()), date, "left_semi")

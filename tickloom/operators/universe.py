@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.keys import canonical_json
-from tickloom.operators.sizes import small_side
 
 
 def _content_hash(df: DataFrame) -> Column:
@@ -87,7 +86,7 @@ def missing(expected: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
 
 def with_ticker_dim(df: DataFrame, tickers: DataFrame, key: str = "ticker") -> DataFrame:
     """Attributes of a ticker table (one row per ticker) on every row that has one."""
-    return df.join(small_side(tickers), key, "left")
+    return df.join(tickers, key, "left")
 
 
 def expand_contracts(
@@ -95,10 +94,10 @@ def expand_contracts(
 ) -> DataFrame:
     """Each underlying replaced by its contracts.
 
-    The underlyings are few against the contracts, so the contracts stay where they
-    are unless the underlyings outgrow the broadcast limit.
+    The underlyings are few against the contracts, so adaptive execution leaves the
+    contracts where they are unless the underlyings outgrow the broadcast threshold.
     """
-    return contracts.join(small_side(underlyings.select(key).distinct()), key)
+    return contracts.join(underlyings.select(key).distinct(), key)
 
 
 

@@ -105,19 +105,23 @@ def _event_stream(spark, d):
      max({{'t': sip_timestamp, 's': sequence_number, 'ap': ask_price, 'bp': bid_price}}) AS q
      FROM quotes GROUP BY 1, 2)
     SELECT ticker, asof_timestamp, q.t AS sip_timestamp, q.s AS sequence_number,
-    round(q.ap, 6) AS ask_price, round(q.bp, 6) AS bid_price FROM bars
-    WHERE asof_timestamp <= (SELECT max(asof_timestamp) FROM bars) - {m.DAY}""",
+    round(q.ap, 6) AS ask_price, round(q.bp, 6) AS bid_price FROM bars""",
 )
 def _(spark, d):
-    quotes = _event_stream(spark, d).select(
-        F.col("event_type").alias("ticker"),
-        ts_to_ns("ts").alias("sip_timestamp"),
-        F.col("event_id").alias("sequence_number"),
-        (F.col("value") + 0.05).alias("ask_price"),
-        F.col("value").alias("bid_price"),
-    )
+    def quotes(events):
+        return events.select(
+            F.col("event_type").alias("ticker"),
+            ts_to_ns("ts").alias("sip_timestamp"),
+            F.col("event_id").alias("sequence_number"),
+            (F.col("value") + 0.05).alias("ask_price"),
+            F.col("value").alias("bid_price"),
+        )
+
     fields = ["sip_timestamp", "sequence_number", "ask_price", "bid_price"]
-    return sq.collect_stream(sq.stream_quote_bars(quotes, m.HOUR, "1 day", fields), "bars")
+    stream = sq.stream_quote_bars(quotes(_event_stream(spark, d)), m.HOUR, "1 day", fields)
+    emitted = sq.collect_stream(stream, "bars")
+    open_ones = sq.closing_bars(emitted, quotes(m.table(spark, d, "events")), m.HOUR, fields)
+    return emitted.unionByName(open_ones)
 
 
 @query(

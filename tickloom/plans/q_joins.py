@@ -87,6 +87,27 @@ def _(spark, d):
     )
 
 
+@query(
+    "join03_asof_skewed_key",
+    """WITH e AS (SELECT CASE WHEN event_id % 10 < 7 THEN 'hot' ELSE event_type END AS k,
+     epoch_us(ts) * 1000 AS ns, event_id, event_type, value FROM events),
+    r AS (SELECT * FROM e WHERE event_type IN ('view', 'error'))
+    SELECT e.k, e.ns, e.event_id, r.event_id AS mark_event_id, round(r.value, 6) AS mark_value
+    FROM e ASOF LEFT JOIN r ON e.k = r.k AND e.ns >= r.ns""",
+)
+def _(spark, d):
+    """All events as left rows, most of them of one key, cut into buckets of ten minutes."""
+    key = F.when(F.pmod("event_id", F.lit(10)) < 7, "hot").otherwise(F.col("event_type"))
+    events = m.table(spark, d, "events").select(
+        key.alias("k"), ts_to_ns("ts").alias("ns"), "event_id", "value", "event_type"
+    )
+    marks = events.where(F.col("event_type").isin("view", "error")).drop("event_type")
+    out = asof.asof_backward(
+        events, marks, "k", "ns", "ns", tie=("event_id",), prefix="mark_", bucket=600_000_000_000
+    )
+    return out.select("k", "ns", "event_id", "mark_event_id", "mark_value")
+
+
 @query(
     "join04_sample_at",
     f"WITH {m.quotes_sql()}, {m.TICK_CALENDAR}, {_sampled_sql(FIVE_MINUTES)} {_SAMPLED_OUT}",
@@ -149,7 +170,7 @@ def _(spark, d):
 )
 def _(spark, d):
     windows = cal.earnings_windows(m.earnings(spark, d), m.tape_calendar(spark, d))
-    listed = cal.tickers_on(windows)
+    listed = cal.listed_tickers(cal.tickers_on(windows))
     return listed.withColumn("tickers", F.array_join("tickers", ","))
 
 

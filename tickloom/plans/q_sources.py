@@ -273,6 +273,38 @@ def _(spark, d):
     return spark.read.schema(spec.schema).parquet(path)
 
 
+@query(
+    "snk01_upsert_part_of_a_date",
+    f"""WITH {m.TICKS}, b AS (
+     SELECT file_date, ticker, sequence_number, price, 0 AS batch FROM ticks
+     WHERE sequence_number % 4 <> 1
+     UNION ALL SELECT file_date, ticker, sequence_number, price + 1, 1 FROM ticks
+     WHERE sequence_number % 4 < 2
+     UNION ALL SELECT file_date, ticker, sequence_number, price + 1, 1 FROM ticks
+     WHERE sequence_number % 4 = 0)
+    SELECT CAST(file_date AS VARCHAR) AS file_date, ticker, sequence_number,
+    round(arg_max(price, batch), 6) AS price FROM b
+    GROUP BY file_date, ticker, sequence_number""",
+)
+def _(spark, d):
+    """A second batch with new, changed and repeated keys of dates that are there already."""
+    spec = TableSpec(
+        "ticks",
+        "file_date date, ticker string, sequence_number bigint, price double",
+        ("file_date", "ticker", "sequence_number"),
+        "file_date",
+    )
+    rows = m.ticks(spark, d).select("file_date", "ticker", "sequence_number", "price")
+    part = F.pmod("sequence_number", F.lit(4))
+    changed = rows.withColumn("price", F.col("price") + 1)
+    path = scratch_path(spark, "ticks")
+    sinks.write_table(rows.where(part != 1), spec, path)
+    sinks.write_table(
+        changed.where(part < 2).unionByName(changed.where(part == 0)), spec, path
+    )
+    return spark.read.schema(spec.schema).parquet(path)
+
+
 @query(
     "snk02_write_by_venue",
     f"""WITH {m.quotes_sql('stock')}, tagged AS (SELECT *, CASE ticker WHEN 'click' THEN 'cme'
@@ -290,7 +322,10 @@ def _(spark, d):
     )
     path = scratch_path(spark, "venues")
     rows = m.quotes(spark, d, "stock").withColumn("venue", venue)
-    sinks.write_by_venue(rows, path, order=("ticker", "sip_timestamp"))
+    # Two batches that share a third of their rows: the venues keep what each one brought.
+    third = F.pmod("sequence_number", F.lit(3))
+    sinks.write_by_venue(rows.where(third < 2), path)
+    sinks.write_by_venue(rows.where(third > 0), path)
     return spark.read.parquet(path).select(
         "venue", "ticker", "sip_timestamp", "sequence_number", "bid_price"
     )

@@ -82,7 +82,7 @@ def _statement(metrics: str) -> str:
 FINANCIALS = (
     "acceptance_datetime timestamp, cik string, company_name string, end_date date, "
     "filing_date date, fiscal_period string, fiscal_year string, sic string, "
-    "source_filing_file_url string, source_filing_url string, start_date date, "
+    "source_filing_file_url string, source_filing_url string, start_date string, "
     "tickers array<string>, timeframe string, financials struct<"
     f"comprehensive_income: {_statement(COMPREHENSIVE_INCOME)}, "
     f"income_statement: {_statement(INCOME_METRICS)}, "

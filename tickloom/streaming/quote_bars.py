@@ -45,6 +45,28 @@ def stream_quote_bars(
     )
 
 
+def closing_bars(
+    emitted: DataFrame, quotes: DataFrame, interval_ns: int, fields: list[str], by: str = "ticker"
+) -> DataFrame:
+    """Bars that a stream still held open when its input ended.
+
+    A stream emits a bar once its watermark has passed. When the input is declared complete,
+    this is the rest: the bars of ``quotes``, the same input read as a table, whose boundary
+    is after the last one emitted of all, or that were not emitted.
+    """
+    rest = [f for f in fields if f not in ("sip_timestamp", "sequence_number")]
+    latest = F.max(
+        F.struct("sip_timestamp", F.col("sequence_number").isNull().alias("_no_seq"), "sequence_number", *rest)
+    ).alias("_last")
+    bars = (
+        quotes.withColumn("asof_timestamp", sc.bucket_end("sip_timestamp", interval_ns))
+        .groupBy(by, "asof_timestamp")
+        .agg(latest)
+        .select(by, "asof_timestamp", *[F.col(f"_last.{f}").alias(f) for f in fields])
+    )
+    return bars.join(emitted.select(by, "asof_timestamp"), [by, "asof_timestamp"], "left_anti")
+
+
 def dedupe_stream(
     stream: DataFrame, keys: list[str], time: str, delay: str
 ) -> DataFrame:
