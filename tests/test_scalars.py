@@ -97,3 +97,15 @@ def test_keys_match_the_standard_library(spark):
         assert r.k == str(uuid.uuid5(uuid.NAMESPACE_DNS, text))
         canonical = json.dumps({"z": r.a, 'b"é': r.c}, sort_keys=True)
         assert r.f == hashlib.sha256(canonical.encode()).hexdigest()
+
+
+def test_keys_over_doubles_follow_their_json_text(spark):
+    import uuid
+
+    from tickloom.operators.project import with_surrogate_key
+
+    values = [100.0, 10_000_000.0, 0.1, 1234.5678, -2.5, 0.0, 0.0001, 123456789012.25, None]
+    df = spark.createDataFrame([(v, "a") for v in values], "shares double, name string")
+    for row in with_surrogate_key(df, ["shares", "name"]).collect():
+        text = f"a|{row.shares}"
+        assert row._surrogate_key == str(uuid.uuid5(uuid.NAMESPACE_DNS, text)), text

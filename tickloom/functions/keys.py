@@ -32,13 +32,28 @@ def uuid5(name: Column, namespace: str = UUID_NAMESPACE_DNS) -> Column:
     )
 
 
-def surrogate_key(*names: str) -> Column:
+def double_text(x: Column) -> Column:
+    """Shortest decimal text of a double as landed JSON numbers print: ``100.0``, ``10000000.0``.
+
+    Plain from 1e-4 to below 1e16; others keep their exponent form.
+    """
+    text = x.cast("string")
+    plain = F.rtrim(text.try_cast("decimal(38,20)").cast("string"), F.lit("0"))
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    usual = (x == 0) | ((F.abs(x) >= 1e-4) & (F.abs(x) < 1e16))
+    return F.when(usual & plain.isNotNull(), plain).otherwise(text)
+
+
+def surrogate_key(*names: str, doubles: tuple[str, ...] = ()) -> Column:
     """Identifier over the named columns in name order; a NULL counts as ``None``.
 
-    Keep to text, whole-number and date columns: their text form is the same in
-    every engine.
+    Text, whole-number and date columns go by their text, which is the same in every
+    engine. Columns of doubles must be named in ``doubles``.
     """
-    parts = [F.coalesce(F.col(n).cast("string"), F.lit("None")) for n in sorted(names)]
+    parts = [
+        F.coalesce(double_text(F.col(n)) if n in doubles else F.col(n).cast("string"), F.lit("None"))
+        for n in sorted(names)
+    ]
     return uuid5(F.concat_ws("|", *parts))
 
 

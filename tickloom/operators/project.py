@@ -308,7 +308,8 @@ def with_surrogate_key(
     df: DataFrame, columns: list[str], name: str = "_surrogate_key"
 ) -> DataFrame:
     """Add a name-based identifier over ``columns``."""
-    return df.withColumn(name, keyfn.surrogate_key(*columns))
+    doubles = tuple(n for n, kind in df.select(*columns).dtypes if kind in ("double", "float"))
+    return df.withColumn(name, keyfn.surrogate_key(*columns, doubles=doubles))
 
 
 def normalize_sip_mapping(df: DataFrame, column: str = "sip_mapping") -> DataFrame:

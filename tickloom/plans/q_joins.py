@@ -240,6 +240,38 @@ def _(spark, d):
     )
 
 
+@query(
+    "fun01_half_days",
+    f"""WITH {m.TICK_CALENDAR}, half AS (SELECT date, open_ns,
+     CASE WHEN day(date) % 5 = 0 THEN open_ns + {7 * m.HOUR // 2} ELSE close_ns END AS close_ns
+     FROM calendar)
+    SELECT CAST(date AS VARCHAR) AS date,
+    CAST(unnest(generate_series(open_ns, close_ns - 1, {m.HOUR})) AS BIGINT) AS asof_timestamp
+    FROM half""",
+)
+def _(spark, d):
+    """Every fifth day of a month closes at 13:00."""
+    usual = m.tick_calendar(spark, d)
+    early = usual.where(F.pmod(F.dayofmonth("date"), F.lit(5)) == 0).select(
+        "date", F.lit("13:00:00").alias("closes")
+    )
+    days = cal.with_session_hours(usual.select("date"), exceptions=early)
+    return cal.session_grid(days, m.HOUR).select("date", "asof_timestamp")
+
+
+@query(
+    "join04_sample_fixed",
+    f"""WITH {m.quotes_sql()}, g AS (SELECT CAST(unnest(generate_series(1704844800000000000,
+     1705104000000000000 - 1, {m.HOUR})) AS BIGINT) AS t),
+    s AS (SELECT ticker, t AS asof_timestamp, max({{'t': sip_timestamp, 's': sequence_number}}) AS q
+     FROM quotes JOIN g ON sip_timestamp > t - {m.HOUR} AND sip_timestamp <= t GROUP BY 1, 2)
+    SELECT ticker, asof_timestamp, q.t AS sip_timestamp, q.s AS sequence_number FROM s""",
+)
+def _(spark, d):
+    out = qt.sample_fixed(m.quotes(spark, d), 1_704_844_800_000_000_000, 1_705_104_000_000_000_000, m.HOUR)
+    return out.select("ticker", "asof_timestamp", "sip_timestamp", "sequence_number")
+
+
 @query(
     "fun02_fixed_grid",
     f"""WITH {m.WIDE_TICKS}, r AS (SELECT ticker, min(sip_timestamp) AS start_ns,
