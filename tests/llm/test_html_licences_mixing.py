@@ -4,13 +4,18 @@ import html
 import re
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tickloom.llm import html_text, licences, mixing
+from tickloom.llm import html_text, licences, mixing, toxicity
+from tickloom.session import scratch_path
 
 from .conftest import SF, odd_rows
+from .test_quality_toxicity import plain_counts
+from .test_simhash import plain_components, plain_fingerprint
 
 
 def test_page_query(spark, queries):
@@ -167,21 +172,57 @@ def test_first_words(spark):
         assert r.got == r.want
 
 
-def test_pipeline_stages(spark, queries):
-    """Each stage keeps columns and drops rows only; the last packs all ids of the mix."""
+def test_pipeline_against_plain_python(spark, queries):
+    """Each stage's own input, its rows, and what plain Python makes of them."""
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    ids = {r.doc_id for r in docs.collect()}
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, docs, SF)
-        assert out.columns == docs.columns, name
-        assert {r.doc_id for r in out.select("doc_id").collect()} <= ids
-    pieces = queries["pipeline"](spark, SF).collect()
-    tokens = {}
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["quality_rules", "toxicity", "near_duplicates", "mixing", "packing"]
+
+    def run(name, table):
+        path = scratch_path(spark, name)
+        stages[name](spark, table, SF).write.parquet(path)
+        out = spark.read.parquet(path)
+        assert name == "packing" or out.columns == docs.columns
+        return out
+
+    good = run("quality_rules", docs)
+    sound = {r.doc_id for r in docs.collect() if not base_failed(r.text)}
+    kept = {r.doc_id for r in good.collect()}
+    assert kept <= sound and len(kept) > 0.9 * len(sound)
+
+    clean = run("toxicity", good)
+    model = toxicity.train(good, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in good.collect() if model.score(r.text) < 0.7}
+
+    single = run("near_duplicates", clean)
+    rows = clean.collect()
+    groups = plain_components([plain_fingerprint(r.text) for r in rows], [r.doc_id for r in rows])
+    assert sorted(r.doc_id for r in single.collect()) == sorted(set(groups))
+
+    mix = run("mixing", single)
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
+    sizes, served = {}, {}
+    for r in single.collect():
+        sizes[r.source] = sizes.get(r.source, 0) + words(r.text)
+    for r in mix.collect():
+        served[r.source] = served.get(r.source, 0) + words(r.text)
+    assert served == {s: int(t + 1e-9) for s, t in plain_targets(sizes).items()}
+
+    pieces = run("packing", mix).collect()
+    want = sum(len(library.encode(r.text, add_special_tokens=False).ids) + 1 for r in mix.collect())
+    assert sum(p.length for p in pieces) == want == sum(len(p.ids) // 4 for p in pieces)
+    fill = {}
     for p in pieces:
-        tokens.setdefault((p.sequence_id), []).append((p.offset, p.length))
-    for spans in tokens.values():
-        assert sum(n for _, n in spans) <= 4096
-    assert len(pieces) > 0
+        fill[p.sequence_id] = fill.get(p.sequence_id, 0) + p.length
+    assert sorted(fill) == list(range(-(-want // 4096)))
+    assert sum(n < 4096 for n in fill.values()) <= 1
+    assert queries["pipeline"](spark, SF).count() == len(pieces)
+
+
+def base_failed(text):
+    n = plain_counts(text)
+    return n[0] < 50 or 100 * n[4] > 50 * n[0]
 
 
 def test_pipeline_of_odd_and_empty_tables(spark, odd, nothing, tmp_path):
