@@ -49,8 +49,12 @@ class Odds:
 
     def __init__(self, rows: int, symbols: int) -> None:
         self.n = symbols
+        # Steps of a binary search over the symbols, and rows wide enough for it.
+        self.steps = [1 << i for i in reversed(range((symbols - 1).bit_length()))]
+        self.width = max(symbols + 1, sum(self.steps) + 1)
         self.counts = np.ones((rows, symbols), dtype=np.int32)
-        self.cum = np.zeros((rows, symbols + 1), dtype=np.int64)
+        self.cum = np.full((rows, self.width), 1 << 40, dtype=np.int64)
+        self.cum[:, 0] = 0
         self.flat_counts, self.flat = self.counts.reshape(-1), self.cum.reshape(-1)
 
     def refresh(self, mixed: np.ndarray | None = None) -> None:
@@ -59,20 +63,22 @@ class Odds:
         if full.any():
             self.counts[full] = (self.counts[full] + 1) >> 1
         counts = self.counts if mixed is None else self.counts + mixed
-        np.cumsum(counts, axis=1, out=self.cum[:, 1:])
+        np.cumsum(counts, axis=1, out=self.cum[:, 1 : self.n + 1])
 
     def span(self, row: np.ndarray, symbol: np.ndarray, span: np.ndarray):
         """The unit of each range, and where in units the symbols start and how many they have."""
-        at = row * (self.n + 1)
+        at = row * self.width
         unit = span // self.flat.take(at + self.n).view(np.uint64)
         at += symbol
         start = self.flat.take(at)
         size = self.flat.take(at + 1) - start
         return unit, start.view(np.uint64), size.view(np.uint64)
 
-    def find(self, row: np.ndarray, value: np.ndarray) -> np.ndarray:
-        """The symbol whose odds hold each value."""
-        return (np.take(self.cum, row, axis=0)[:, 1:] <= value[:, None]).sum(axis=1)
+    def find(self, at: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """The places, in rows that begin ``at``, of the symbols whose odds hold each value."""
+        for step in self.steps:
+            at = at + step * (self.flat.take(at + step) <= value)
+        return at
 
 
 class Model:
@@ -223,14 +229,13 @@ def decode(frame: bytes) -> np.ndarray:
 
     def narrow(odds: Odds, row: np.ndarray, code: np.ndarray, span: np.ndarray):
         """The symbol, and the code and range within it."""
-        at = row * (odds.n + 1)
-        total = odds.flat.take(at + odds.n)
+        first = row * odds.width
+        total = odds.flat.take(first + odds.n)
         unit = span // total.view(np.uint64)
-        symbol = odds.find(row, np.minimum((code // unit).view(np.int64), total - 1))
-        at += symbol
+        at = odds.find(first, np.minimum((code // unit).view(np.int64), total - 1))
         start = odds.flat.take(at)
         size = odds.flat.take(at + 1) - start
-        return symbol, code - unit * start.view(np.uint64), unit * size.view(np.uint64)
+        return at - first, code - unit * start.view(np.uint64), unit * size.view(np.uint64)
 
     for first, last, k in _steps(n):
         for t in range(first, last):
