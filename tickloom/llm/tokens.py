@@ -45,7 +45,9 @@ def word_chunks(text: str) -> list[str]:
 
 
 def word_pieces(chunk: str) -> list[str]:
-    """Pre-tokens of a chunk; a chunk that is not plain stays whole."""
+    """Pre-tokens of a chunk; letters alone are one, and a chunk that is not plain stays whole."""
+    if chunk.isalpha():
+        return [chunk]
     return _WORD_PIECES.findall(chunk) if plain(chunk) and chunk.islower() else [chunk]
 
 
@@ -59,6 +61,9 @@ def byte_chunks(text: str) -> list[str] | None:
 
 
 def byte_pieces(chunk: str) -> list[str]:
+    """Pre-tokens of a chunk; a space and letters are one."""
+    if chunk[:1] == " " and chunk[1:].isalpha():
+        return [chunk]
     return _BYTE_PIECES.findall(chunk)
 
 
@@ -74,19 +79,19 @@ class Recent:
         if len(self.young) > MAX_KNOWN:
             self.old, self.young = self.young, {}
         out, young, old = [], self.young, self.old
-        for w in words:
-            if w not in young:
-                if w in old:
-                    young[w] = old[w]
-                else:
-                    out.append(w)
+        for w in [w for w in words if w not in young]:
+            if w in old:
+                young[w] = old[w]
+            else:
+                out.append(w)
         return out
 
 
 class Encoder:
     """Ids of texts, as little-endian unsigned 16-bit numbers."""
 
-    def __init__(self, path: str, chunks: Callable, pieces: Callable) -> None:
+    def __init__(self, path: str, chunks: Callable, pieces: Callable, ends: bool = True) -> None:
+        """``ends``: tokens mark the ends of words; else their spaces mark the beginnings."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -97,21 +102,42 @@ class Encoder:
             raise ValueError("ids of this vocabulary need more than 16 bits")
         self.chunks, self.pieces = chunks, pieces
         self.known, self.parts = Recent(), Recent()
+        self.ends = ends
+        self.marks = np.zeros(65_536, dtype=bool)
+        for token, i in self.library.get_vocab(with_added_tokens=False).items():
+            self.marks[i] = token.endswith("</w>") if ends else token.startswith("\u0120")
 
     def whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u2").tobytes()
 
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece. Plain words go to the library as one text, cut at its marks."""
+        words = [p for p in pieces if (p if self.ends else p[1:]).isalpha()]
+        if not self.ends:
+            words = [p for p in words if p[0] == " "]
+        ids = np.frombuffer(self.whole((" " if self.ends else "").join(words)), "<u2")
+        at = np.flatnonzero(self.marks[ids])
+        at = np.append(0, at + 1) if self.ends else np.append(at, len(ids))
+        if len(at) != len(words) + 1:  # a word that is not one pre-token
+            words, at = [], at[:0]
+        raw, at = ids.tobytes(), (2 * at).tolist()
+        found = {w: raw[a:b] for w, a, b in zip(words, at, at[1:])}
+        others = [p for p in pieces if p not in found]
+        coded = self.library.encode_batch_fast(others, add_special_tokens=False)
+        found.update((p, np.array(e.ids, "<u2").tobytes()) for p, e in zip(others, coded))
+        return [found[p] for p in pieces]
+
     def learn(self, chunks: set[str]) -> None:
         """Remember the ids of all these chunks; the library sees new pieces only."""
         new = self.known.missing(chunks)
         split = [self.pieces(chunk) for chunk in new]
         missing = self.parts.missing({p for pieces in split for p in pieces})
-        found = self.library.encode_batch_fast(missing, add_special_tokens=False)
         parts = self.parts.young
-        parts.update((w, np.array(e.ids, "<u2").tobytes()) for w, e in zip(missing, found))
+        parts.update(zip(missing, self._ids(missing)))
         self.known.young.update(
-            (c, b"".join([parts[p] for p in ps])) for c, ps in zip(new, split)
+            (c, parts[c] if len(ps) == 1 else b"".join([parts[p] for p in ps]))
+            for c, ps in zip(new, split)
         )
 
     def encode(self, text: str | None) -> bytes:
@@ -133,4 +159,4 @@ def word_encoder(path: str) -> Encoder:
 
 @lru_cache(maxsize=4)
 def byte_encoder(path: str) -> Encoder:
-    return Encoder(path, byte_chunks, byte_pieces)
+    return Encoder(path, byte_chunks, byte_pieces, ends=False)
