@@ -49,6 +49,18 @@ def test_counts_at_every_prefix(monkeypatch, known):
         assert counter.total(cut) <= 5 and (cut == text or counter.total(text[: len(cut) + 1]) > 5)
 
 
+@pytest.mark.parametrize("char, n", [("\U00020000", 256), ("\U00012000", 256), ("\U0001d160", 576)])
+def test_short_pieces_of_many_tokens(spark, char, n):
+    """A piece of 64 code points may have more tokens than one byte can count."""
+    counter = token_counts.PrefixCounter(WORD)
+    text = f"a {char * 64} b"
+    want = [len(counter.library.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)]
+    assert counter.counts(text).tolist() == want
+    assert counter.total(text) == want[-1] == n + 2
+    table = spark.createDataFrame([(1, text), (2, "a")], "doc_id long, text string")
+    assert {r.doc_id: r.n_tokens for r in token_counts.counted(table, WORD).collect()} == {1: n + 2, 2: 1}
+
+
 def test_stored_tables_answer_budgets(odd):
     got = token_counts.with_prefix_counts(odd.where("length(text) < 2000"), WORD)
     rows = got.select("text", "prefix_tokens", token_counts.within_budget("prefix_tokens", 7).alias("upto")).collect()

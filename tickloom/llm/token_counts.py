@@ -14,6 +14,7 @@ has, where a budget ends and whether a limit is passed need no further encoding.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,7 +38,7 @@ class PrefixCounter:
     def __init__(self, path: str) -> None:
         self.library = Encoder(path, word_chunks, word_pieces).library
         # Tokens after each character of a piece, and of whole chunks.
-        self.tables: dict[str, bytes] = {"": b""}
+        self.tables: dict[str, bytes | array] = {"": b""}
         self.totals: dict[str, int] = {}
 
     def _lengths(self, texts: list[str]) -> list[int]:
@@ -53,7 +54,10 @@ class PrefixCounter:
                 piece = piece[:-1]
         ordered = sorted(new, key=len)
         for piece, n in zip(ordered, self._lengths(ordered)):
-            self.tables[piece] = self.tables[piece[:-1]] + bytes((n,))
+            parent = self.tables[piece[:-1]]
+            # Bytes as long as all counts fit, then wider numbers.
+            narrow = n < 256 and type(parent) is bytes
+            self.tables[piece] = parent + bytes((n,)) if narrow else array("I", [*parent, n])
 
     def table(self, piece: str) -> np.ndarray:
         """Tokens of the first 1, 2, ... characters of a piece."""
@@ -61,7 +65,7 @@ class PrefixCounter:
             return np.array(self._lengths([piece[: i + 1] for i in range(len(piece))]))
         if piece not in self.tables:
             self.learn({piece})
-        return np.frombuffer(self.tables[piece], dtype=np.uint8)
+        return np.asarray(memoryview(self.tables[piece]))
 
     def _add(self, chunks: list[str]) -> None:
         """Totals of new chunks from the last entries of their pieces' tables."""
