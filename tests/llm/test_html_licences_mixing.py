@@ -95,6 +95,24 @@ def test_licences(spark, text, found):
     assert tuple(row)[1:] == found
 
 
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("This is free and unencumbered software released into the public\ndomain.", ("Unlicense", 1, 0, 0)),
+        ("Creative\n * Commons Attribution-ShareAlike 4.0 International.", ("CC-BY-SA-4.0", 1, 0, 0)),
+        ("Dual-licensed under the MIT License or the Apache License, Version 2.0", ("MIT,Apache-2.0", 2, 0, 0)),
+        ("The Apache License, Version 2.0 or the MIT License", ("Apache-2.0,MIT", 2, 0, 0)),
+        ("You should have received a copy of the GNU General Public License, version 3", ("GPL-3.0", 1, 0, 0)),
+        ("under the terms of the GNU General Public License as published by the Free Software Foundation, "
+         "either version 3 of the License, or (at your option) any later version.", ("GPL-3.0-or-later", 2, 0, 0)),
+    ],
+)
+def test_every_phrase_of_a_sentence_counts(spark, text, found):
+    """Also over line breaks and comment signs; of overlapping phrases the earlier in the table."""
+    row = licences.scanned(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert tuple(row)[1:] == found
+
+
 def test_licence_scan_of_odd_rows(odd, nothing):
     assert licences.scanned(odd).count() == len(odd_rows())
     assert licences.scanned(nothing).count() == 0

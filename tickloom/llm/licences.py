@@ -2,16 +2,17 @@
 
 A text is cut into sentences and each is normalised: lower case, everything but letters a to z
 and digits as one space, so line breaks, comment signs and quotes do not matter. A sentence
-that holds a known phrase gets that phrase's identifier, the first one in order. The sequence
-of a text's identifiers is then matched against ordered rules, longest first; what a rule
-matches is taken out of the sequence, so that the parts of a licence are not reported again.
+gives the identifiers of all known phrases it holds, in order of position; of phrases that
+overlap, the one earlier in the table counts. The sequence of a text's identifiers is then
+matched against ordered rules, longest first; what a rule matches is taken out of the sequence,
+so that the parts of a licence are not reported again.
 
 Only column functions are used. Work is in the row: no shuffle, nothing grows but with the text.
 
 * A null or empty text has no licence: an empty string and counts of 0.
 * Several licences are reported in the order of their rules' first appearance, each once.
-* Sentences that speak of a licence without a known phrase are counted as unknown, and
-  identifiers that no rule takes as loose.
+* Known phrases are counted one by one. Sentences that speak of a licence without a known
+  phrase are counted as unknown, and identifiers that no rule takes as loose.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Identifier and phrase of known licence sentences, normalised. The first phrase
-# that a sentence holds names it.
+# Identifier and phrase of known licence sentences, normalised. Earlier phrases
+# win over those they overlap.
 SENTENCES = (
     ("agpl3", "gnu affero general public license version 3"),
     ("agpl", "gnu affero general public license"),
@@ -112,6 +113,8 @@ RULES = (
 
 # Every phrase above holds one of these, so other sentences need no further look.
 TELLTALE = "licen[cs]e|permission|warrant|redistribut|copyright|public domain|creative commons|cc0|endorse"
+# The same on texts as they stand, where other signs may be between two words.
+RAW_TELLTALE = "(?i)" + TELLTALE.replace(" ", "[^a-z0-9]+")
 SPEAKS = "licen[cs]ed|licen[cs]e"
 ENDS = r"([.!?;:])[\x20\x09-\x0D]+|[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*"
 
@@ -127,26 +130,35 @@ def _normal(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
 
-def _identifier(sentence: Column) -> Column:
-    """The first known phrase's identifier; ``other`` or null for speaking or silent sentences."""
-    case = F.when(F.contains(sentence, F.lit(SENTENCES[0][1])), SENTENCES[0][0])
-    for name, phrase in SENTENCES[1:]:
-        case = case.when(F.contains(sentence, F.lit(phrase)), name)
-    return case.when(sentence.rlike(SPEAKS), "other")
+def _marked(sentence: Column) -> Column:
+    """The sentence with each known phrase as its identifier in braces, which no phrase holds."""
+    return reduce(
+        lambda s, known: F.replace(s, F.lit(known[1]), F.lit(f"{{{known[0]}}}")), SENTENCES, sentence
+    )
+
+
+def _identifiers(marked: Column) -> Column:
+    """The known phrases' identifiers, each with ``;`` after it; ``other;`` or an empty string
+    for speaking or silent sentences."""
+    names = F.array_join(F.regexp_extract_all(marked, F.lit(r"\{(\w+)\}"), F.lit(1)), ";")
+    return (
+        F.when(F.contains(marked, F.lit("{")), F.concat(names, F.lit(";")))
+        .when(marked.rlike(SPEAKS), "other;").otherwise("")
+    )
 
 
 def identifiers(text: Column) -> Column:
     """The identifiers of a text's sentences in order, each with ``;`` after it."""
     # Sentences are cut at marks that texts do not hold; a mark in a text is a space.
     marked = F.regexp_replace(F.translate(text, "\x01", " "), ENDS, "$1\x01")
-    sentences = F.filter(F.split(marked, "\x01"), lambda s: s.rlike("(?i)" + TELLTALE))
-    found = F.transform(sentences, lambda s: _identifier(_normal(s)))
-    joined = F.array_join(F.transform(F.filter(found, F.isnotnull), lambda i: F.concat(i, F.lit(";"))), "")
-    return F.when(text.rlike("(?i)" + TELLTALE), joined).otherwise("")
+    sentences = F.filter(F.split(marked, "\x01"), lambda s: s.rlike(RAW_TELLTALE))
+    marked = F.transform(sentences, lambda s: _marked(_normal(s)))
+    joined = F.array_join(F.transform(marked, _identifiers), "")
+    return F.when(text.rlike(RAW_TELLTALE), joined).otherwise("")
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """doc_id, licences (comma-separated), n_known, n_unknown and n_loose sentences of every row."""
+    """doc_id, licences (comma-separated), n_known, n_unknown and n_loose of every row."""
     ids = F.coalesce(identifiers(F.col("text")), F.lit(""))
 
     def apply(sequence: Column, rule: tuple[str, str]) -> Column:
