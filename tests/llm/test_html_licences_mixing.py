@@ -53,6 +53,35 @@ def test_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "inner, text",
+    [
+        (f"<section id='related-work'><h2>Related</h2><p>{LONG}</p></section>", f"Related {LONG}"),
+        (f"<h2 id='social-impact'>Impact</h2><p>{LONG}</p>", f"Impact {LONG}"),
+        (f"<h2 id='alert-handling'>Alerts</h2><h3 id=notices>Notices</h3><p>{LONG}</p>", f"Alerts Notices {LONG}"),
+        (f"<div class='menu-recipe'>{LONG}</div>", LONG),
+        ("<p id='notice-period'>Three months.</p>", "Three months."),
+        (f"<section id=advertising><h2>Adverts</h2><p>{LONG}</p><p>{LONG}</p></section>", f"Adverts {LONG}{LONG}"),
+        (f"<div class=notice>{LONG}</div>", LONG),
+        ("x<span class=share-price>y</span>z", "xyz"),
+        (f"<div class=ad>{LONG}</div><div class='cookie-notice'>{LONG}</div>", ""),
+        ("<ul class='related-posts'><li><a href=/a>One</a><li><a href=/b>Two</a></ul>", ""),
+        ("x <a class=share href=/s>Share</a>", "x"),
+        ("<div class='social-share'><a href=/a>Like it now</a><div class=menu><a href=/b>More</a></div></div>", ""),
+    ],
+)
+@pytest.mark.parametrize("around", ["<nav>n</nav><article>{}</article>", "<main>{}</main><div class='related-x'>r</div>"])
+def test_names_need_the_texts_agreement(inner, text, around):
+    page = around.format(f"<h1>T</h1><p>{LONG}</p>{inner}<p>{LONG}</p>")
+    assert html_text.main_text(page) == " ".join(f"T {LONG}{text} {LONG}".split())
+
+
+def test_names_on_pages_without_an_article():
+    page = (f"<div><h1>T</h1><p>{LONG}</p><div id='related-work'><h2>R</h2><p>{LONG}</p></div>"
+            f"<div class='menu-left-side'><a href=/>x</a></div><p>{LONG}</p></div>")
+    assert html_text.main_text(page) == f"T {LONG}R {LONG}{LONG}".strip()
+
+
 def test_pages_with_nulls_repeats_and_other_columns(spark):
     rows = [(1, None, "<p>a</p>", "x"), (1, None, "<p>a</p>", "x"), (None, "u", None, None), (2, "u", "<p>" + "w " * 200_000, "y")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
