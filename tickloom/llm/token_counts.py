@@ -1,11 +1,12 @@
-"""Exact token counts of every prefix of a text, by dynamic programming over prefixes.
+"""Exact token counts of every prefix of a text, from tables of its pieces' prefixes.
 
 The vocabulary never joins characters across white space or pre-token edges, so the count at
 a prefix is the count at the last edge before it plus the count of the piece begun there. A
 piece's table is its parent's (the piece without its last character) and one entry more:
 tables grow from shorter to longer prefixes, and the library encodes each distinct prefix of a
-piece on its own, once in a worker; no count is derived from an earlier one. A text's counts at all prefixes are looked up and added; how many tokens a prefix
-has, where a budget ends and whether a limit is passed need no further encoding.
+piece on its own, once in a worker; no count is derived from an earlier one. A text's counts
+at all prefixes are looked up and added; how many tokens a prefix has, where a budget ends and
+whether a limit is passed need no further encoding.
 
 * A null text counts as empty: 0 bytes, 0 tokens.
 * Texts of any length are handled whole; so are pieces, whose tables hold wider numbers where
