@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import html_text, licences, mixing, packing, quality, simhash, token_counts, token_files, toxicity, weighted_sampling
+from tickloom.llm import (
+    conversations, html_text, licences, mixing, packing, periodic_runs, pieces, quality, simhash,
+    token_counts, token_files, toxicity, weighted_sampling,
+)
 from tickloom.llm.common import importable, table
-from tickloom.session import scratch_path
+from tickloom.session import checkpointed, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -192,3 +196,81 @@ def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size, target and words taken of every document."""
     return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+@query("op11_piece_ids")
+def op11_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text decoded from them, as digests."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encoded(table(spark, sf_dir, "documents"), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), "agrees",
+    )
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, without sentence ends, repeated or of another role."""
+
+    def spaced(name: str):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    place = F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")).cast("binary")
+    kind = F.crc32(place) % 20
+    text = (
+        F.when(kind == 1, F.lit(""))
+        .when(kind == 2, F.translate(spaced("text"), ".!?", ""))
+        .otherwise(spaced("text"))
+    )
+    return rows.where(kind != 0).select(
+        "conv_id", "turn",
+        F.when(kind == 4, F.lit("user")).otherwise(spaced("role")).alias("role"),
+        text.alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1))).alias("copy"),
+    ).drop("copy")
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and repaired text of every conversation after damage."""
+    original = table(spark, sf_dir, "conversations")
+    rows = damaged(original)
+    found = checkpointed(conversations.judged(rows))
+    digests = conversations.joined_digests(rows, found)
+    ids = original.select("conv_id").distinct()
+    for other in (found, digests):
+        other = other.withColumnRenamed("conv_id", "__conv")
+        ids = ids.join(other, F.col("conv_id").eqNullSafe(F.col("__conv")), "left").drop("__conv")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return ids.select(
+        "conv_id", *[F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a document, the rest of every tenth one repeating from some word on."""
+    h = crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * ((n - a) // p + 1))[: n - a]
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document and what is left without their repetitions, as digests."""
+
+    def line(run):
+        return F.format_string("%d,%d,%d\n", run["start"], run["length"], run["period"])
+
+    return periodic_runs.with_runs(table(spark, sf_dir, "documents"), planted).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        *[F.col("longest")[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(F.lit(1000) * F.col("longest.length") / F.col("longest.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
