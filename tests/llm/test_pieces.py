@@ -19,7 +19,7 @@ def test_random_texts_and_ids():
     pick = random.Random(1)
     for _ in range(5000):
         text = "".join(pick.choice(LETTERS) for _ in range(pick.randrange(40)))
-        ids = own.encode(text).tolist()
+        ids = own.encode(text)
         assert ids == library.encode(text), text
         assert own.decode(ids) == library.decode(ids), text
     few = [0, 1, 2, 259, 28705, 264]
@@ -29,16 +29,28 @@ def test_random_texts_and_ids():
 
 
 def test_best_score_first_then_the_left():
-    own = pieces.vocabulary(PATH)
-    assert own.merged("▁aaaaa") == own.library.encode("aaaaa", out_type=str)
-    marks = "▁" * 37  # all joins of space marks have the same score
-    assert own.merged(marks) == own.library.encode(" " * 36, out_type=str)
+    """Steps in common and the heap of one cut join the same pairs."""
+    own, pick = pieces.vocabulary(PATH), random.Random(3)
+    # All joins of space marks have the same score.
+    cuts = ["▁aaaaa", "▁" * 37] + ["▁s" + "".join(pick.choice("theainrß中") for _ in range(pick.randrange(20))) for _ in range(300)]
+    for cut, symbols in zip(cuts, own.together(cuts)):
+        assert symbols.tolist() == own.alone(cut).tolist()
+        if "中" not in cut:
+            assert symbols.tolist() == own.library.encode(cut[1:].replace("▁", " "))
 
 
 def test_long_text_without_a_cut():
     own = pieces.vocabulary(PATH)
     text = "".join(random.Random(2).choice("abcdeé中") for _ in range(200_000))
-    assert own.encode(text).tolist() == own.library.encode(text)
+    assert own.encode(text) == own.library.encode(text)
+
+
+def test_a_differing_cut_is_told(monkeypatch):
+    own = pieces.Pieces(PATH)
+    real = own.together
+    monkeypatch.setattr(own, "together", lambda cuts: [r[:-1] if c == "▁wrong" else r for c, r in zip(cuts, real(cuts))])
+    texts = ["all right", "one wrong word", "right", "wrong"]
+    assert [same for _, same in own.checked(texts)] == [True, False, True, False]
 
 
 def test_memory_changes_nothing(monkeypatch):
@@ -46,8 +58,8 @@ def test_memory_changes_nothing(monkeypatch):
     monkeypatch.setattr(pieces, "SHORT", 4)
     own = pieces.Pieces(PATH)
     for _, text, *_ in odd_rows():
-        assert own.encode(text).tolist() == own.library.encode(text or "")
-    assert own._remembered.cache_info().currsize == 3
+        assert own.encode(text) == own.library.encode(text or "")
+    assert max(map(len, own.known)) <= 4
 
 
 def test_query(spark, documents, queries):
