@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.operators import indicators as ind
 
@@ -152,3 +153,40 @@ def test_table_form(bars):
     row = out.where("ticker = 'ONE'").first()
     assert row.series_window_timespan == "close_day_12" and row.underlying_close == 7.0
     assert row.signal == 0.0 and row.timestamp == row.underlying_timestamp
+
+
+def test_states_come_through_nodes_branches_and_the_root(spark):
+    """One bar a block: 9,000 blocks of a ticker make 141 nodes and three branches; gaps leave some out."""
+    rng, price, time, points = random.Random(8), 100.0, 0, []
+    for i in range(9000):
+        price = max(1.0, price + rng.uniform(-1, 1))
+        time += DAY * (5000 if i % 3000 == 2999 else 1)
+        points.append(("T", time, round(price, 2)))
+    table = spark.createDataFrame(points, "ticker string, window_start bigint, close double").repartition(7)
+    values = ema_of([c for *_, c in points], 10)
+    check(ind.ema(table, 10, interval_ns=DAY, block=1), {("T", t): v for (_, t, _), v in zip(points, values)})
+    check(ind.rsi(table, 18, interval_ns=DAY, block=1), rsi_of(points, 18))
+
+
+def test_no_row_holds_more_than_a_node(spark):
+    """Lists of summaries grow to 63, however many blocks a ticker has."""
+    from tickloom.operators import skew
+
+    rows = spark.range(20_000).selectExpr("'T' AS ticker", "id AS place", "named_struct('n', 1L) AS _s")
+    sizes = []
+    real = skew._folded
+
+    def watched(summaries, combine):
+        sizes.append(summaries)
+        return real(summaries, combine)
+
+    skew._folded = watched
+    try:
+        found = skew.combined_before(
+            rows, "ticker", "place", lambda a, b: F.struct((a["n"] + b["n"]).alias("n"))
+        )
+    finally:
+        skew._folded = real
+    assert len(sizes) == 3  # of a node, of a branch, of the root
+    got = found.select("place", F.coalesce("_before.n", F.lit(0)).alias("n"))
+    assert got.where("n <> place").count() == 0 and got.count() == 20_000

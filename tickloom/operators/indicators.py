@@ -3,8 +3,9 @@
 Bars are one row per (ticker, time), spaced by ``interval_ns`` or more. Recurrences are
 evaluated block by block: within a block as running sums of scaled terms,
 ``y[i] = a**i * sum(b[j] * a**-j)`` from a state of zero, and the state before the block
-is carried over from the summaries of the blocks ahead. No history is left out, for any
-window; the block length only bounds the scaling.
+comes from the blocks ahead, whose effects are affine maps and so combine in any grouping.
+A block is a stretch of time with room for so many bars; its length only bounds the
+scaling. No history is left out, for any window.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars as sc
-from tickloom.operators.skew import halo_blocks, owned, states_before, with_ordinal
+from tickloom.operators.skew import (
+    halo_blocks, owned, states_before, with_blocks, with_ordinal, with_positions,
+)
 
 # Bars per ranking chunk and, at most, per block.
 CHUNK_BARS = 4096
@@ -30,7 +33,7 @@ def _ranked(bars: DataFrame, by: str, time: str, interval_ns: int) -> DataFrame:
 
 
 def _in_block(by: str) -> Window:
-    return Window.partitionBy(by, "_blk").orderBy("_ord")
+    return Window.partitionBy(by, "_blk").orderBy("_pos")
 
 
 def _so_far(by: str) -> Window:
@@ -49,12 +52,8 @@ def block_length(block: int | None, *decays: float) -> int:
 
 
 def _blocks(bars: DataFrame, by: str, time: str, interval_ns: int, block: int) -> DataFrame:
-    """Rows with ``_ord``, ``_blk`` and ``_pos``, the position within the block."""
-    size = F.lit(block).cast("bigint")
-    ordinal = F.col("_ord")
-    return _ranked(bars, by, time, interval_ns).withColumns(
-        {"_blk": F.call_function("div", ordinal, size), "_pos": F.pmod(ordinal, size)}
-    )
+    """Rows with ``_blk``, a stretch of at most ``block`` bars, and ``_pos``, the place in it."""
+    return with_blocks(bars, [by], [time], sc.floor_div(F.col(time), block * interval_ns))
 
 
 def _checked(window: int) -> int:
@@ -110,15 +109,23 @@ def ema(
     a = 1 - 2 / (_checked(window) + 1)
     df = _blocks(bars, by, time, interval_ns, block_length(block, a))
     df = df.withColumn("_y", _from_zero((1 - a) * F.col(value), a, F.col("_pos"), by))
-    summary = [F.count(F.lit(1)).alias("n"), _last("_y"), F.min_by(value, "_pos").alias("x")]
+    fade = F.pow(F.lit(a), F.count(F.lit(1)))
+    summary = [fade.alias("fade"), _last("_y"), F.min_by(value, "_pos").cast("double").alias("x")]
+
+    def step(y: Column, b: Column) -> Column:
+        return b["fade"] * y + b["_y"]
+
+    def combine(b: Column, c: Column) -> Column:
+        return F.struct(
+            (b["fade"] * c["fade"]).alias("fade"), step(b["_y"], c).alias("_y"), b["x"].alias("x")
+        )
+
     # Before the first bar stands its own value, so that the first mean is that value.
-    df = states_before(
-        df, by, summary, lambda b: b["x"].cast("double"),
-        lambda y, b: F.pow(F.lit(a), b["n"]) * y + b["_y"],
-    )
+    df = states_before(df, by, summary, lambda b: b["x"], step, combine)
     mean = F.pow(F.lit(a), F.col("_pos") + 1) * F.col("_state") + F.col("_y")
-    mean = F.when(F.col("_ord") == 0, F.col(value).cast("double")).otherwise(mean)
-    return df.withColumn(out, mean).drop("_ord", "_blk", "_pos", "_y", "_state")
+    first = F.col("_opens") & (F.col("_pos") == 0)
+    mean = F.when(first, F.col(value).cast("double")).otherwise(mean)
+    return df.withColumn(out, mean).drop("_blk", "_pos", "_y", "_state", "_opens")
 
 
 def macd(
@@ -159,24 +166,32 @@ def macd(
             (g_now - carried(l, n) * state["l"] + zero_g).alias("g"),
         )
 
-    summary = [F.count(F.lit(1)).alias("n"), *map(_last, ("_s", "_l", "_g"))]
-    first = F.min_by(value, "_pos").alias("x")
-    df = states_before(
-        df, by, [*summary, first],
-        lambda b: F.struct(
-            b["x"].cast("double").alias("s"), b["x"].cast("double").alias("l"), F.lit(0.0).alias("g")
-        ),
-        lambda state, b: after(state, b["n"], b["_s"], b["_l"], b["_g"]),
-    )
+    def step(state: Column, b: Column) -> Column:
+        return after(state, b["n"], b["s"], b["l"], b["g"])
+
+    def combine(b: Column, c: Column) -> Column:
+        # What a stretch makes of a state of zero is a state like any other.
+        now = step(b, c)
+        return F.struct(
+            (b["n"] + c["n"]).alias("n"), *[now[m].alias(m) for m in "slg"], b["x"].alias("x")
+        )
+
+    def seed(value: Column) -> Column:
+        return F.struct(value.alias("s"), value.alias("l"), F.lit(0.0).alias("g"))
+
+    summary = [
+        F.count(F.lit(1)).alias("n"), *[F.max_by(f"_{m}", "_pos").alias(m) for m in "slg"],
+        F.min_by(value, "_pos").cast("double").alias("x"),
+    ]
+    df = states_before(df, by, summary, lambda b: seed(b["x"]), step, combine)
     now = after(F.col("_state"), pos + 1, F.col("_s"), F.col("_l"), F.col("_g"))
-    first = x.cast("double")
-    seed = F.struct(first.alias("s"), first.alias("l"), F.lit(0.0).alias("g"))
-    now = F.when(F.col("_ord") == 0, seed).otherwise(now)
+    first = F.col("_opens") & (pos == 0)
+    now = F.when(first, seed(x.cast("double"))).otherwise(now)
     df = df.withColumn("_now", now).withColumns(
         {"value": F.col("_now.s") - F.col("_now.l"), "signal": F.col("_now.g")}
     )
     return df.withColumn("histogram", F.col("value") - F.col("signal")).drop(
-        "_ord", "_blk", "_pos", "_s", "_l", "_g", "_state", "_now"
+        "_blk", "_pos", "_s", "_l", "_g", "_state", "_opens", "_now"
     )
 
 
@@ -197,14 +212,14 @@ def rsi(
     the bar after them on.
     """
     a = (_checked(window) - 1) / window
-    size = block_length(block, a)
-    df = _blocks(bars, by, time, interval_ns, size)
+    blocked = _blocks(bars, by, time, interval_ns, block_length(block, a))
+    df = with_positions(blocked, [by])
     zero, x = F.lit(0.0), F.col(value)
 
     def decays(ordinal: Column) -> Column:
         return F.greatest(ordinal - window, F.lit(0).cast("bigint"))
 
-    power = decays(F.col("_ord")) - decays(F.col("_blk") * size - 1)
+    power = decays(F.col("_ord")) - decays(F.col("_ord") - F.col("_pos") - 1)
     df = df.withColumn("_power", power).withColumn("_change", x - F.lag(value).over(_in_block(by)))
     # The first change of a block is known once the block before is.
     for name, sign in (("_gain", 1), ("_loss", -1)):
@@ -227,16 +242,25 @@ def rsi(
         F.max_by(value, "_pos").cast("double").alias("last"),
         F.max_by("_power", "_pos").alias("power"),
         F.min_by("_power", "_pos").alias("head"),
-        _last("_gain"), _last("_loss"),
+        F.max_by("_gain", "_pos").alias("gain"),
+        F.max_by("_loss", "_pos").alias("loss"),
     ]
 
     def step(state: Column, b: Column) -> Column:
-        now = after(state, b["first"], b["power"], b["head"], {"gain": b["_gain"], "loss": b["_loss"]})
+        now = after(state, b["first"], b["power"], b["head"], {"gain": b["gain"], "loss": b["loss"]})
         return F.struct(now["gain"].alias("gain"), now["loss"].alias("loss"), b["last"].alias("last"))
 
+    def combine(b: Column, c: Column) -> Column:
+        now = step(b, c)
+        return F.struct(
+            b["first"].alias("first"), c["last"].alias("last"),
+            (b["power"] + c["power"]).alias("power"), b["head"].alias("head"),
+            now["gain"].alias("gain"), now["loss"].alias("loss"),
+        )
+
     nothing = F.struct(zero.alias("gain"), zero.alias("loss"), F.lit(None).cast("double").alias("last"))
-    df = states_before(df, by, summary, lambda b: nothing, step)
-    whole = Window.partitionBy(by, "_blk").orderBy("_ord").rowsBetween(
+    df = states_before(df, by, summary, lambda b: nothing, step, combine)
+    whole = Window.partitionBy(by, "_blk").orderBy("_pos").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
     df = df.withColumns({"_first": F.first(value).over(whole), "_head": F.first("_power").over(whole)})
@@ -248,7 +272,7 @@ def rsi(
     strength = 100 - 100 / (1 + F.try_divide("_up", "_down"))
     df = df.withColumn(out, F.when(F.col("_down") == 0, F.lit(100.0)).otherwise(strength))
     return df.where(F.col("_ord") >= window).drop(
-        "_ord", "_blk", "_pos", "_power", "_change", "_gain", "_loss", "_state", "_first", "_head", "_up", "_down"
+        "_ord", "_blk", "_pos", "_power", "_change", "_gain", "_loss", "_state", "_opens", "_first", "_head", "_up", "_down"
     )
 
 

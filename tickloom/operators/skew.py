@@ -3,16 +3,22 @@
 A window partitioned by ticker alone puts a ticker's full history into one task.
 Here each row first gets its position within its key, counted chunk by chunk, and
 the series is then cut into blocks of fixed length. For a window of a few rows, every
-block repeats the last rows of the block before it (the halo). For recurrences, each
-block is summed up in one row; the summaries of a key are folded in order, and the state
-before each block is joined back (``states_before``).
+block repeats the last rows of the block before it (the halo). For recurrences the chunks
+themselves are the blocks: each is summed up in one row, the summaries are combined by a
+tree whose nodes are spread over tasks, and the state before each block is joined back
+(``states_before``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Rows below a node of the tree and nodes below a branch, as a power of two.
+FAN_BITS = 6
+
 
 def tie(df: DataFrame) -> Column:
     """An aggregate over all columns of ``df``.
@@ -31,56 +37,140 @@ def with_ordinal(df: DataFrame, by: list[str], order: list[str], chunk: Column)
     (key, chunk) group. Counts per chunk are small and are summed per key; rows are
     only ranked within their chunk.
     """
-    chunked = df.withColumn("_chunk", chunk)
-    # Both sides of the join below drop null keys; said here, their shuffles stay equal.
-    for key in (*by, "_chunk"):
+    counted = with_blocks(df, by, order, chunk)
+    return with_positions(counted, by).drop("_blk", "_pos")
+
+
+def with_blocks(df: DataFrame, by: list[str], order: list[str], chunk: Column) -> DataFrame:
+    """Add ``_blk``, the chunk of each row, and ``_pos``, its 0-based position there.
+
+    Rows without a key or a chunk go. Later windows and joins by key and chunk need no
+    further shuffle.
+    """
+    chunked = df.withColumn("_blk", chunk)
+    # Both sides of later joins drop null keys; said here, their shuffles stay equal.
+    for key in (*by, "_blk"):
         chunked = chunked.where(F.col(key).isNotNull())
-    chunked = chunked.repartition(*by, "_chunk")
-    sizes = chunked.groupBy(*by, "_chunk").agg(F.count(F.lit(1)).alias("_n"), tie(chunked))
-    before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(
+    # No null is left; said so, what is computed from the chunk needs no filter of its own.
+    chunked = chunked.withColumn("_blk", F.coalesce("_blk", F.lit(0).cast("bigint")))
+    place = F.row_number().over(Window.partitionBy(*by, "_blk").orderBy(*order))
+    return chunked.repartition(*by, "_blk").withColumn("_pos", place.cast("bigint") - 1)
+
+
+def with_positions(blocked: DataFrame, by: list[str]) -> DataFrame:
+    """Add ``_ord``, the position within the key, to rows of :func:`with_blocks`."""
+    sizes = blocked.groupBy(*by, "_blk").agg(F.count(F.lit(1)).alias("_n"), tie(blocked))
+    before = Window.partitionBy(*by).orderBy("_blk").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = sizes.select(
-        "_tie", *by, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+        "_tie", *by, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
-    rank = F.row_number().over(Window.partitionBy(*by, "_chunk").orderBy(*order))
     return (
-        chunked.withColumn("_rank", rank)
-        .join(offsets, [*by, "_chunk"])
-        .withColumn("_ord", F.col("_offset") + F.col("_rank") - 1)
+        blocked.join(offsets, [*by, "_blk"])
+        .withColumn("_ord", F.col("_offset") + F.col("_pos"))
         # A hash is never null; the condition only keeps the column in use.
         .where(F.col("_tie").isNotNull())
-        .drop("_chunk", "_offset", "_rank", "_tie")
+        .drop("_offset", "_tie")
+    )
+
+
+Combine = Callable[[Column, Column], Column]
+
+
+def _folded(summaries: Column, combine: Combine) -> Column:
+    """All of an array combined from the left; null where it is empty."""
+    rest = F.slice(summaries, F.lit(2), F.greatest(F.size(summaries), F.lit(1)))
+    return F.aggregate(rest, F.get(summaries, F.lit(0)), combine)
+
+
+def combined_before(rows: DataFrame, by: str, place: str, combine: Combine) -> DataFrame:
+    """Add ``_before``: the summaries ``_s`` of all earlier rows of a key, combined; null for the first.
+
+    ``combine(a, b)`` is the summary of a stretch from those of its two parts, so it may be
+    applied in any grouping. The rows of a key are the leaves of a tree: 64 places make a
+    node, 64 nodes a branch, and a branch is what one task holds. What is before a row in its
+    node, before its node in the branch and before its branch are combined; only the last
+    needs a second shuffle, of one row per branch. No row holds more than 64 summaries, but
+    for the root's list of a key's branches.
+    """
+    # A shift of a column that is never null is never null: joins by it then add no filters,
+    # which would make equal shuffles differ.
+    rows = rows.withColumns(
+        {"_branch": F.shiftright(place, 2 * FAN_BITS), "_node": F.shiftright(place, FAN_BITS)}
+    ).repartition(by, "_branch")
+
+    def earlier(*keys: str) -> Window:
+        return Window.partitionBy(*keys).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+
+    def together(first: str, second: str) -> Column:
+        a, b = F.col(first), F.col(second)
+        return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(combine(a, b))
+
+    in_node = Window.partitionBy(by, "_branch", "_node").orderBy(place)
+    rows = rows.withColumns(
+        {
+            "_list": F.collect_list("_s").over(earlier(by, "_branch", "_node")),
+            "_ends": F.lead(place).over(in_node).isNull(),
+        }
+    ).withColumn("_inner", _folded(F.col("_list"), combine))
+    # The last row of a node completes it, and lists leave nulls out.
+    rows = rows.withColumn("_whole", F.when(F.col("_ends"), together("_inner", "_s")))
+    in_branch = Window.partitionBy(by, "_branch").orderBy(place)
+    rows = rows.withColumns(
+        {
+            "_list": F.collect_list("_whole").over(earlier(by, "_branch")),
+            "_last": F.lead(place).over(in_branch).isNull(),
+        }
+    ).withColumn("_nodes", _folded(F.col("_list"), combine))
+    branches = rows.where("_last").select(by, "_branch", together("_nodes", "_whole").alias("_sum"))
+    branches = branches.withColumn("_list", F.collect_list("_sum").over(
+        Window.partitionBy(by).orderBy("_branch").rowsBetween(Window.unboundedPreceding, -1)
+    ))
+    branches = branches.select(
+        F.col(by).alias("_by"), F.col("_branch").alias("_of"),
+        _folded(F.col("_list"), combine).alias("_outer"),
+    )
+    here = (F.col(by) == F.col("_by")) & (F.col("_branch") == F.col("_of"))
+    helpers = ("_by", "_of", "_outer", "_inner", "_nodes", "_whole", "_list", "_ends", "_last", "_node", "_branch")
+    return (
+        rows.join(branches, here)
+        .withColumn("_inner", together("_nodes", "_inner"))
+        .withColumn("_before", together("_outer", "_inner"))
+        .drop(*helpers)
     )
 
 
 def states_before(
-    df: DataFrame, by: str, summary: list[Column], start: Column, step
+    df: DataFrame,
+    by: str,
+    summary: list[Column],
+    start: Callable[[Column], Column],
+    step: Combine,
+    combine: Combine,
 ) -> DataFrame:
     """Rows of ``df`` (with ``_blk``) and ``_state``, the state of their key before the block.
 
     ``summary`` are aggregates of a block. ``start`` is the state before the first block, in
-    terms of the first block's summary ``b``; ``step(state, b)`` is the state after a block.
-    A key has one summary per block, folded in order; rows themselves never meet in one task.
+    terms of a summary ``b`` that begins with it; ``step(state, b)`` is the state after a
+    stretch and ``combine(a, b)`` the summary of two stretches in a row. Also adds
+    ``_opens``, true in a key's first block. Neither rows nor summaries of a key meet in one
+    task: see :func:`combined_before`.
     """
     blocks = df.groupBy(by, "_blk").agg(*summary, tie(df))
-    fields = [c for c in blocks.columns if c != by]
-    b = F.col("_all")[0]
-    state = start(b)
-
-    def advance(acc, block):
-        after = step(acc["now"], block)
-        return F.struct(after.alias("now"), F.concat(acc["out"], F.array(acc["now"])).alias("out"))
-
-    none = F.filter(F.array(state), lambda x: F.lit(False))
-    folded = F.aggregate(
-        "_all", F.struct(state.alias("now"), none.alias("out")), advance, lambda acc: acc["out"]
-    )
-    states = (
-        blocks.groupBy(by)
-        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_all"))
-        .select(by, F.explode(F.arrays_zip(F.col("_all._blk").alias("_blk"), folded.alias("_state"))).alias("_z"))
-        .select(F.col(by).alias("_by"), F.col("_z._blk").alias("_of"), F.col("_z._state").alias("_state"))
+    fields = [c for c in blocks.columns if c not in (by, "_blk", "_tie")]
+    # The tie travels inside the summaries, so that all uses of a shuffle of them are equal.
+    blocks = blocks.select(by, "_blk", F.struct(F.struct(*fields).alias("of"), "_tie").alias("_s"))
+
+    def tied(b: Column, c: Column) -> Column:
+        return F.struct(combine(b["of"], c["of"]).alias("of"), b["_tie"].alias("_tie"))
+
+    found = combined_before(blocks, by, "_blk", tied)
+    before = F.col("_before.of")
+    state = F.when(F.col("_before").isNull(), start(F.col("_s.of"))).otherwise(step(start(before), before))
+    states = found.where(F.col("_s._tie").isNotNull()).select(
+        F.col(by).alias("_by"), F.col("_blk").alias("_of"),
+        state.alias("_state"), F.col("_before").isNull().alias("_opens"),
     )
     here = (F.col(by) == F.col("_by")) & (F.col("_blk") == F.col("_of"))
     return df.join(states, here).drop("_by", "_of")
