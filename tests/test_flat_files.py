@@ -112,3 +112,69 @@ def test_declared_flat_file(spark, tmp_path):
     )
     row = ff.scan_flat_files(spark, str(tmp_path), TABLES["stocks_flat_files_eod"].schema).first()
     assert (row.open, row.close, row.transactions, row.vwap, row.otc) == (2.0, 3.0, 5, None, None)
+
+
+@pytest.fixture
+def mixed(tmp_path):
+    """Files of three column orders, one without a column, in a folder with a space."""
+    folder = tmp_path / "of many"
+    folder.mkdir()
+    (folder / "a_2024-01-02.csv").write_text("vwap,ticker,volume,otc\n1.5,A,12,TRUE\n")
+    with gzip.open(folder / "a_2024-01-03.csv.gz", "wt") as f:
+        f.write("ticker,otc,volume,vwap\nB,no,3,2.5\nC,no,4,3.5\n")
+    (folder / "a_2024-01-04.csv").write_text('\ufeffvolume,"ticker"\n5,D\n')
+    (folder / "a_2024-01-05.csv").write_text("volume,ticker\n6,E\n")
+    (folder / "a_2024-01-06.csv").write_text("")
+    return str(folder)
+
+
+def test_files_are_read_by_their_own_header(spark, mixed, rows):
+    assert rows(ff.scan_flat_files(spark, mixed, SCHEMA)) == [
+        ("2024-01-02", "A", 12, True, 1.5),
+        ("2024-01-03", "B", 3, False, 2.5),
+        ("2024-01-03", "C", 4, False, 3.5),
+        ("2024-01-04", "D", 5, None, None),
+        ("2024-01-05", "E", 6, None, None),
+    ]
+    groups = ff.header_groups(spark, mixed)
+    assert sorted(len(files) for files in groups.values()) == [1, 1, 2]
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+
+def test_headers_of_dates_left_out_are_not_read(spark, mixed, rows):
+    groups = ff.header_groups(spark, mixed, start="2024-01-03", end="2024-01-03")
+    assert list(groups) == [("ticker", "otc", "volume", "vwap")]
+    assert [r[1] for r in rows(ff.scan_flat_files(spark, mixed, SCHEMA, bookmark="2024-01-04"))] == ["D", "E"]
+    assert ff.scan_flat_files(spark, mixed, SCHEMA, start="2025-01-01").collect() == []
+
+
+def test_a_header_line_costs_no_full_read(spark, tmp_path):
+    """A task ends after its first rows: of a long file, few rows reach it."""
+    import time
+
+    path = tmp_path / "a_2024-01-02.csv.gz"
+    with gzip.open(path, "wt", compresslevel=1) as f:
+        f.write("ticker,volume\n")
+        for k in range(3_000_000):
+            f.write(f"T{k},{k}\n")
+    ff.header_groups(spark, str(path))
+    start = time.perf_counter()
+    assert list(ff.header_groups(spark, str(path))) == [("ticker", "volume")]
+    took = time.perf_counter() - start
+    start = time.perf_counter()
+    assert spark.read.text(str(path)).selectExpr("max(length(value))").first()
+    assert took < 2 + 2 * (time.perf_counter() - start)
+
+
+def test_quotes_of_two_orders_and_dates(spark, tmp_path):
+    names = ["ticker", "ask_exchange", "ask_price", "ask_size", "bid_exchange", "bid_price", "bid_size", "sequence_number", "sip_timestamp"]
+    values = ["O:A", "1", "1.5", "10", "1", "1.4", "10", "7", "60000000000"]
+    for day, step in (("2024-01-02", 1), ("2024-01-03", -1), ("2024-01-04", 1)):
+        (tmp_path / f"q_{day}.csv").write_text(",".join(names[::step]) + "\n" + ",".join(values[::step]) + "\n")
+    kind = qt.QUOTE_ASSETS["option"].csv
+    got = ff.scan_quotes(spark, str(tmp_path), kind).collect()
+    assert sorted(r.file_date for r in got) == ["2024-01-02", "2024-01-03", "2024-01-04"]
+    assert {(r.ticker, r.ask_price, r.sip_timestamp) for r in got} == {("O:A", 1.5, 60_000_000_000)}
+    assert {r.file_date for r in ff.scan_quotes(spark, str(tmp_path), kind, bookmark="2024-01-03", end="2024-01-03").collect()} == {"2024-01-03"}
+    one = ff.scan_quotes(spark, str(tmp_path), kind, end="2024-01-02", header=names)
+    assert [r.file_date for r in one.collect()] == ["2024-01-02"]

@@ -109,3 +109,20 @@ def test_keys_over_doubles_follow_their_json_text(spark):
     for row in with_surrogate_key(df, ["shares", "name"]).collect():
         text = f"a|{row.shares}"
         assert row._surrogate_key == str(uuid.uuid5(uuid.NAMESPACE_DNS, text)), text
+
+
+def test_nine_fraction_digits(spark):
+    table = {
+        "2024-01-02T03:04:05.123456789Z": 1704164645123456789,
+        "2024-01-02T03:04:05.1234567+00:00": 1704164645123456700,
+        "2024-01-02 03:04:05.12345678": 1704164645123456780,
+        "2024-01-02T03:04:05.000000001-05:00": 1704182645000000001,
+        "1969-12-31T23:59:59.999999999Z": -1,
+        "2024-01-02T03:04:05.5Z": 1704164645500000000,
+        "2024-01-02": 1704153600000000000,
+        "oops.1234567": None,
+    }
+    df = spark.createDataFrame([(t,) for t in table], "t string")
+    got = df.select("t", sc.iso_to_unix("t", "ns").alias("ns"), sc.iso_to_unix("t", "ms").alias("ms")).collect()
+    assert {r.t: r.ns for r in got} == table
+    assert all(r.ms == (None if r.ns is None else r.ns // 1_000_000) for r in got)

@@ -86,10 +86,15 @@ def epoch_to_timestamp(c: Column | str, unit: str | None = None) -> Column:
 
 
 def iso_to_unix(c: Column | str, unit: str) -> Column:
-    """ISO text to whole s, ms or ns; text without an offset is UTC."""
-    micros = F.unix_micros(F.try_to_timestamp(_col(c)))
+    """ISO text to whole s, ms or ns; text without an offset is UTC.
+
+    A timestamp holds six fraction digits, so the seventh to ninth are read from the text.
+    """
+    text = _col(c)
+    micros = F.unix_micros(F.try_to_timestamp(text))
     if unit == "ns":
-        return micros * 1_000
+        further = F.regexp_extract(text, r":\d\d\.\d{6}(\d{1,3})", 1)
+        return micros * 1_000 + F.rpad(further, 3, "0").cast("bigint")
     return floor_div(micros, {"s": 1_000_000, "ms": 1_000}[unit])
 
 

@@ -44,6 +44,23 @@ def _(spark, d):
     return ff.scan_flat_files(spark, path, TICK_FILE)
 
 
+@query(
+    "src01_files_by_name",
+    f"""WITH {m.TICKS} SELECT CAST(file_date AS VARCHAR) AS file_date, ticker, sip_timestamp,
+    sequence_number, CASE WHEN day(file_date) % 3 <> 2 THEN round(price, 6) END AS price,
+    CAST(size AS DOUBLE) AS size FROM ticks""",
+)
+def _(spark, d):
+    # One folder of files in three column orders, those of one order without a price.
+    path = scratch_path(spark, "ticks-by-name")
+    ticks = m.ticks(spark, d)
+    names = ["ticker", "sip_timestamp", "sequence_number", "price", "size"]
+    for k, order in enumerate((names, names[::-1], ["size", "ticker", "sequence_number", "sip_timestamp"])):
+        part = ticks.where(F.dayofmonth(F.col("file_date").cast("date")) % 3 == k)
+        part.select("file_date", *order).write.mode("append").partitionBy("file_date").option("header", True).csv(path)
+    return ff.scan_flat_files(spark, path, TICK_FILE)
+
+
 @query(
     "src02_coerce",
     """SELECT event_id,

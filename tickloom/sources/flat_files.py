@@ -1,13 +1,18 @@
 """Dated CSV / CSV.gz flat files, read in batch or as a stream.
 
-Columns are matched by header name. The header comes from one file and
-``enforceSchema=false`` makes Spark reject any file whose header differs.
-A filter on ``file_date`` prunes files before they are opened: it is either a
-partition column or a function of ``_metadata.file_name`` alone.
+Columns are matched by header name, file by file: the header lines of all files are read on
+executors, files of one header share a reader, and the readers' rows are put together by name.
+``enforceSchema=false`` makes Spark reject a file whose header is not the one expected. A
+filter on ``file_date`` prunes files before they are opened, for their header too: it is either
+a partition column or a function of ``_metadata`` alone.
 """
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,9 +37,67 @@ def _dated(df: DataFrame) -> DataFrame:
     """Add ``file_date`` text from the partition folder, else from the file name."""
     if "file_date" in df.columns:
         return df.withColumn("file_date", F.col("file_date").cast("string"))
-    return df.withColumn("file_date", sc.file_date("_metadata.file_name")).where(
-        F.col("file_date").isNotNull()
+    folder = F.regexp_extract("_metadata.file_path", r"/file_date=([^/]+)/", 1)
+    date = F.when(folder != "", folder).otherwise(sc.file_date("_metadata.file_name"))
+    return df.withColumn("file_date", date).where(F.col("file_date").isNotNull())
+
+
+def header_groups(
+    spark: SparkSession,
+    path: str | list[str],
+    start: str | None = None,
+    end: str | None = None,
+    bookmark: str | None = None,
+) -> dict[tuple[str, ...], list[str]]:
+    """The files of each distinct header, of those that the dates leave.
+
+    A task opens one file and ends after its first rows, so a file costs no full read. The
+    driver gets one line per file, as many as it has listed to plan any scan.
+    """
+
+    def first(batches):
+        for batch in batches:
+            if batch.num_rows:
+                if batch.column("at")[0].as_py() == 0:
+                    yield batch.slice(0, 1)
+                return  # the rest of the file is not read
+
+    lines = spark.read.option("pathGlobFilter", FILE_GLOB).text(path)
+    lines = prune_dates(_dated(lines), start, end, bookmark).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")
     )
+    # An opening cost as large as a partition gives every file a partition of its own.
+    key, size = "spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        found = lines.mapInArrow(first, "value string, file string, at long").collect()
+    finally:
+        spark.conf.set(key, before)
+    out: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(found, key=lambda r: r.file):
+        names = next(csv.reader([row.value.lstrip("\ufeff")]), [])
+        out.setdefault(tuple(names), []).append(row.file)
+    return out
+
+
+def _by_header(
+    spark: SparkSession,
+    path: str | list[str],
+    header: list[str] | None,
+    dates: tuple[str | None, str | None, str | None],
+    read,
+) -> list[DataFrame]:
+    """``read(names, paths)`` for each distinct header."""
+    if header:
+        return [read(header, path)]
+    groups = header_groups(spark, path, *dates)
+    if len(groups) == 1:
+        return [read(list(names), path) for names in groups]
+    # Paths of files come as URIs.
+    return [
+        read(list(names), [unquote(f) for f in files]) for names, files in groups.items()
+    ]
 
 
 def coerce(df: DataFrame, schema: T.StructType | str) -> DataFrame:
@@ -84,45 +147,67 @@ def scan_flat_files(
 ) -> DataFrame:
     """Rows of all dated files under ``path`` as ``schema``, dirty values as NULL.
 
-    ``header`` is the column order of the files, when known.
+    A column that a file's header lacks is NULL in its rows. ``header`` is the column order of
+    all files, when known; no header line is read ahead then.
     """
-    names = header or _header(spark, path)
-    raw = (
-        spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("pathGlobFilter", FILE_GLOB)
-        .csv(path)
-    )
-    return coerce(prune_dates(_dated(raw), start, end, bookmark), schema)
+
+    def read(names: list[str], paths: str | list[str]) -> DataFrame:
+        raw = (
+            spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+            .option("header", True)
+            .option("enforceSchema", False)
+            .option("pathGlobFilter", FILE_GLOB)
+            .csv(paths)
+        )
+        return coerce(prune_dates(_dated(raw), start, end, bookmark), schema)
+
+    return _together(spark, _by_header(spark, path, header, (start, end, bookmark), read), schema)
+
+
+def _together(spark: SparkSession, parts: list[DataFrame], schema: T.StructType | str) -> DataFrame:
+    if not parts:
+        return spark.createDataFrame([], as_schema(schema))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def scan_quotes(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | str
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | str,
+    start: str | None = None,
+    end: str | None = None,
+    bookmark: str | None = None,
+    header: list[str] | None = None,
 ) -> DataFrame:
-    """Strictly typed quote files: one bad value fails the job.
+    """Strictly typed quote files: one bad value fails the job, and so does a missing column.
 
-    Adds ``file_date`` and the source ``file_path``.
+    Adds ``file_date`` and the source ``file_path``. Dates and ``header`` as in
+    :func:`scan_flat_files`.
     """
     types = {f.name: f.dataType for f in as_schema(schema).fields}
-    names = _header(spark, path)
-    missing = sorted(set(types) - set(names) - {"file_date"})
-    if missing:
-        raise ValueError(f"quote files lack columns {missing}")
-    typed = T.StructType(
-        [T.StructField(n, types.get(n, T.StringType())) for n in names]
-    )
-    df = (
-        spark.read.schema(typed)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
-        .option("pathGlobFilter", FILE_GLOB)
-        .csv(path)
-        .withColumn("file_path", F.col("_metadata.file_path"))
-    )
-    keep = [F.col(n) for n in types if n != "file_date"]
-    return _dated(df).select("file_date", "file_path", *keep)
+
+    def read(names: list[str], paths: str | list[str]) -> DataFrame:
+        missing = sorted(set(types) - set(names) - {"file_date"})
+        if missing:
+            raise ValueError(f"quote files lack columns {missing}")
+        typed = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+        df = (
+            spark.read.schema(typed)
+            .option("header", True)
+            .option("enforceSchema", False)
+            .option("mode", "FAILFAST")
+            .option("pathGlobFilter", FILE_GLOB)
+            .csv(paths)
+            .withColumn("file_path", F.col("_metadata.file_path"))
+        )
+        keep = [F.col(n) for n in types if n != "file_date"]
+        dated = prune_dates(_dated(df), start, end, bookmark)
+        return dated.select("file_date", "file_path", *keep)
+
+    parts = _by_header(spark, path, header, (start, end, bookmark), read)
+    rest = [f for f in as_schema(schema).fields if f.name != "file_date"]
+    front = [T.StructField(n, T.StringType()) for n in ("file_date", "file_path")]
+    return _together(spark, parts, T.StructType(front + rest))
 
 
 def stream_flat_files(
