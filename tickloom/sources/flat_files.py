@@ -1,7 +1,7 @@
 """Dated CSV / CSV.gz flat files, read in batch or as a stream.
 
-Columns are matched by header name, file by file: the header lines of all files are read on
-executors, files of one header share a reader, and the readers' rows are put together by name.
+Columns are matched by header name, file by file: the header line of each file is read by
+a task, files of one header share a reader, and the readers' rows are put together by name.
 ``enforceSchema=false`` makes Spark reject a file whose header is not the one expected. A
 filter on ``file_date`` prunes files before they are opened, for their header too: it is either
 a partition column or a function of ``_metadata`` alone.
@@ -9,9 +9,8 @@ a partition column or a function of ``_metadata`` alone.
 
 from __future__ import annotations
 
-import csv
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +20,8 @@ from tickloom.functions import scalars as sc
 from tickloom.specs.base import as_schema
 
 FILE_GLOB = "*.{csv,csv.gz}"
+# Header lines read at a time.
+READERS = 16
 
 
 def _header(spark: SparkSession, path) -> list[str]:
@@ -49,35 +50,19 @@ def header_groups(
     end: str | None = None,
     bookmark: str | None = None,
 ) -> dict[tuple[str, ...], list[str]]:
-    """The files of each distinct header, of those that the dates leave.
+    """The files of each distinct header, of those that the dates leave. Empty files have none.
 
-    A task opens one file and ends after its first rows, so a file costs no full read. The
-    driver gets one line per file, as many as it has listed to plan any scan.
+    A file costs a small job whose one task reads up to its first line end; ``READERS`` of
+    them run at a time. The driver gets a path and a header per file, as many as it has
+    listed to plan any scan.
     """
-
-    def first(batches):
-        for batch in batches:
-            if batch.num_rows:
-                if batch.column("at")[0].as_py() == 0:
-                    yield batch.slice(0, 1)
-                return  # the rest of the file is not read
-
-    lines = spark.read.option("pathGlobFilter", FILE_GLOB).text(path)
-    lines = prune_dates(_dated(lines), start, end, bookmark).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")
-    )
-    # An opening cost as large as a partition gives every file a partition of its own.
-    key, size = "spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
-    before = spark.conf.get(key)
-    spark.conf.set(key, size)
-    try:
-        found = lines.mapInArrow(first, "value string, file string, at long").collect()
-    finally:
-        spark.conf.set(key, before)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", FILE_GLOB).load(path)
+    kept = prune_dates(_dated(listed), start, end, bookmark).where("length > 0")
+    files = sorted(row.path for row in kept.select("path").collect())
     out: dict[tuple[str, ...], list[str]] = {}
-    for row in sorted(found, key=lambda r: r.file):
-        names = next(csv.reader([row.value.lstrip("\ufeff")]), [])
-        out.setdefault(tuple(names), []).append(row.file)
+    with ThreadPoolExecutor(READERS) as pool:
+        for file, names in zip(files, pool.map(lambda f: _header(spark, f), files)):
+            out.setdefault(tuple(names), []).append(file)
     return out
 
 
@@ -94,10 +79,7 @@ def _by_header(
     groups = header_groups(spark, path, *dates)
     if len(groups) == 1:
         return [read(list(names), path) for names in groups]
-    # Paths of files come as URIs.
-    return [
-        read(list(names), [unquote(f) for f in files]) for names, files in groups.items()
-    ]
+    return [read(list(names), files) for names, files in groups.items()]
 
 
 def coerce(df: DataFrame, schema: T.StructType | str) -> DataFrame:
