@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions import ts_to_ns
 from tickloom.operators import calendar as cal
@@ -11,6 +12,7 @@ from tickloom.plans import market as m
 from tickloom.plans.registry import query
 from tickloom.session import scratch_path
 from tickloom.sources import sinks
+from tickloom.sources import versions as vs
 from tickloom.specs.base import TableSpec
 from tickloom.streaming import incremental as inc
 from tickloom.streaming import quote_bars as sq
@@ -92,6 +94,26 @@ def _(spark, d):
     return inc.advance(marks, late, keys, "event_id")
 
 
+@query(
+    "str04_bookmark_store",
+    """SELECT user_id, event_type, max(event_id) AS bookmark FROM events
+    GROUP BY user_id, event_type""",
+)
+def _(spark, d):
+    # Writers of different event types, one batch sent twice and one late batch with older marks.
+    events = m.table(spark, d, "events").select("user_id", "event_type", "event_id", "ts")
+    path, keys = scratch_path(spark, "bookmarks"), ["user_id", "event_type"]
+    clicks = F.col("event_type") == "click"
+    for writer, rows in (("clicks", events.where(clicks)), ("others", events.where(~clicks))):
+        marks = inc.high_water(rows, keys, "event_id")
+        for _ in range(2):
+            vs.commit_marks(marks, path, keys, writer, 0)
+    late = inc.high_water(fl.in_window(events, "ts", end="2024-01-10"), keys, "event_id")
+    vs.commit_marks(late, path, keys, "late", 0)
+    schema = T.StructType([events.schema[k] for k in keys] + [T.StructField("bookmark", late.schema["bookmark"].dataType)])
+    return vs.read_marks(spark, path, schema)
+
+
 def _event_stream(spark, d):
     """The events file as a stream."""
     schema = m.table(spark, d, "events").schema

@@ -12,6 +12,7 @@ from tickloom.session import scratch_path
 from tickloom.sources import earnings as er
 from tickloom.sources import flat_files as ff
 from tickloom.sources import landed, sinks
+from tickloom.sources import versions as vs
 from tickloom.sources.tables import load_table
 from tickloom.specs import TABLES, conform
 from tickloom.specs.base import TableSpec
@@ -322,6 +323,30 @@ def _(spark, d):
     return spark.read.schema(spec.schema).parquet(path)
 
 
+@query(
+    "snk01_versions",
+    f"""WITH {m.TICKS} SELECT CAST(file_date AS VARCHAR) AS file_date, ticker, sequence_number,
+    round(price, 6) AS price FROM ticks""",
+)
+def _(spark, d):
+    # A stream of two batches and a replay of the last, then a batch writer for part of the dates.
+    spec = TableSpec(
+        "ticks",
+        "file_date date, ticker string, sequence_number bigint, price double",
+        ("file_date", "ticker", "sequence_number"),
+        "file_date",
+    )
+    rows = m.ticks(spark, d).select("file_date", "ticker", "sequence_number", "price")
+    path = scratch_path(spark, "versions")
+    half = F.col("sequence_number") % 2 == 0
+    wrong = rows.withColumn("price", F.lit(0.0))
+    vs.upsert_version(wrong.where(half), spec, path, writer="feed", batch_id=0)
+    vs.upsert_version(rows, spec, path, writer="feed", batch_id=1)
+    vs.upsert_version(wrong, spec, path, writer="feed", batch_id=1)
+    vs.upsert_version(rows.where(F.dayofmonth(F.col("file_date").cast("date")) == 3), spec, path)
+    return vs.read_version(spark, path, spec.schema)
+
+
 @query(
     "snk02_write_by_venue",
     f"""WITH {m.quotes_sql('stock')}, tagged AS (SELECT *, CASE ticker WHEN 'click' THEN 'cme'

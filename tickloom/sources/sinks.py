@@ -27,7 +27,7 @@ def _stored(df: DataFrame, path: str) -> DataFrame | None:
     )
 
 
-def _replace(df: DataFrame, path: str, folders: list[str], order: list[str]) -> None:
+def replace_folders(df: DataFrame, path: str, folders: list[str], order: list[str]) -> None:
     """Write ``df``, replacing the folders that it has rows of."""
     key = F.xxhash64(*order) if order else F.lit(0)
     (
@@ -49,14 +49,14 @@ def _upsert(df: DataFrame, path: str, folders: list[str], keys: list[str], order
     once = dedupe(df, keys, order or keys, keep="last")
     stored = _stored(df, path)
     if stored is None:
-        return _replace(once, path, folders, [k for k in keys if k not in folders])
+        return replace_folders(once, path, folders, [k for k in keys if k not in folders])
     # Dates, or venues and dates, of one batch: bounded by the calendar.
     touched = F.broadcast(once.select(*folders).distinct())
     merged = upsert(stored.join(touched, folders, "left_semi"), once, keys, order)
     staging = scratch_path(df.sparkSession, "staging")
     merged.select(*df.columns).write.parquet(staging)
     ready = df.sparkSession.read.schema(df.schema).parquet(staging)
-    _replace(ready, path, folders, [k for k in keys if k not in folders])
+    replace_folders(ready, path, folders, [k for k in keys if k not in folders])
 
 
 def write_table(
