@@ -47,3 +47,29 @@ def test_copies_are_dropped(spark, tmp_path):
     )
     out = sq.collect_stream(sq.dedupe_stream(stream, ["sequence_number"], "ts", "1 hour"), "once")
     assert out.count() == 10
+
+
+def test_declared_ends_close_bars_from_state(spark, tmp_path, rows):
+    """Day by day: what a run leaves open comes out when its day is declared over, once."""
+    source, out, check, ends = (str(tmp_path / n) for n in ("in", "out", "check", "ends"))
+    days = [[(t, (1000 * d + i * 25) * S, i, float(i)) for i in range(1, 30) for t in ("A", "B")] for d in range(3)]
+    days[1].append((None, 1500 * S, 7, 7.0))
+    columns = ("ticker", "asof_timestamp", "sequence_number", "bid_price")
+
+    def run():
+        quotes = spark.readStream.schema(SCHEMA).parquet(source)
+        bars = sq.stream_quote_bars(quotes, 60 * S, "10 minutes", FIELDS, ends=sq.read_ends(spark, ends))
+        sq.run_available(bars, out, check)
+        return rows(spark.read.schema(bars.schema).parquet(out), *columns)
+
+    seen = []
+    for d, day in enumerate(days):
+        drop(spark, source, day)
+        seen += day
+        batch = rows(qt.quote_bars(spark.createDataFrame(seen, SCHEMA), 60 * S), *columns)
+        assert len(run()) < len(batch)
+        sq.declare_end(spark, ends, (1000 * d + 780) * S)
+        assert run() == batch
+        assert run() == batch  # a restart with nothing new
+    state = spark.read.format("statestore").load(check)
+    assert state.count() <= 3  # no quote is kept, only marks

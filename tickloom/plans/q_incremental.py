@@ -120,32 +120,48 @@ def _event_stream(spark, d):
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
 
 
-@query(
-    "str05_stream_quote_bars",
-    f"""WITH {m.quotes_sql()}, bars AS (SELECT ticker,
+_STREAM_BARS = f"""WITH {m.quotes_sql()}, bars AS (SELECT ticker,
      ((sip_timestamp - 1) // {m.HOUR} + 1) * {m.HOUR} AS asof_timestamp,
      max({{'t': sip_timestamp, 's': sequence_number, 'ap': ask_price, 'bp': bid_price}}) AS q
      FROM quotes GROUP BY 1, 2)
     SELECT ticker, asof_timestamp, q.t AS sip_timestamp, q.s AS sequence_number,
-    round(q.ap, 6) AS ask_price, round(q.bp, 6) AS bid_price FROM bars""",
-)
+    round(q.ap, 6) AS ask_price, round(q.bp, 6) AS bid_price FROM bars"""
+_STREAM_FIELDS = ["sip_timestamp", "sequence_number", "ask_price", "bid_price"]
+
+
+def _event_quotes(events):
+    return events.select(
+        F.col("event_type").alias("ticker"),
+        ts_to_ns("ts").alias("sip_timestamp"),
+        F.col("event_id").alias("sequence_number"),
+        (F.col("value") + 0.05).alias("ask_price"),
+        F.col("value").alias("bid_price"),
+    )
+
+
+@query("str05_stream_quote_bars", _STREAM_BARS)
 def _(spark, d):
-    def quotes(events):
-        return events.select(
-            F.col("event_type").alias("ticker"),
-            ts_to_ns("ts").alias("sip_timestamp"),
-            F.col("event_id").alias("sequence_number"),
-            (F.col("value") + 0.05).alias("ask_price"),
-            F.col("value").alias("bid_price"),
-        )
-
-    fields = ["sip_timestamp", "sequence_number", "ask_price", "bid_price"]
-    stream = sq.stream_quote_bars(quotes(_event_stream(spark, d)), m.HOUR, "1 day", fields)
+    stream = sq.stream_quote_bars(_event_quotes(_event_stream(spark, d)), m.HOUR, "1 day", _STREAM_FIELDS)
     emitted = sq.collect_stream(stream, "bars")
-    open_ones = sq.closing_bars(emitted, quotes(m.table(spark, d, "events")), m.HOUR, fields)
+    open_ones = sq.closing_bars(emitted, _event_quotes(m.table(spark, d, "events")), m.HOUR, _STREAM_FIELDS)
     return emitted.unionByName(open_ones)
 
 
+@query("str05_declared_end", _STREAM_BARS)
+def _(spark, d):
+    # A first run leaves the last bars open; after the end is declared a second run, from the
+    # checkpoint, closes them.
+    base = scratch_path(spark, "bars")
+    for end_ns in (None, m.HOUR * 24 * 365 * 100):
+        if end_ns is not None:
+            sq.declare_end(spark, f"{base}/ends", end_ns)
+        ends = sq.read_ends(spark, f"{base}/ends")
+        quotes = _event_quotes(_event_stream(spark, d))
+        bars = sq.stream_quote_bars(quotes, m.HOUR, "1 day", _STREAM_FIELDS, ends=ends)
+        sq.run_available(bars, f"{base}/out", f"{base}/checkpoint")
+    return spark.read.schema(bars.schema).parquet(f"{base}/out")
+
+
 @query(
     "str06_dedupe_stream",
     """SELECT event_id, event_type, round(value, 6) AS value FROM events""",

@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars as sc
 from tickloom.session import scratch_path
 
+ENDS = "end_ns bigint"
+
+
+def declare_end(spark: SparkSession, folder: str, end_ns: int) -> None:
+    """State that no quote up to ``end_ns`` will come any more, for the readers of ``folder``."""
+    spark.createDataFrame([(end_ns,)], ENDS).coalesce(1).write.mode("append").parquet(folder)
+
+
+def read_ends(spark: SparkSession, folder: str) -> DataFrame:
+    """The ends declared in ``folder``, as a stream; there may be none yet."""
+    spark.createDataFrame([], ENDS).write.mode("append").parquet(folder)
+    return spark.readStream.schema(ENDS).parquet(folder)
+
 
 def stream_quote_bars(
     quotes: DataFrame,
@@ -15,16 +28,31 @@ def stream_quote_bars(
     delay: str,
     fields: list[str],
     by: str = "ticker",
+    ends: DataFrame | None = None,
 ) -> DataFrame:
     """Streaming twin of ``quote_bars``: a bar is emitted once its bucket is closed.
 
     ``window()`` is ``[a, b)``; bars are ``(a, b]``, so the bucket end is its own
-    column and carries the watermark.
+    column and carries the watermark. State is one last quote per key and open bucket.
+
+    A bucket closes when quotes come that are ``delay`` later. With ``ends``, the stream of
+    :func:`read_ends`, those up to a declared end close as well: its mark carries the
+    watermark there. So a day's last bars come out when the day is declared over, from state
+    and without reading the input again; a restarted stream goes on from its checkpoint.
     """
-    ends = sc.bucket_end("sip_timestamp", interval_ns)
-    bucketed = quotes.withColumn(
-        "_end", F.timestamp_micros(sc.floor_div(ends, 1000))
-    ).withWatermark("_end", delay)
+    boundary = sc.bucket_end("sip_timestamp", interval_ns)
+    bucketed = quotes.withColumns(
+        {"_end": F.timestamp_micros(sc.floor_div(boundary, 1000)), "_mark": F.lit(False)}
+    )
+    if ends is not None:
+        over = F.timestamp_micros(sc.floor_div(sc.bucket_end("end_ns", interval_ns), 1000))
+        marks = ends.select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in quotes.schema],
+            (over + F.expr(f"INTERVAL '{delay}'")).alias("_end"),
+            F.lit(True).alias("_mark"),
+        )
+        bucketed = bucketed.unionByName(marks)
+    bucketed = bucketed.withWatermark("_end", delay)
     rest = [f for f in fields if f not in ("sip_timestamp", "sequence_number")]
     latest = F.max(
         F.struct(
@@ -35,8 +63,10 @@ def stream_quote_bars(
         )
     ).alias("_last")
     return (
-        bucketed.groupBy(by, "_end")
-        .agg(latest)
+        bucketed.groupBy(by, "_end", "_mark")
+        # Marks go by an aggregate: a filter on a key would be pushed below the watermark.
+        .agg(latest, F.max("_mark").alias("_is_mark"))
+        .where("NOT _is_mark")
         .select(
             by,
             sc.bucket_end("_last.sip_timestamp", interval_ns).alias("asof_timestamp"),
