@@ -1,10 +1,12 @@
 """Main text of pages, licence rules, the mix, and the pipeline."""
 
 import html
+import random
 import re
 
 import numpy as np
 import public_tokenizers
+
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -277,3 +279,14 @@ def test_pipeline_of_odd_and_empty_tables(spark, odd, nothing, tmp_path):
     for table in (odd, nothing):
         table.write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
         assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 0
+
+
+def test_any_markup_is_read():
+    """No text, however broken, ends the query."""
+    from tickloom.llm.html_text import main_text
+
+    assert "b" in main_text("<p>a</p><![foo[x]]>b")
+    pick = random.Random(9)
+    bits = ["<", ">", "<!", "<![", "]]>", "<!--", "-->", "<p>", "</p>", "<![CDATA[", "<!doctype", "<?x", "&#", "&amp", ";", "a b ", "'", '"', "=", "<a href=", "</", "<article>", "<script>", "<![if x]>", "[", "]", "\0"]
+    for _ in range(3000):
+        assert isinstance(main_text("".join(pick.choice(bits) for _ in range(pick.randrange(25)))), str)

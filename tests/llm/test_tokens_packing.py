@@ -49,6 +49,15 @@ def test_counts_at_every_prefix(monkeypatch, known):
         assert counter.total(cut) <= 5 and (cut == text or counter.total(text[: len(cut) + 1]) > 5)
 
 
+def test_texts_of_more_chunks_than_are_remembered(monkeypatch):
+    """A full memory is emptied before a text, not while its chunks are added."""
+    monkeypatch.setattr(token_counts, "MAX_KNOWN", 50)
+    counter = token_counts.PrefixCounter(WORD)
+    for k, size in enumerate((60, 80, 200, 10, 500)):
+        text = " ".join(f"w{k}x{i}" for i in range(size))
+        assert counter.total(text) == len(counter.library.encode(text, add_special_tokens=False).ids)
+
+
 @pytest.mark.parametrize("char, n", [("\U00020000", 256), ("\U00012000", 256), ("\U0001d160", 576)])
 def test_short_pieces_of_many_tokens(spark, char, n):
     """A piece of 64 code points may have more tokens than one byte can count."""

@@ -132,6 +132,13 @@ class _Lines(HTMLParser):
         self.parts: list[str] = []
         self.tag_count = 0
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """A marked section of no known kind is skipped like a comment; the library's parser fails at it."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
+
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text or self.tag_count:

@@ -71,12 +71,6 @@ class PrefixCounter:
 
     def _add(self, chunks: list[str]) -> None:
         """Totals of new chunks from the last entries of their pieces' tables."""
-        if not chunks:
-            return
-        if len(self.totals) > MAX_KNOWN:
-            self.totals.clear()
-        if len(self.tables) > 1.5 * MAX_KNOWN:
-            self.tables = {"": b""}
         split = [word_pieces(c) for c in chunks]
         pieces = {p for ps in split for p in ps}
         self.learn({p for p in pieces if len(p) <= LONG_PIECE and p not in self.tables})
@@ -104,9 +98,12 @@ class PrefixCounter:
         try:
             return sum(map(self.totals.__getitem__, chunks))
         except KeyError:
-            distinct = set(chunks)
-            for _ in range(2):  # memory may be cleared in the first round
-                self._add([c for c in distinct if c not in self.totals])
+            # Forgotten before, never while a text's chunks are added: it needs all of them.
+            if len(self.totals) > MAX_KNOWN:
+                self.totals.clear()
+            if len(self.tables) > 1.5 * MAX_KNOWN:
+                self.tables = {"": b""}
+            self._add([c for c in set(chunks) if c not in self.totals])
             return sum(map(self.totals.__getitem__, chunks))
 
     def cut(self, text: str, budget: int) -> str:
