@@ -103,6 +103,23 @@ def test_movers(spark):
     assert [r.ticker for r in br.top_movers(df, "gainers", 1, None).collect()] == ["C"]
 
 
+def test_movers_read_their_input_once(spark, tmp_path):
+    rng, path = random.Random(4), str(tmp_path / "changes")
+    data = [(f"T{i:03d}", rng.choice([None, 0.0, rng.uniform(-9, 9), 5.0]), rng.randrange(20_000), i % 4) for i in range(400)]
+    spark.createDataFrame(
+        data, "ticker string, todays_change_percent double, volume bigint, day int"
+    ).repartition(5).write.parquet(path)
+    out = br.top_movers(spark.read.parquet(path), "both", 6, 10_000, by=("day",))
+    want = set()
+    for day in range(4):
+        kept = [(p, t) for t, p, v, d in data if d == day and p is not None and v >= 10_000]
+        for side, key in (("gainers", lambda r: (-r[0], r[1])), ("losers", lambda r: r)):
+            want |= {(side, day, k, t) for k, (_, t) in enumerate(sorted(kept, key=key)[:6], 1)}
+    assert {(r.direction, r.day, r.rank, r.ticker) for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and plan.count("WindowGroupLimit") == 2, plan
+
+
 def test_rolling_accounts_against_brute_force(spark):
     rng = random.Random(9)
     first = date(2024, 1, 1)

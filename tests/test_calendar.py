@@ -89,5 +89,14 @@ def test_ticker_lists(spark, rows):
     many = [f"T{i}" for i in range(2000)] + ["AAA"]
     assert rows(fl.select_tickers(df, many)) == [("AAA",)]
     config = {"a": {"select_tickers": ["*"]}, "forex_tickers": {"select_tickers": "EUR/USD"}}
-    assert fl.configured_tickers(config, ("a",), "fx") == ["C:EURUSD"]
+    chosen = fl.configured_tickers(config, ("a",), "fx")
+    assert chosen == ["EUR/USD"] and rows(fl.select_tickers(df, chosen, market="fx")) == [("C:EURUSD",)]
     assert fl.configured_tickers(config, ("a",), None) is None
+
+
+def test_chosen_tickers_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("C:EURUSD",), ("C:GBPUSD",)], "ticker string").write.parquet(path)
+    out = fl.select_tickers(spark.read.parquet(path), "EUR-USD, JPY/USD", market="fx")
+    assert [r.ticker for r in out.collect()] == ["C:EURUSD"]
+    assert "In(ticker, [C:EURUSD,C:JPYUSD])" in out._jdf.queryExecution().toString()

@@ -249,22 +249,21 @@ def top_movers(
 ) -> DataFrame:
     """The ``n`` largest gains and/or losses by ``todays_change_percent``.
 
-    Without ``by`` each direction is a distributed top-k; with it, ``n`` per group.
-    Ties go by ticker. Rows without a change are left out.
+    With ``by`` there are ``n`` per group. Ties go by ticker. Rows without a change are left
+    out. The input is read once for both directions: a row stands for each of them, a map task
+    keeps its own first ``n`` per group and direction, and only those are shuffled.
     """
     wanted = ["gainers", "losers"] if direction in ("", "both", None) else [direction]
     rows = changes.where(F.col("todays_change_percent").isNotNull())
     if min_volume is not None:
         rows = rows.where(F.col("volume") >= min_volume)
-    parts = []
-    for side in wanted:
-        pct = F.col("todays_change_percent")
-        order = [pct.desc() if side == "gainers" else pct.asc(), F.col("ticker")]
-        if by:
-            rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-            top = rows.withColumn("rank", rank).where(F.col("rank") <= n)
-        else:
-            top = rows.orderBy(*order).limit(n)
-            top = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-        parts.append(top.withColumn("direction", F.lit(side)))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    pct = F.col("todays_change_percent")
+    sides = [
+        F.struct(F.lit(side).alias("direction"), (-pct if side == "gainers" else pct).alias("_key"))
+        for side in wanted
+    ]
+    sided = rows.withColumn("_side", F.explode(F.array(*sides)))
+    sided = sided.withColumns({"direction": F.col("_side.direction"), "_key": F.col("_side._key")})
+    order = Window.partitionBy(*by, "direction").orderBy("_key", "ticker")
+    ranked = sided.withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= n).drop("_side", "_key")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickloom.functions import is_us_ticker
+from tickloom.functions import ns_to_date
 from tickloom.operators import calendar as cal
 from tickloom.operators import filters as fl
 from tickloom.plans import market as m
@@ -76,19 +77,30 @@ def _(spark, d):
 
 @query(
     "flt06_day_ns_range",
-    f"""WITH {m.TICKS}, days AS (SELECT DISTINCT file_date FROM ticks)
+    f"""WITH {m.TICKS}, days AS (SELECT DISTINCT file_date FROM ticks),
+    planted AS (SELECT ticker, sip_timestamp FROM ticks UNION ALL
+     SELECT ticker, epoch_us(CAST(file_date AS TIMESTAMP)) * 1000 + 86400000000000 + off
+     FROM ticks, (VALUES (-1), (0), (1)) AS o(off) WHERE sequence_number % 20 = 0)
     SELECT CAST(d.file_date AS VARCHAR) AS snapshot_date, t.ticker, count(*) AS records,
     min(t.sip_timestamp) AS first_ns, max(t.sip_timestamp) AS last_ns
-    FROM ticks t JOIN days d ON t.sip_timestamp >= epoch_us(CAST(d.file_date AS TIMESTAMP)) * 1000
+    FROM planted t JOIN days d ON t.sip_timestamp >= epoch_us(CAST(d.file_date AS TIMESTAMP)) * 1000
      AND t.sip_timestamp <= (epoch_us(CAST(d.file_date AS TIMESTAMP)) + 86400000000) * 1000
     GROUP BY 1, 2""",
 )
 def _(spark, d):
-    rows = m.ticks(spark, d).withColumn("snapshot_date", F.col("file_date"))
-    ranged = fl.day_ns_range(rows, "snapshot_date").where(
-        fl.in_day(F.col("sip_timestamp"), F.col("snapshot_date"))
+    # Ticks at and beside midnight: the one at midnight is in both of its days.
+    ticks = m.ticks(spark, d)
+    ends = fl.day_ns_range(ticks.where(F.col("sequence_number") % 20 == 0), "file_date")
+    offsets = F.explode(F.array(*[F.lit(n).cast("bigint") for n in (-1, 0, 1)]))
+    planted = ends.select("ticker", (F.col("end_ns") + offsets).alias("sip_timestamp"))
+    rows = ticks.select("ticker", "sip_timestamp").unionByName(planted)
+    own = ns_to_date("sip_timestamp")
+    rows = rows.withColumn("snapshot_date", F.explode(F.array(own, F.date_sub(own, 1))))
+    days = ticks.select(F.col("file_date").cast("date").alias("snapshot_date")).distinct()
+    held = rows.where(fl.in_day(F.col("sip_timestamp"), F.col("snapshot_date"))).join(
+        days, "snapshot_date", "left_semi"
     )
-    return ranged.groupBy("snapshot_date", "ticker").agg(
+    return held.groupBy(F.col("snapshot_date").cast("string").alias("snapshot_date"), "ticker").agg(
         F.count(F.lit(1)).alias("records"),
         F.min("sip_timestamp").alias("first_ns"),
         F.max("sip_timestamp").alias("last_ns"),
