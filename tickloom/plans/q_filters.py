@@ -91,8 +91,8 @@ def _(spark, d):
     # Ticks at and beside midnight: the one at midnight is in both of its days.
     ticks = m.ticks(spark, d)
     ends = fl.day_ns_range(ticks.where(F.col("sequence_number") % 20 == 0), "file_date")
-    offsets = F.explode(F.array(*[F.lit(n).cast("bigint") for n in (-1, 0, 1)]))
-    planted = ends.select("ticker", (F.col("end_ns") + offsets).alias("sip_timestamp"))
+    around = F.array(*[F.col("end_ns") + n for n in (-1, 0, 1)])
+    planted = ends.select("ticker", F.explode(around).alias("sip_timestamp"))
     rows = ticks.select("ticker", "sip_timestamp").unionByName(planted)
     own = ns_to_date("sip_timestamp")
     rows = rows.withColumn("snapshot_date", F.explode(F.array(own, F.date_sub(own, 1))))
