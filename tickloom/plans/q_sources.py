@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickloom.functions import ns_to_date
+from tickloom.functions.scalars import DAY_NS, floor_div
 from tickloom.operators import quotes as qt
 from tickloom.plans import market as m
 from tickloom.plans.registry import query
@@ -13,7 +14,7 @@ from tickloom.sources import earnings as er
 from tickloom.sources import flat_files as ff
 from tickloom.sources import landed, sinks
 from tickloom.sources import versions as vs
-from tickloom.sources.tables import load_table
+from tickloom.sources.tables import load_indicator, load_table
 from tickloom.specs import TABLES, conform
 from tickloom.specs.base import TableSpec
 from tickloom.streaming import quote_bars as sq
@@ -145,6 +146,43 @@ def _(spark, d):
     return landed.read_records(landed.explode_results(pages), schema, {"c": "cust_key"})
 
 
+_HOUR_US = 3_600_000_000
+
+
+@query(
+    "src04_indicator_pages",
+    f"""WITH {m.DAY_BARS}, s AS (SELECT ticker, close, window_start AS t,
+     lag(window_start) OVER w AS lt, lag(close) OVER w AS lc,
+     (window_start // {DAY_NS}) % 3 AS k
+     FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY window_start))
+    SELECT ticker, CAST(t // 1000 + CASE k WHEN 1 THEN {_HOUR_US} WHEN 2 THEN -{_HOUR_US} ELSE 0 END
+     AS BIGINT) AS timestamp_us, round(close / 2, 6) AS value, 'close_day_10' AS series,
+    CAST(CASE WHEN k = 2 THEN lt ELSE t END // 1000 AS BIGINT) AS underlying_us,
+    round(CASE WHEN k = 2 THEN lc ELSE close END, 6) AS underlying_close FROM s""",
+)
+def _(spark, d):
+    # A page per ticker and month: values at, after and before their bar, and the bars. A value
+    # before a month's first bar belongs to the last bar of another page.
+    bars = m.day_bars(spark, d).select("ticker", "window_start", "close")
+    ms = floor_div(F.col("window_start"), 1_000_000)
+    kind = F.pmod(floor_div(F.col("window_start"), DAY_NS), F.lit(3))
+    moved = F.when(kind == 1, ms + _HOUR_US // 1000).when(kind == 2, ms - _HOUR_US // 1000).otherwise(ms)
+    point = F.struct(moved.alias("timestamp"), (F.col("close") / 2).alias("value"))
+    bar = F.struct(F.col("ticker").alias("T"), ms.alias("t"), F.col("close").alias("c"))
+    month = F.date_format(ns_to_date("window_start"), "yyyy-MM")
+    pages = bars.groupBy("ticker", month.alias("month")).agg(
+        F.collect_list(point).alias("values"), F.collect_list(bar).alias("aggregates")
+    )
+    results = F.struct("values", F.struct("aggregates").alias("underlying"))
+    payload = F.to_json(F.struct(results.alias("results")))
+    found = load_indicator(pages.select("ticker", payload.alias("payload")), "stock_sma", "close", "day", 10)
+    return found.select(
+        "ticker", F.unix_micros("timestamp").alias("timestamp_us"), "value",
+        F.col("series_window_timespan").alias("series"),
+        F.unix_micros("underlying_timestamp").alias("underlying_us"), "underlying_close",
+    )
+
+
 _K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT)"
 
 
