@@ -66,3 +66,26 @@ def test_nothing_before(spark, rows):
     left = [("a", 5, 1), ("b", 9, 2), ("a", None, 3), (None, 4, 5), (None, None, 6)]
     right = [("a", 6, 7), (None, 1, 8), ("a", None, 9)]
     assert run(spark, left, right, rows) == brute(left, right)
+
+
+@pytest.mark.parametrize("spread", [2, 7])
+def test_left_rows_of_a_bucket_dealt_out(spark, rows, spread):
+    left, right = data(5)
+    assert run(spark, left, right, rows, bucket=300, spread=spread) == brute(left, right)
+    left = [("hot", 7, i) for i in range(200)] + [("hot", 900, 300), (None, 1, 301)]
+    right = [("hot", 6, 1000), ("hot", 7, 1001), ("hot", 8, 1002)]
+    assert run(spark, left, right, rows, bucket=50, spread=spread) == brute(left, right)
+
+
+def test_each_side_is_read_and_shuffled_once(spark, tmp_path):
+    left, right = data(2)
+    sides = []
+    for name, part in (("left", left), ("right", right)):
+        spark.createDataFrame(part, "k string, t bigint, id bigint").write.parquet(f"{tmp_path}/{name}")
+        sides.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    out = asof_backward(*sides, "k", "t", "t", tie=("id",), prefix="r_")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Marks and left rows once; left rows without key or time by a pushed filter.
+    assert plan.count("FileScan") == 3
+    assert plan.count("ReusedExchange") == 1 and plan.count("REPARTITION_BY_COL") == 2

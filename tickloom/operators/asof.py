@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions import scalars as sc
+from tickloom.operators.skew import tie as tie_all
 
 # Time that one task matches of a key, in nanoseconds or in the numbers of the time column.
 BUCKET = 3_600_000_000_000
@@ -29,17 +30,21 @@ def asof_backward(
     tie: tuple[str, ...] = (),
     prefix: str = "",
     bucket: int = BUCKET,
+    spread: int = 1,
 ) -> DataFrame:
     """Every left row with the last right row at or before its time, or NULLs.
 
     Right columns other than the keys are added, with ``prefix``. Among right rows of one
     time the last by ``tie`` wins.
 
-    Both sides first collapse to one row per key and time, in partial aggregates, so any
-    number of rows at one instant are one. Times are matched within buckets of ``bucket``
-    time; a bucket starts from the last right row of the buckets before it, found among one
-    row per key and bucket. A key's history is thus spread over its buckets, whatever its
-    size. Left rows then get their time's answer; rows without a key or a time get none.
+    The right side first collapses to one mark per key and time, in partial aggregates. Left
+    rows and marks are then shuffled once, by key and bucket of ``bucket`` time, and sorted
+    there: a left row takes the last mark before it. Where its bucket has none, it takes the
+    last mark of the buckets before, found among one row per key and bucket. A key's history
+    is thus spread over its buckets, whatever its size. Where one bucket of a key holds more
+    left rows than a task should sort, many at a single instant say, ``spread`` deals them
+    out to that many tasks, each with the bucket's marks. Left rows without a key or a time
+    get nulls and are not shuffled.
     """
     by = [by] if isinstance(by, str) else list(by)
     values = [c for c in right.columns if c not in by]
@@ -47,6 +52,7 @@ def asof_backward(
     complete = F.col("_t").isNotNull()
     for key in by:
         complete = complete & F.col(key).isNotNull()
+    part = [*by, "_bucket", *(["_deal"] if spread > 1 else [])]
 
     marks = (
         right.select(*by, F.col(right_on).alias("_t"), F.struct(*values).alias("_mark"),
@@ -56,31 +62,37 @@ def asof_backward(
         .agg(F.max_by("_mark", "_tie").alias("_mark"))
         .withColumn("_bucket", _bucket(F.col("_t"), right.schema[right_on].dataType, bucket))
     )
-    times = (
-        rows.where(complete).select(*by, "_t").distinct()
-        .withColumn("_bucket", _bucket(F.col("_t"), left.schema[left_on].dataType, bucket))
-    )
-    merged = times.withColumn("_asks", F.lit(1)).unionByName(
-        marks.withColumn("_asks", F.lit(0)), allowMissingColumns=True
+    asking = rows.where(complete).withColumn(
+        "_bucket", _bucket(F.col("_t"), left.schema[left_on].dataType, bucket)
     )
+    if spread > 1:
+        marks = marks.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+        asking = asking.withColumn("_deal", F.floor(F.rand(7) * spread).cast("int"))
+    # No bucket is null; said so, the join adds no filter and its sides share one shuffle.
+    bucketed = [d.withColumn("_bucket", F.coalesce("_bucket", F.lit(0).cast("bigint"))) for d in (asking, marks)]
+    merged = bucketed[0].unionByName(bucketed[1], allowMissingColumns=True).repartition(*part)
+
     # Marks come before the rows of the same time.
     so_far = (
-        Window.partitionBy(*by, "_bucket").orderBy("_t", "_asks")
+        Window.partitionBy(*part).orderBy("_t", F.col("_row").isNotNull())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    found = merged.withColumn("_mark", F.last("_mark", ignorenulls=True).over(so_far)).where("_asks = 1")
+    found = merged.withColumn("_mark", F.last("_mark", ignorenulls=True).over(so_far))
 
     last = F.max_by("_mark", F.when(F.col("_mark").isNotNull(), F.col("_t"))).alias("_last")
-    before = (
-        Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*[c for c in part if c != "_bucket"]).orderBy("_bucket").rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    starts = merged.groupBy(*by, "_bucket").agg(last).select(
-        *by, "_bucket", F.last("_last", ignorenulls=True).over(before).alias("_start")
+    starts = merged.groupBy(*part).agg(last, tie_all(merged)).select(
+        *part, "_tie", F.last("_last", ignorenulls=True).over(earlier).alias("_start")
     )
-    answers = found.join(starts, [*by, "_bucket"]).select(
-        *by, "_t", F.coalesce("_mark", "_start").alias("_mark")
+    matched = (
+        found.where(F.col("_row").isNotNull())
+        .join(starts, part)
+        # A hash is never null; the condition only keeps the column in use.
+        .where(F.col("_tie").isNotNull())
+        .select("_row", F.coalesce("_mark", "_start").alias("_mark"))
     )
-    matched = rows.where(complete).join(answers, [*by, "_t"], "left").select("_row", "_mark")
     rest = rows.where(~complete).select("_row")
     every = matched.unionByName(rest, allowMissingColumns=True)
     return every.select("_row.*", *[F.col(f"_mark.{c}").alias(f"{prefix}{c}") for c in values])
