@@ -59,6 +59,28 @@ def test_earnings_windows(spark, rows):
     assert by_date[date(2024, 7, 5)] == ["A", "X.HK"]
 
 
+def test_windows_on_all_dates_match_a_plain_search(spark, rows):
+    span = [TRADING[0] + timedelta(days=i) for i in range(-4, (TRADING[-1] - TRADING[0]).days + 5)]
+    earnings = [(t, d) for t in "AB" for d in span] + [("A", None), (None, span[3]), ("A", span[5])]
+    windows = cal.earnings_windows(spark.createDataFrame(earnings, "ticker string, date date"), calendar(spark))
+    want = set()
+    for ticker, d in earnings:
+        if ticker and d:
+            near = [max([t for t in TRADING if t < d], default=None), min([t for t in TRADING if t > d], default=None)]
+            want |= {(ticker, n) for n in (*near, d if d in TRADING else None) if n}
+    assert rows(windows) == sorted(want, key=str)
+    nothing = cal.earnings_windows(spark.createDataFrame(earnings, "ticker string, date date"), calendar(spark).limit(0))
+    assert nothing.count() == 0
+
+
+def test_windows_read_earnings_once(spark, tmp_path):
+    spark.createDataFrame([("A", TRADING[2])], "ticker string, date date").write.parquet(f"{tmp_path}/earnings")
+    windows = cal.earnings_windows(spark.read.parquet(f"{tmp_path}/earnings"), calendar(spark))
+    assert windows.count() == 3
+    plan = windows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [ticker") == 1
+
+
 def test_contracts_alive(spark, rows):
     first = spark.createDataFrame([("A", date(2024, 7, 3))], "ticker string, first_date date")
     contracts = spark.createDataFrame(

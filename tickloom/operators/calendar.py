@@ -146,25 +146,53 @@ def neighbours(calendar: DataFrame, dates: DataFrame | None = None) -> DataFrame
     ).where("_asked").drop("_asked")
 
 
+def trading_spine(calendar: DataFrame) -> DataFrame:
+    """Every civil day from the first trading day to the last, with its neighbours.
+
+    One row per day, from the calendar alone: a trading day stands for itself and for the
+    days up to the next one.
+    """
+    order = Window.orderBy("date")
+    trading = calendar.where(F.col("date").isNotNull()).select("date").distinct()
+    placed = trading.select(
+        F.col("date").alias("_from"),
+        F.lag("date").over(order).alias("_before"),
+        F.lead("date").over(order).alias("next_date"),
+    )
+    stands_for = F.sequence("_from", F.coalesce(F.date_sub("next_date", 1), "_from"))
+    own = F.col("date") == F.col("_from")
+    return placed.withColumn("date", F.explode(stands_for)).select(
+        "date",
+        own.alias("is_trading"),
+        F.when(own, F.col("_before")).otherwise(F.col("_from")).alias("prev_date"),
+        "next_date",
+    )
+
+
 def earnings_windows(
     earnings: DataFrame, calendar: DataFrame, us_only: bool = False
 ) -> DataFrame:
     """Trading days around each earnings date: (ticker, snapshot_date), distinct.
 
     The day before, the day itself if it traded, and the day after. The calendar
-    should reach past the earnings dates on both sides.
+    should reach past the earnings dates on both sides; a date beyond it has its one
+    neighbour. The earnings are read once: neighbours hang on the calendar's days, of which
+    a century has 36,525, so that side is broadcast.
     """
-    listed = earnings.where(F.col("ticker") != "")
+    listed = earnings.where((F.col("ticker") != "") & F.col("date").isNotNull())
     if us_only:
         listed = listed.where(sc.is_us_ticker("ticker"))
-    around = neighbours(calendar, listed.select("date").distinct())
-    days = F.array(
-        F.col("prev_date"), F.when(F.col("is_trading"), F.col("date")), F.col("next_date")
+    ends = calendar.agg(F.struct(F.min("date").alias("first"), F.max("date").alias("last"))).scalar()
+    first, last = ends.getField("first"), ends.getField("last")
+    around = trading_spine(calendar).select(
+        "date",
+        F.array("prev_date", F.when(F.col("is_trading"), F.col("date")), "next_date").alias("_days"),
     )
+    beyond = F.when(F.col("date") < first, F.array(first)).when(F.col("date") > last, F.array(last))
     return (
         listed.select("ticker", "date")
-        .join(by_date(around, "date"), "date")
-        .select("ticker", F.explode(days).alias("snapshot_date"))
+        .join(F.broadcast(around), "date", "left")
+        .select("ticker", F.explode(F.coalesce("_days", beyond)).alias("snapshot_date"))
         .where(F.col("snapshot_date").isNotNull())
         .distinct()
     )
