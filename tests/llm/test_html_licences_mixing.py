@@ -1,6 +1,7 @@
 """Main text of pages, licence rules, the mix, and the pipeline."""
 
 import html
+import math
 import random
 import re
 
@@ -201,6 +202,17 @@ def test_targets_against_resharing(spark):
         assert all(abs(got[s] - want[s]) < 1e-6 * max(1, want[s]) for s in sizes)
 
 
+def test_many_repeated_rows_are_served_one_by_one(spark):
+    """Each of the equal rows has a service of its own, and rows do not multiply."""
+    rows = [(7, "a", "one two three")] * 6000 + [(None, "b", "four five")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    words = F.sum(mixing.word_count(F.col("text"))).alias("n")
+    got = {r.source: r.n for r in mixing.mixed(docs).groupBy("source").agg(words).collect()}
+    want = {r.source: math.floor(r.target) for r in mixing.targets(
+        docs.select("source", mixing.word_count(F.col("text")).alias("size"))).collect()}
+    assert got == want
+
+
 def test_mixed_rows_follow_the_counts(documents, odd, nothing):
     for docs in (documents, odd):
         mixed = mixing.mixed(docs)

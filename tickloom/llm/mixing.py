@@ -110,23 +110,31 @@ def mixed(docs: DataFrame) -> DataFrame:
         finish = (start + _part(r)) / F.col("target")
         rounds.append(F.struct(_part(r).alias("words"), finish.alias("finish")))
     served_rounds = F.filter(F.array(*rounds), lambda x: x.words > 0)
-    # Repeated rows share a key: their services are listed together and dealt out again.
-    services = (
-        plan.select("doc_id", "__row", F.struct("before", served_rounds.alias("rounds")).alias("s"))
-        .groupBy(F.col("doc_id").alias("__id"), "__row")
-        .agg(F.array_sort(F.collect_list("s")).alias("__services"))
+    # Rows and services meet by id and text in one shuffle. Repeated rows share both: the first
+    # takes the first service in the source's order, the second the next, and so on.
+    services = plan.select(
+        F.col("doc_id").alias("__id"), "__row", F.lit(False).alias("__is_row"),
+        F.struct("before", served_rounds.alias("rounds")).alias("__service"),
+    )
+    rows = docs.select(
+        F.col("doc_id").alias("__id"), key.alias("__row"), F.lit(True).alias("__is_row"),
+        F.struct(*[docs[c] for c in docs.columns]).alias("__doc"),
+    )
+    met = rows.unionByName(services, allowMissingColumns=True).repartition("__id", "__row")
+    alike = Window.partitionBy("__id", "__row", "__is_row").orderBy("__service.before")
+    pair = Window.partitionBy("__id", "__row", "__nth")
+    dealt = (
+        met.withColumn("__nth", F.row_number().over(alike))
+        .withColumn("__own", F.max("__service").over(pair))
+        .where("__is_row")
+        .select("__doc.*", F.explode("__own.rounds").alias("__s"))
     )
-    left = docs.withColumn("__key", key)
-    same = left["doc_id"].eqNullSafe(F.col("__id")) & (left["__key"] == F.col("__row"))
-    nth = F.row_number().over(Window.partitionBy("__id", "__row").orderBy("__key"))
-    dealt = left.join(services, same).withColumn("__nth", nth)
-    out = dealt.withColumn("__s", F.explode(F.element_at("__services", F.col("__nth")).rounds))
     whole = word_count(F.col("text")) <= F.col("__s.words")
     head = first_words(F.col("text"), F.col("__s.words"))
     text = F.when(whole, F.col("text")).otherwise(head)
     columns = {"text": text}
     if "n_chars" in docs.columns:
         columns["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
-    picked = [columns[c].alias(c) if c in columns else docs[c] for c in docs.columns]
-    ordered = out.select(*picked, F.col("__s.finish").alias("__finish"))
+    picked = [columns[c].alias(c) if c in columns else F.col(f"`{c}`") for c in docs.columns]
+    ordered = dealt.select(*picked, F.col("__s.finish").alias("__finish"))
     return ordered.repartitionByRange("__finish").sortWithinPartitions("__finish").drop("__finish")
