@@ -26,3 +26,24 @@ def rows():
         return sorted((tuple(r) for r in picked.collect()), key=str)
 
     return collect
+
+
+@pytest.fixture
+def plan_nodes():
+    """All nodes of a frame's last plan by class name, in stages and subqueries too."""
+
+    def walk(df):
+        found, todo = {}, [df._jdf.queryExecution().executedPlan()]
+        while todo:
+            node = todo.pop()
+            name = node.getClass().getSimpleName()
+            found.setdefault(name, []).append(node)
+            if name == "AdaptiveSparkPlanExec":
+                todo.append(node.executedPlan())
+            elif name.endswith("QueryStageExec"):
+                todo.append(node.plan())
+            for more in (node.children(), node.subqueries()):
+                todo += [more.apply(i) for i in range(more.size())]
+        return found
+
+    return walk

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars as sc
-from tickloom.operators.sizes import by_date, on_dates
+from tickloom.operators.sizes import by_date, dated, on_dates
 
 
 @dataclass(frozen=True)
@@ -143,6 +143,17 @@ def _boundary(interval_ns: int, origin: Column, time: str) -> Column:
     return origin + sc.floor_div(late, interval_ns) * step
 
 
+def _reach(calendar: DataFrame, interval_ns: int) -> DataFrame:
+    """Open and last grid time of each session, by the dates of the quotes it can need."""
+    step = F.lit(interval_ns).cast("bigint")
+    steps = sc.floor_div(F.col("close_ns") - 1 - F.col("open_ns"), interval_ns)
+    reach = calendar.where(F.col("close_ns") > F.col("open_ns")).select(
+        F.col("open_ns").alias("_open"), (F.col("open_ns") + steps * step).alias("_last")
+    )
+    days = F.sequence(sc.ns_to_date(F.col("_open") - step + 1), sc.ns_to_date(F.col("_last")))
+    return reach.withColumn("_day", F.explode(days))
+
+
 def on_session_grid(
     quotes: DataFrame, calendar: DataFrame, interval_ns: int, time: str = "sip_timestamp"
 ) -> DataFrame:
@@ -152,18 +163,9 @@ def on_session_grid(
     date, against the calendar.
     """
     step = F.lit(interval_ns).cast("bigint")
-    steps = sc.floor_div(F.col("close_ns") - 1 - F.col("open_ns"), interval_ns)
-    reach = calendar.where(F.col("close_ns") > F.col("open_ns")).select(
-        F.col("open_ns").alias("_open"), (F.col("open_ns") + steps * step).alias("_last")
-    )
-    # Dates from which a quote can reach the session's grid.
-    days = F.sequence(
-        sc.ns_to_date(F.col("_open") - step + 1), sc.ns_to_date(F.col("_last"))
-    )
-    by_day = by_date(reach.withColumn("_day", F.explode(days)), "_day")
     return (
         quotes.withColumn("_day", sc.ns_to_date(time))
-        .join(by_day, "_day")
+        .join(by_date(_reach(calendar, interval_ns), "_day"), "_day")
         .where((F.col(time) > F.col("_open") - step) & (F.col(time) <= F.col("_last")))
         .withColumn("asof_timestamp", _boundary(interval_ns, F.col("_open"), time))
         .drop("_day", "_open", "_last")
@@ -179,10 +181,12 @@ def sample_at(
 ) -> DataFrame:
     """Last quote in ``(T - interval, T]`` for every grid time T of every session.
 
-    Grid times without a quote in their interval emit nothing.
+    Grid times without a quote in their interval emit nothing. Files of dates that no
+    session reaches are not opened.
     """
     keys = [by, "asof_timestamp"]
-    placed = on_session_grid(quotes, calendar, interval_ns)
+    reached = _on_file_dates(quotes, _reach(calendar, interval_ns), "_day")
+    placed = on_session_grid(reached, calendar, interval_ns)
     return last_record(placed, keys, _fields(quotes, keys))
 
 
@@ -212,16 +216,16 @@ def latest_before(quotes: DataFrame, at_ns: int, interval_ns: int) -> DataFrame:
     )
 
 
-def _on_file_dates(df: DataFrame, windows: DataFrame) -> DataFrame:
-    """Where rows carry their file's date, leave out files that no window can need.
+def _on_file_dates(df: DataFrame, days: DataFrame, day: str) -> DataFrame:
+    """Where rows carry their file's date, leave out files that none of ``days`` can need.
 
-    A tick at the midnight after a window's day is in the next day's file, and a session's
-    first interval may reach back to the file before.
+    A tick at the midnight after a day is in the next day's file, and a session's first
+    interval may reach back to the file before. A file's ticks lie within a day of its date.
     """
     if "file_date" not in df.columns:
         return df
-    near = F.array(F.date_sub("snapshot_date", 1), F.col("snapshot_date"), F.date_add("snapshot_date", 1))
-    return on_dates(df, "file_date", windows.select(F.explode(near).alias("_near")), "_near")
+    near = F.array(F.date_sub(day, 1), F.col(day), F.date_add(day, 1))
+    return on_dates(df, "file_date", days.select(F.explode(near).alias("_near")), "_near")
 
 
 def ticks_in_windows(
@@ -235,8 +239,9 @@ def ticks_in_windows(
     day = sc.ns_to_date(time)
     at_midnight = F.pmod(F.col(time), F.lit(sc.DAY_NS)) == 0
     days = F.when(at_midnight, F.array(F.date_sub(day, 1), day)).otherwise(F.array(day))
+    windows = dated(windows)
     wanted = windows.select(F.col("ticker").alias(by), "snapshot_date")
-    ticks = _on_file_dates(ticks, windows)
+    ticks = _on_file_dates(ticks, windows, "snapshot_date")
     return ticks.withColumn("snapshot_date", F.explode(days)).join(wanted, [by, "snapshot_date"])
 
 
@@ -255,10 +260,11 @@ def bars_in_windows(
     when bars are per contract.
     """
     on = underlying or by
+    windows = dated(windows)
     wanted = windows.select(F.col("ticker").alias(on), F.col("snapshot_date").alias("_day"))
     keys = [by, "asof_timestamp"]
     placed = (
-        on_session_grid(_on_file_dates(quotes, windows), calendar, interval_ns)
+        on_session_grid(_on_file_dates(quotes, windows, "snapshot_date"), calendar, interval_ns)
         .withColumn("_day", sc.ns_to_date("asof_timestamp"))
         .join(wanted, [on, "_day"], "left_semi")
     )

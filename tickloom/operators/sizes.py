@@ -6,7 +6,7 @@ splits skewed partitions of one that does not. Nothing is run to build a plan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Sessions that may share a civil date.
@@ -32,10 +32,27 @@ def by_date(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def dated(windows: DataFrame, date: str = "snapshot_date", ticker: str = "ticker") -> DataFrame:
+    """Windows with a real date and a ticker.
+
+    Every use of the windows in a plan starts from this one, so that their shuffle is done
+    once and reused.
+    """
+    return windows.where(_real(F.col(date)) & F.col(ticker).isNotNull())
+
+
+def _real(date: Column) -> Column:
+    """True for every real date; Spark prunes by a side only where a comparison filters it."""
+    return date > F.lit("0001-01-01").cast("date")
+
+
 def on_dates(df: DataFrame, date: str, wanted: DataFrame, column: str) -> DataFrame:
-    """Rows of ``df`` on the dates of ``wanted``, so that a scan opens no other partition."""
+    """Rows of ``df`` on the dates of ``wanted``, so that a scan opens no other partition.
+
+    Dates are counted, not made distinct: Spark would merge a distinct with that of
+    ``wanted`` and so compute ``wanted`` again.
+    """
     kind = df.schema[date].dataType
-    # True for every real date; Spark prunes by a side only where a comparison filters it.
-    real = F.col(column) > F.lit("0001-01-01").cast("date")
-    days = wanted.where(real).select(F.col(column).cast(kind).alias(date))
-    return df.join(F.broadcast(days.distinct()), date, "left_semi")
+    counted = wanted.where(_real(F.col(column))).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    days = counted.where("_n > 0").select(F.col(column).cast(kind).alias(date))
+    return df.join(F.broadcast(days), date, "left_semi")
