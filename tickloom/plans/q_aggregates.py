@@ -17,7 +17,7 @@ from tickloom.streaming import incremental as inc
 _BUCKET = "((sip_timestamp - 1) // {step} + 1) * {step}"
 
 
-def _bars_sql(kind: str, step: int, by_date: bool = False) -> str:
+def bars_sql(kind: str, step: int, by_date: bool = False) -> str:
     fields = [f for f in m.QUOTE_FIELDS]
     packed = ", ".join(f"'{f}': {f}" for f in fields)
     shown = ", ".join(
@@ -32,12 +32,12 @@ def _bars_sql(kind: str, step: int, by_date: bool = False) -> str:
     SELECT {date_out}ticker, CAST(asof_timestamp AS BIGINT) AS asof_timestamp, {shown} FROM bars"""
 
 
-@query("agg01_quote_bars", _bars_sql("stock", m.HOUR))
+@query("agg01_quote_bars", bars_sql("stock", m.HOUR))
 def _(spark, d):
     return qt.quote_bars(m.quotes(spark, d), m.HOUR, "stock")
 
 
-@query("agg02_quote_bars_by_file_date", _bars_sql("option", 60_000_000_000, True))
+@query("agg02_quote_bars_by_file_date", bars_sql("option", 60_000_000_000, True))
 def _(spark, d):
     quotes = m.quotes(spark, d, "option")
     # The same files listed twice change nothing.

@@ -8,11 +8,13 @@ from tickloom.functions import ns_to_date
 from tickloom.functions.scalars import DAY_NS, floor_div
 from tickloom.operators import quotes as qt
 from tickloom.plans import market as m
+from tickloom.plans.q_aggregates import bars_sql
 from tickloom.plans.registry import query
 from tickloom.session import scratch_path
 from tickloom.sources import earnings as er
 from tickloom.sources import flat_files as ff
 from tickloom.sources import landed, sinks
+from tickloom.sources import quote_tables as qtb
 from tickloom.sources import versions as vs
 from tickloom.sources.tables import load_indicator, load_table
 from tickloom.specs import TABLES, conform
@@ -385,6 +387,17 @@ def _(spark, d):
     return vs.read_version(spark, path, spec.schema)
 
 
+@query("snk01_quote_files_to_bars", bars_sql("option", m.HOUR, True))
+def _(spark, d):
+    # Files up to a date become bars; a second run goes on from there, a third finds nothing new.
+    files, path = scratch_path(spark, "quotes-csv"), scratch_path(spark, "quote-bars")
+    _write_dated_csv(m.quotes(spark, d, "option"), files)
+    table = TABLES["options_quote_snapshots_flat_files_1_minute"]
+    for end in ("2024-01-15", None, None):
+        qtb.update_quote_bars(spark, files, path, table, m.HOUR, end=end)
+    return vs.read_version(spark, path, table.schema)
+
+
 @query(
     "snk02_write_by_venue",
     f"""WITH {m.quotes_sql('stock')}, tagged AS (SELECT *, CASE ticker WHEN 'click' THEN 'cme'
