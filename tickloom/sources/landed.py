@@ -56,7 +56,7 @@ def _camel(name: str) -> str:
     return head + "".join(p.capitalize() for p in rest)
 
 
-def _names(name: str, codes: dict[str, str]) -> list[str]:
+def record_names(name: str, codes: dict[str, str]) -> list[str]:
     """The keys a column may arrive under, best first."""
     return list(dict.fromkeys((name, _camel(name), *[c for c, n in codes.items() if n == name])))
 
@@ -77,7 +77,7 @@ def record_field(
     Times may be ISO text or epoch numbers. Objects are read field by field, with
     the codes that ``nested`` gives for their slug.
     """
-    names = _names(field.name, codes)
+    names = record_names(field.name, codes)
     if isinstance(field.dataType, T.TimestampType):
         text = F.try_to_timestamp(_read(record, names, "string"))
         return F.coalesce(text, sc.epoch_to_timestamp(_read(record, names, "bigint")))
@@ -89,7 +89,11 @@ def record_field(
         ]
         present = F.try_variant_get(inside, "$", "map<string,variant>").isNotNull()
         return F.when(present, F.struct(*parts))
-    return _read(record, names, field.dataType.simpleString())
+    read = _read(record, names, field.dataType.simpleString())
+    if isinstance(field.dataType, T.VariantType):
+        # A JSON null read as a variant is a value; in a column it is NULL, as for other types.
+        return F.when(~F.is_variant_null(read), read)
+    return read
 
 
 def read_records(

@@ -65,8 +65,9 @@ def _codes(name: str) -> dict[str, str]:
     return {}
 
 
-def _for_contracts(codes: dict[str, str], table: TableSpec) -> dict[str, str]:
-    """Codes of a table whose ticker is an option contract."""
+def record_codes(table: TableSpec) -> dict[str, str]:
+    """Codes of a table's records; the ticker of an option contract's is the contract."""
+    codes = _codes(table.name)
     if "option_ticker" not in table.primary_keys:
         return codes
     return {
@@ -75,6 +76,11 @@ def _for_contracts(codes: dict[str, str], table: TableSpec) -> dict[str, str]:
     }
 
 
+def nested_codes(table: TableSpec) -> dict[str, dict[str, str]] | None:
+    """Codes inside the objects of a table's records, by the object's slug."""
+    return SNAPSHOT_OBJECTS if table.name.endswith(("_snapshot", "_movers")) else None
+
+
 def _quote_sides(df: DataFrame) -> DataFrame:
     """Settle the exchanges of ``last_quote``: one code is its single exchange.
 
@@ -120,9 +126,9 @@ def load_table(
     df = read_records(
         explode_results(pages, inner=INNER.get(name)),
         table.schema,
-        _for_contracts(_codes(name), table),
+        record_codes(table),
         context,
-        SNAPSHOT_OBJECTS if name.endswith(("_snapshot", "_movers")) else None,
+        nested_codes(table),
         keep=("record",),
     )
     if _has_quote_sides(table):
@@ -131,11 +137,11 @@ def load_table(
         leaf = "ticker" if column == "option_ticker" else column
         blank = not name.startswith("futures")
         df = pr.coalesce_nested(df, column, f"details.{leaf}", blank_is_missing=blank)
-    df = _cleaned(df, table, status)
+    df = cleaned(df, table, status)
     return df.select(*table.schema.fieldNames())
 
 
-def _cleaned(df: DataFrame, table: TableSpec, status: str | None) -> DataFrame:
+def cleaned(df: DataFrame, table: TableSpec, status: str | None = None) -> DataFrame:
     """The clean-ups of one table."""
     name, columns = table.name, table.schema.fieldNames()
     if "_bars_" in name:
