@@ -108,3 +108,40 @@ def test_every_table_loads_an_empty_page(spark, name):
     table = TABLES[name]
     df = load_table(pages(spark, {"results": []}), name)
     assert df.columns == table.schema.fieldNames()
+
+
+def test_indicator_pages_are_read_and_shuffled_once(spark, tmp_path):
+    doc = {"results": {"underlying": {"aggregates": [{"t": 10**12, "c": 1.0}]}, "values": [{"timestamp": 10**12, "value": 5.5}]}}
+    pages(spark, doc, ticker="A").write.parquet(str(tmp_path / "pages"))
+    out = load_indicator(spark.read.parquet(str(tmp_path / "pages")), "stock_sma", "close", "day", 10)
+    for picked in (out, out.select("ticker", "value", "underlying_close")):
+        assert [r.underlying_close for r in picked.collect()] == [1.0]
+        plan = picked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1, plan
+
+
+def test_indicator_rows_without_key_time_or_shape(spark):
+    def page(values, bars):
+        return json.dumps({"results": {"values": values, "underlying": {"aggregates": bars}}})
+
+    at = lambda k: (1_700_000_000 + 86_400 * k) * 1000
+    found = [
+        # A null ticker and an empty one are not the same; neither knows the other's bars.
+        (None, page([{"timestamp": at(1), "value": 1}], [{"t": at(0), "c": 9}])),
+        ("", page([{"timestamp": at(1), "value": 2}], [{"t": at(0), "c": 8}, {"t": at(0), "c": 7}])),
+        # No time, no object, null; the bar without a time is no one's.
+        ("A", page([{"value": 3}, 4, None, {"timestamp": at(5000), "value": "5"}], [{"c": 6}, {"t": at(-5000), "c": 5}, 1])),
+        ("A", page([{"timestamp": "2023-11-14T22:13:20Z", "value": 6}], [])),
+        ("B", json.dumps({"results": {"values": [{"timestamp": at(0), "value": 7}]}})),
+        ("B", json.dumps([{}, {"underlying": {"aggregates": [{"timestamp": at(0), "close": 4}]}}, None])),
+        ("C", "no json"),
+        ("C", json.dumps({"results": {"values": {"timestamp": at(0)}}})),
+    ]
+    frame = spark.createDataFrame(found, "ticker string, payload string").repartition(3)
+    out = load_indicator(frame, "stock_sma", "close", "day", 10)
+    got = sorted(((r.ticker, r.value, r.timestamp is None, r.underlying_close) for r in out.collect()), key=str)
+    assert got == sorted([
+        (None, 1.0, False, None), ("", 2.0, False, 8.0), ("A", 3.0, True, None), ("A", None, True, None),
+        ("A", None, True, None), ("A", 5.0, False, 5.0), ("A", 6.0, False, 5.0), ("B", 7.0, False, 4.0),
+    ], key=str)
+    assert out.where("underlying_close IS NULL AND underlying_timestamp IS NOT NULL").count() == 0

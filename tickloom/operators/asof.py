@@ -11,6 +11,8 @@ from tickloom.operators.skew import tie as tie_all
 
 # Time that one task matches of a key, in nanoseconds or in the numbers of the time column.
 BUCKET = 3_600_000_000_000
+# Buckets over which rows without a key or a time are dealt, where they share the others' shuffle.
+DEALT = 1024
 
 
 def _bucket(time: Column, kind: T.DataType, size: int) -> Column:
@@ -72,27 +74,68 @@ def asof_backward(
     bucketed = [d.withColumn("_bucket", F.coalesce("_bucket", F.lit(0).cast("bigint"))) for d in (asking, marks)]
     merged = bucketed[0].unionByName(bucketed[1], allowMissingColumns=True).repartition(*part)
 
+    # A key has one mark of a time.
+    order = F.when(F.col("_mark").isNotNull(), F.col("_t"))
+    matched = _matched(merged, part, order).select("_row", "_mark")
+    rest = rows.where(~complete).select("_row")
+    every = matched.unionByName(rest, allowMissingColumns=True)
+    return every.select("_row.*", *[F.col(f"_mark.{c}").alias(f"{prefix}{c}") for c in values])
+
+
+def _matched(merged: DataFrame, part: list[str], order: Column) -> DataFrame:
+    """Left rows of ``merged``, shuffled by ``part``, with the last ``_mark`` up to each.
+
+    ``order`` is that of a bucket's marks, null for left rows.
+    """
     # Marks come before the rows of the same time.
     so_far = (
-        Window.partitionBy(*part).orderBy("_t", F.col("_row").isNotNull())
+        Window.partitionBy(*part).orderBy("_t", F.col("_row").isNotNull(), order)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     found = merged.withColumn("_mark", F.last("_mark", ignorenulls=True).over(so_far))
 
-    last = F.max_by("_mark", F.when(F.col("_mark").isNotNull(), F.col("_t"))).alias("_last")
+    last = F.max_by("_mark", order).alias("_last")
     earlier = Window.partitionBy(*[c for c in part if c != "_bucket"]).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
     starts = merged.groupBy(*part).agg(last, tie_all(merged)).select(
         *part, "_tie", F.last("_last", ignorenulls=True).over(earlier).alias("_start")
     )
-    matched = (
+    return (
         found.where(F.col("_row").isNotNull())
         .join(starts, part)
         # A hash is never null; the condition only keeps the column in use.
         .where(F.col("_tie").isNotNull())
-        .select("_row", F.coalesce("_mark", "_start").alias("_mark"))
+        .withColumn("_mark", F.coalesce("_mark", "_start"))
+    )
+
+
+def asof_in_one(df: DataFrame, by: str, time: str, row: str, mark: str, bucket: int = BUCKET) -> DataFrame:
+    """As :func:`asof_backward` for left and right rows that come in one frame.
+
+    ``by`` is a text column; ``row`` and ``mark`` are structs: a left row has no mark, a right row
+    has no row. The left rows come back with the last mark of their key at or before their time, or
+    null, and that mark's time in ``mark_time``. Of several marks at one time the largest wins. The
+    frame is read once and shuffled once, by key and bucket. Rows without a key or a time go along,
+    dealt over ``DEALT`` buckets; left rows among them get nulls.
+    """
+    t = F.col(time)
+    known = t.isNotNull() & F.col(by).isNotNull()
+    place = F.when(known, _bucket(t, df.schema[time].dataType, bucket))
+    dealt = F.floor(F.rand(7) * DEALT).cast("bigint")
+    # Neither key nor bucket is null; said so, the join adds no filter and its sides share one shuffle.
+    merged = df.select(
+        F.coalesce(by, F.lit("")).alias("_by"),
+        F.coalesce(place, dealt, F.lit(0).cast("bigint")).alias("_bucket"),
+        t.alias("_t"), F.col(by).isNotNull().alias("_keyed"),
+        F.col(row).alias("_row"), F.col(mark).alias("_mark"),
+    ).repartition("_by", "_bucket")
+    # A mark has its time from its row, and needs it only once the shuffle is done.
+    known = F.col("_keyed") & F.col("_t").isNotNull()
+    timed = F.when(known & F.col("_mark").isNotNull(), F.struct("_t", F.col("_mark").alias("_of")))
+    matched = _matched(merged.withColumn("_mark", timed), ["_by", "_bucket"], F.col("_mark"))
+    found = F.when(known, F.col("_mark"))
+    return matched.select(
+        F.when(F.col("_keyed"), F.col("_by")).alias(by), F.col("_t").alias(time), F.col("_row").alias(row),
+        found["_of"].alias(mark), found["_t"].alias("mark_time"),
     )
-    rest = rows.where(~complete).select("_row")
-    every = matched.unionByName(rest, allowMissingColumns=True)
-    return every.select("_row.*", *[F.col(f"_mark.{c}").alias(f"{prefix}{c}") for c in values])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import ns_to_date
 from tickloom.functions.scalars import DAY_NS, floor_div
+from tickloom.operators import bars as br
 from tickloom.operators import quotes as qt
 from tickloom.plans import market as m
 from tickloom.plans.q_aggregates import bars_sql
@@ -164,15 +165,17 @@ _HOUR_US = 3_600_000_000
 )
 def _(spark, d):
     # A page per ticker and month: values at, after and before their bar, and the bars. A value
-    # before a month's first bar belongs to the last bar of another page.
-    bars = m.day_bars(spark, d).select("ticker", "window_start", "close")
+    # before a month's first bar belongs to the last bar of another page. Trades are shuffled
+    # once, by page, for their bars and for the page.
+    month = F.date_format(ns_to_date("sip_timestamp"), "yyyy-MM")
+    trades = m.tape(spark, d).withColumn("month", month).repartition("ticker", "month")
+    bars = br.ohlcv_bars(trades, 1, "day", ("ticker", "month")).select("ticker", "month", "window_start", "close")
     ms = floor_div(F.col("window_start"), 1_000_000)
     kind = F.pmod(floor_div(F.col("window_start"), DAY_NS), F.lit(3))
     moved = F.when(kind == 1, ms + _HOUR_US // 1000).when(kind == 2, ms - _HOUR_US // 1000).otherwise(ms)
     point = F.struct(moved.alias("timestamp"), (F.col("close") / 2).alias("value"))
     bar = F.struct(F.col("ticker").alias("T"), ms.alias("t"), F.col("close").alias("c"))
-    month = F.date_format(ns_to_date("window_start"), "yyyy-MM")
-    pages = bars.groupBy("ticker", month.alias("month")).agg(
+    pages = bars.groupBy("ticker", "month").agg(
         F.collect_list(point).alias("values"), F.collect_list(bar).alias("aggregates")
     )
     results = F.struct("values", F.struct("aggregates").alias("underlying"))

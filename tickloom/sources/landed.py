@@ -20,13 +20,14 @@ def read_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def explode_results(
-    pages: DataFrame, payload: str = "payload", inner: str | None = None
+    pages: DataFrame, payload: str = "payload", inner: str | None = None, empty: bool = False
 ) -> DataFrame:
     """One row per record of each page, in the variant column ``record``.
 
     A page is a list, or an object holding ``results`` (a list or one object), or
     itself the record. ``inner`` names a key of each record that holds the real
-    record or list of records. Empty and NULL records are dropped.
+    record or list of records. Empty and NULL records are dropped, but with ``empty``,
+    which saves a copy of each record where a caller reads only lists in it.
     """
     df = pages.withColumn("_page", F.try_parse_json(payload)).drop(payload)
     page = F.col("_page")
@@ -34,9 +35,8 @@ def explode_results(
     listed = F.try_variant_get(page, "$.results", "array<variant>")
     single = F.try_variant_get(page, "$.results", "variant")
     # A JSON null under "results" is a variant null, only an absent key is NULL.
-    in_object = F.when(
-        single.isNotNull(), F.coalesce(listed, F.array(single))
-    ).otherwise(F.array(page))
+    # Each read of a variant copies it.
+    in_object = F.coalesce(listed, F.array(F.coalesce(single, page)))
     df = df.withColumn("record", F.explode(F.coalesce(as_list, in_object))).drop("_page")
     if inner:
         many = F.try_variant_get("record", f"$.{inner}", "array<variant>")
@@ -48,7 +48,7 @@ def explode_results(
             "record", F.explode(F.coalesce(many, found, F.array(F.col("record"))))
         )
     keys = F.try_variant_get("record", "$", "map<string,variant>")
-    return df.where(F.size(keys) > 0)
+    return df if empty else df.where(F.size(keys) > 0)
 
 
 def _camel(name: str) -> str:
@@ -66,6 +66,11 @@ def _read(record: Column, names: list[str], kind: str) -> Column:
     return reads[0] if len(reads) == 1 else F.coalesce(*reads)
 
 
+def record_time(text: Column, epoch: Column) -> Column:
+    """A time read as ISO text or else as an epoch number."""
+    return F.coalesce(F.try_to_timestamp(text), sc.epoch_to_timestamp(epoch))
+
+
 def record_field(
     record: Column,
     field: T.StructField,
@@ -79,8 +84,7 @@ def record_field(
     """
     names = record_names(field.name, codes)
     if isinstance(field.dataType, T.TimestampType):
-        text = F.try_to_timestamp(_read(record, names, "string"))
-        return F.coalesce(text, sc.epoch_to_timestamp(_read(record, names, "bigint")))
+        return record_time(_read(record, names, "string"), _read(record, names, "bigint"))
     if isinstance(field.dataType, T.StructType):
         inside = _read(record, names, "variant")
         own = nested.get(field.name.replace("_", ""), {})

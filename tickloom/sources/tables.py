@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars as sc
 from tickloom.operators import project as pr
-from tickloom.operators.asof import asof_backward
-from tickloom.sources.landed import explode_results, read_records
+from tickloom.operators.asof import asof_in_one
+from tickloom.operators.bars import TIMESPAN_NS
+from tickloom.sources.landed import explode_results, read_records, record_names, record_time
 from tickloom.specs import TABLES, TableSpec
 
 # --- fixed values -----------------------------------------------------------
@@ -50,6 +51,18 @@ CHANGE_CODES = {
     "todays_change_perc": "todays_change_percent",
     "todaysChangePerc": "todays_change_percent",
 }
+# Spacing of an indicator's bars by timespan, in nanoseconds, and how many of them one task
+# matches of a ticker.
+INDICATOR_NS = {
+    **TIMESPAN_NS,
+    "week": 7 * sc.DAY_NS, "month": 30 * sc.DAY_NS, "quarter": 91 * sc.DAY_NS, "year": 365 * sc.DAY_NS,
+}
+BUCKET_BARS = 4096
+# What an indicator's bars hold beside their time.
+BAR_FIELDS = {
+    "ticker": "string", **dict.fromkeys(("open", "high", "low", "close", "volume", "vwap"), "double"),
+    "transactions": "bigint",
+}
 # ---------------------------------------------------------------------------
 
 
@@ -168,45 +181,55 @@ def load_indicator(
     """Indicator table from landed pages (payload and ticker).
 
     A page holds ``values`` and, under ``underlying``, the bars they were computed
-    on. Each value is matched to the last bar at or before its time.
+    on. Each value is matched to the last bar at or before its time. Both leave a page
+    together, so pages are read and parsed once, and share one shuffle.
     """
     table = TABLES[name]
-    records = explode_results(pages)
-    points = records.select(
-        "ticker",
-        F.explode(F.try_variant_get("record", "$.values", "array<variant>")).alias("record"),
-    )
-    bars = records.select(
-        "ticker",
-        F.explode(
-            F.try_variant_get("record", "$.underlying.aggregates", "array<variant>")
-        ).alias("record"),
-    )
     extra = [c for c in ("signal", "histogram") if c in table.schema.fieldNames()]
-    values = read_records(
-        points,
-        "ticker string, timestamp timestamp, value double"
-        + "".join(f", {c} double" for c in extra),
-        context=("ticker",),
-    )
-    underlying = read_records(
-        bars.withColumnRenamed("ticker", "_ticker"),
-        "_ticker string, timestamp timestamp, ticker string, open double, high double, "
-        "low double, close double, volume double, vwap double, transactions bigint",
-        pr.BAR_CODES,
-        context=("_ticker",),
-    ).select(
-        F.col("_ticker").alias("ticker"),
-        *[
-            F.col(c).alias(f"underlying_{c}")
-            for c in "timestamp ticker open high low close volume vwap transactions".split()
-        ],
+
+    def records(path: str) -> Column:
+        """The records of a list, each as its keys; null for one that is no object."""
+        each = F.transform(
+            F.try_variant_get("record", path, "array<variant>"),
+            lambda r: F.try_variant_get(r, "$", "map<string,variant>"),
+        )
+        # Opened in one step, unless one of them is no object.
+        whole = F.try_variant_get("record", path, "array<map<string,variant>>")
+        return F.coalesce(whole, each, F.array().cast("array<map<string,variant>>"))
+
+    opened = (
+        explode_results(pages, empty=True)
+        .select("ticker", F.array(records("$.values"), records("$.underlying.aggregates")).alias("_lists"))
+        .select("ticker", F.size(F.col("_lists")[0]).alias("_values"), F.flatten("_lists").alias("_lists"))
+        .select("ticker", "_values", F.posexplode_outer("_lists").alias("_at", "_keys"))
+        # Without "outer" a filter on the lists' size is added, for which they are built once more.
+        .where(F.col("_at").isNotNull())
+        .select("ticker", "_keys", (F.col("_at") < F.col("_values")).alias("_is_value"))
     )
-    matched = asof_backward(values, underlying, "ticker", "timestamp", "underlying_timestamp")
+
+    def read(column: str, kind: str, codes: dict[str, str]) -> Column:
+        found = [F.try_element_at("_keys", F.lit(n)) for n in record_names(column, codes)]
+        return F.coalesce(*[F.try_variant_get(v, "$", kind) for v in found])
+
+    def either(value: Column, bar: Column) -> Column:
+        return F.when(F.col("_is_value"), value).otherwise(bar)
+
+    def when(kind: str) -> Column:
+        return either(read("timestamp", kind, {}), read("timestamp", kind, pr.BAR_CODES))
+
+    value = F.struct(*[read(c, "double", {}).alias(c) for c in ("value", *extra)])
+    bar = F.struct(*[read(c, kind, pr.BAR_CODES).alias(c) for c, kind in BAR_FIELDS.items()])
+    points = opened.select(
+        "ticker", when("string").alias("_text"), when("bigint").alias("_epoch"),
+        F.when(F.col("_is_value"), value).alias("_value"), F.when(~F.col("_is_value"), bar).alias("_bar"),
+    ).select("ticker", record_time(F.col("_text"), F.col("_epoch")).alias("timestamp"), "_value", "_bar")
+    bucket = BUCKET_BARS * INDICATOR_NS.get(timespan, INDICATOR_NS["day"])
+    matched = asof_in_one(points, "ticker", "timestamp", "_value", "_bar", bucket)
     label = sc.series_label(F.lit(series), F.lit(timespan), F.lit(window))
-    out = matched.withColumn("indicator", F.lit(name)).withColumn(
-        "series_window_timespan", label
-    )
+    out = matched.select(
+        "ticker", "timestamp", "_value.*", F.col("mark_time").alias("underlying_timestamp"),
+        *[F.col(f"_bar.{c}").alias(f"underlying_{c}") for c in BAR_FIELDS],
+    ).withColumns({"indicator": F.lit(name), "series_window_timespan": label})
     if "option_ticker" in table.primary_keys:
         out = out.withColumnRenamed("ticker", "option_ticker")
     return out.select(*table.schema.fieldNames())
