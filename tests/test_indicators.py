@@ -190,3 +190,51 @@ def test_no_row_holds_more_than_a_node(spark):
     assert len(sizes) == 3  # of a node, of a branch, of the root
     got = found.select("place", F.coalesce("_before.n", F.lit(0)).alias("n"))
     assert got.where("n <> place").count() == 0 and got.count() == 20_000
+
+
+def test_blocks_query_reads_its_trades_once(spark, tmp_path):
+    """What the bars hold beside their close is neither shuffled nor a reason to read them twice."""
+    from tickloom.plans import QUERIES
+
+    rng, trades, points = random.Random(3), [], []
+    for supplier in (1, 2):
+        for day in range(80):
+            price = round(100 + rng.uniform(-5, 5), 2)
+            trades.append((supplier * 1000 + day, 1, supplier, 3.0, price, 9000 + 3 * day))
+            points.append((f"S{supplier}", DAY * (9000 + 3 * day), price))
+    table = spark.createDataFrame(
+        trades, "l_orderkey bigint, l_linenumber int, l_suppkey bigint, l_quantity double, l_extendedprice double, day int"
+    )
+    table = table.withColumn("l_shipdate", F.date_from_unix_date("day").cast("timestamp_ntz")).drop("day")
+    table.write.parquet(str(tmp_path / "lineitem.parquet"))
+    out = QUERIES["win04_rsi_blocks"](spark, str(tmp_path))
+    expected = rsi_of(points, 18)
+    got = {(r.ticker, r.window_start): r.value for r in out.collect()}
+    assert got.keys() == expected.keys()
+    assert all(math.isclose(got[k], expected[k], abs_tol=2e-6) for k in expected)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1, plan
+
+
+def test_a_list_is_combined_in_one_pass(spark):
+    from tickloom.operators import skew
+
+    lists = spark.sql("SELECT array(1, 2, 3, 4) AS s UNION ALL SELECT array(7) UNION ALL SELECT array()")
+    got = lists.select(skew._folded(F.col("s"), lambda a, b: a * 10 + b).alias("f")).collect()
+    assert sorted(r.f for r in got) == [[], [1, 12, 123, 1234], [7]]
+
+
+@pytest.mark.parametrize("block", [None, 7])
+def test_more_than_one_branch_of_many_bars(spark, monkeypatch, block):
+    """Branches of few rows: positions, states and first changes come over their ends."""
+    from tickloom.operators import skew
+
+    monkeypatch.setattr(skew, "BRANCH_ROWS", 32)
+    rng, price, points = random.Random(6), 100.0, []
+    for i in range(700):
+        price = max(1.0, price + rng.uniform(-1, 1))
+        points.append(("T", DAY * (i + 9000 * (i // 300)), round(price, 2)))
+    table = spark.createDataFrame(points, "ticker string, window_start bigint, close double").repartition(3)
+    check(ind.rsi(table, 40, interval_ns=DAY, block=block), rsi_of(points, 40))
+    values = ema_of([c for *_, c in points], 10)
+    check(ind.ema(table, 10, interval_ns=DAY, block=block), {("T", t): v for (_, t, _), v in zip(points, values)})

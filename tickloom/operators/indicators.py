@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import scalars as sc
 from tickloom.operators.skew import (
-    halo_blocks, owned, states_before, with_blocks, with_ordinal, with_positions,
+    halo_blocks, in_block, owned, states_before, with_branches, with_ordinal,
 )
 
 # Bars per ranking chunk and, at most, per block.
@@ -36,8 +36,8 @@ def _in_block(by: str) -> Window:
     return Window.partitionBy(by, "_blk").orderBy("_pos")
 
 
-def _so_far(by: str) -> Window:
-    return _in_block(by).rowsBetween(Window.unboundedPreceding, 0)
+def _so_far(by: str, time: str) -> Window:
+    return in_block(by, time).rowsBetween(Window.unboundedPreceding, 0)
 
 
 def block_length(block: int | None, *decays: float) -> int:
@@ -51,9 +51,11 @@ def block_length(block: int | None, *decays: float) -> int:
     return block
 
 
-def _blocks(bars: DataFrame, by: str, time: str, interval_ns: int, block: int) -> DataFrame:
+def _blocks(
+    bars: DataFrame, by: str, time: str, interval_ns: int, block: int, ordinal: bool = False
+) -> DataFrame:
     """Rows with ``_blk``, a stretch of at most ``block`` bars, and ``_pos``, the place in it."""
-    return with_blocks(bars, [by], [time], sc.floor_div(F.col(time), block * interval_ns))
+    return with_branches(bars, by, time, sc.floor_div(F.col(time), block * interval_ns), block, ordinal)
 
 
 def _checked(window: int) -> int:
@@ -81,17 +83,13 @@ def sma(
     return owned(df)
 
 
-def _from_zero(term: Column, a: float, power: Column, by: str) -> Column:
+def _from_zero(term: Column, a: float, power: Column, so_far: Window) -> Column:
     """``sum(a**(power[i] - power[j]) * term[j])`` over the block so far."""
     if a == 0:
         return term
     # A power is exact to the last bit, where exp(pos * log(a)) loses three digits.
     decay = F.pow(F.lit(a), power)
-    return F.sum(term / decay).over(_so_far(by)) * decay
-
-
-def _last(column: str) -> Column:
-    return F.max_by(column, "_pos").alias(column)
+    return F.sum(term / decay).over(so_far) * decay
 
 
 def ema(
@@ -108,9 +106,12 @@ def ema(
     """Exponential mean, ``alpha = 2 / (window + 1)``, seeded with the first value."""
     a = 1 - 2 / (_checked(window) + 1)
     df = _blocks(bars, by, time, interval_ns, block_length(block, a))
-    df = df.withColumn("_y", _from_zero((1 - a) * F.col(value), a, F.col("_pos"), by))
-    fade = F.pow(F.lit(a), F.count(F.lit(1)))
-    summary = [fade.alias("fade"), _last("_y"), F.min_by(value, "_pos").cast("double").alias("x")]
+    so_far = _so_far(by, time)
+    df = df.withColumns(
+        {"_y": _from_zero((1 - a) * F.col(value), a, F.col("_pos"), so_far), "_first": F.first(value).over(so_far)}
+    )
+    fade = F.pow(F.lit(a), F.col("_pos") + 1)
+    summary = [fade.alias("fade"), F.col("_y"), F.col("_first").cast("double").alias("x")]
 
     def step(y: Column, b: Column) -> Column:
         return b["fade"] * y + b["_y"]
@@ -121,11 +122,11 @@ def ema(
         )
 
     # Before the first bar stands its own value, so that the first mean is that value.
-    df = states_before(df, by, summary, lambda b: b["x"], step, combine)
+    df = states_before(df, by, time, summary, lambda b: b["x"], step, combine)
     mean = F.pow(F.lit(a), F.col("_pos") + 1) * F.col("_state") + F.col("_y")
     first = F.col("_opens") & (F.col("_pos") == 0)
     mean = F.when(first, F.col(value).cast("double")).otherwise(mean)
-    return df.withColumn(out, mean).drop("_blk", "_pos", "_y", "_state", "_opens")
+    return df.withColumn(out, mean).drop("_blk", "_pos", "_y", "_first", "_state", "_opens")
 
 
 def macd(
@@ -147,10 +148,15 @@ def macd(
     """
     s, l, g = (1 - 2 / (_checked(n) + 1) for n in (short, long, signal))
     df = _blocks(bars, by, time, interval_ns, block_length(block, s, l, g))
-    x, pos = F.col(value), F.col("_pos")
-    df = df.withColumn("_s", _from_zero((1 - s) * x, s, pos, by))
-    df = df.withColumn("_l", _from_zero((1 - l) * x, l, pos, by))
-    df = df.withColumn("_g", _from_zero((1 - g) * (F.col("_s") - F.col("_l")), g, pos, by))
+    x, pos, so_far = F.col(value), F.col("_pos"), _so_far(by, time)
+    df = df.withColumns(
+        {
+            "_short": _from_zero((1 - s) * x, s, pos, so_far), "_long": _from_zero((1 - l) * x, l, pos, so_far),
+            "_first": F.first(value).over(so_far),
+        }
+    )
+    df = df.withColumn("_signal", _from_zero((1 - g) * (F.col("_short") - F.col("_long")), g, pos, so_far))
+    zeros = {"s": F.col("_short"), "l": F.col("_long"), "g": F.col("_signal")}
 
     def carried(a: float, n: Column) -> Column:
         """What a state of 1 of a mean adds to the signal after n bars."""
@@ -180,18 +186,17 @@ def macd(
         return F.struct(value.alias("s"), value.alias("l"), F.lit(0.0).alias("g"))
 
     summary = [
-        F.count(F.lit(1)).alias("n"), *[F.max_by(f"_{m}", "_pos").alias(m) for m in "slg"],
-        F.min_by(value, "_pos").cast("double").alias("x"),
+        (pos + 1).alias("n"), *[zeros[m].alias(m) for m in "slg"], F.col("_first").cast("double").alias("x"),
     ]
-    df = states_before(df, by, summary, lambda b: seed(b["x"]), step, combine)
-    now = after(F.col("_state"), pos + 1, F.col("_s"), F.col("_l"), F.col("_g"))
+    df = states_before(df, by, time, summary, lambda b: seed(b["x"]), step, combine)
+    now = after(F.col("_state"), pos + 1, *zeros.values())
     first = F.col("_opens") & (pos == 0)
     now = F.when(first, seed(x.cast("double"))).otherwise(now)
     df = df.withColumn("_now", now).withColumns(
         {"value": F.col("_now.s") - F.col("_now.l"), "signal": F.col("_now.g")}
     )
     return df.withColumn("histogram", F.col("value") - F.col("signal")).drop(
-        "_blk", "_pos", "_s", "_l", "_g", "_state", "_opens", "_now"
+        "_blk", "_pos", "_short", "_long", "_signal", "_first", "_state", "_opens", "_now"
     )
 
 
@@ -212,19 +217,28 @@ def rsi(
     the bar after them on.
     """
     a = (_checked(window) - 1) / window
-    blocked = _blocks(bars, by, time, interval_ns, block_length(block, a))
-    df = with_positions(blocked, [by])
-    zero, x = F.lit(0.0), F.col(value)
+    df = _blocks(bars, by, time, interval_ns, block_length(block, a), ordinal=True)
+    zero, x, so_far = F.lit(0.0), F.col(value), _so_far(by, time)
 
     def decays(ordinal: Column) -> Column:
         return F.greatest(ordinal - window, F.lit(0).cast("bigint"))
 
     power = decays(F.col("_ord")) - decays(F.col("_ord") - F.col("_pos") - 1)
-    df = df.withColumn("_power", power).withColumn("_change", x - F.lag(value).over(_in_block(by)))
-    # The first change of a block is known once the block before is.
-    for name, sign in (("_gain", 1), ("_loss", -1)):
-        term = F.coalesce(F.greatest(sign * F.col("_change"), zero), zero) / window
-        df = df.withColumn(name, _from_zero(term, a, F.col("_power"), by))
+    df = df.withColumns(
+        {"_power": power, "_change": x - F.lag(value).over(in_block(by, time)), "_first": F.first(value).over(so_far)}
+    )
+
+    def term(sign: int) -> Column:
+        # The first change of a block is known once the block before is.
+        return F.coalesce(F.greatest(sign * F.col("_change"), zero), zero) / window
+
+    df = df.withColumns(
+        {
+            "_gain": _from_zero(term(1), a, F.col("_power"), so_far),
+            "_loss": _from_zero(term(-1), a, F.col("_power"), so_far),
+            "_head": F.first("_power").over(so_far),
+        }
+    )
 
     def after(state: Column, first: Column, power: Column, head: Column, zeros: dict) -> dict:
         """Both averages from the state before the block and the block's first change."""
@@ -238,12 +252,9 @@ def rsi(
         }
 
     summary = [
-        F.min_by(value, "_pos").cast("double").alias("first"),
-        F.max_by(value, "_pos").cast("double").alias("last"),
-        F.max_by("_power", "_pos").alias("power"),
-        F.min_by("_power", "_pos").alias("head"),
-        F.max_by("_gain", "_pos").alias("gain"),
-        F.max_by("_loss", "_pos").alias("loss"),
+        F.col("_first").cast("double").alias("first"), x.cast("double").alias("last"),
+        F.col("_power").alias("power"), F.col("_head").alias("head"),
+        F.col("_gain").alias("gain"), F.col("_loss").alias("loss"),
     ]
 
     def step(state: Column, b: Column) -> Column:
@@ -259,11 +270,7 @@ def rsi(
         )
 
     nothing = F.struct(zero.alias("gain"), zero.alias("loss"), F.lit(None).cast("double").alias("last"))
-    df = states_before(df, by, summary, lambda b: nothing, step, combine)
-    whole = Window.partitionBy(by, "_blk").orderBy("_pos").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    df = df.withColumns({"_first": F.first(value).over(whole), "_head": F.first("_power").over(whole)})
+    df = states_before(df, by, time, summary, lambda b: nothing, step, combine)
     now = after(
         F.col("_state"), F.col("_first").cast("double"), F.col("_power"), F.col("_head"),
         {"gain": F.col("_gain"), "loss": F.col("_loss")},

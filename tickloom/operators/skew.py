@@ -4,9 +4,8 @@ A window partitioned by ticker alone puts a ticker's full history into one task.
 Here each row first gets its position within its key, counted chunk by chunk, and
 the series is then cut into blocks of fixed length. For a window of a few rows, every
 block repeats the last rows of the block before it (the halo). For recurrences the chunks
-themselves are the blocks: each is summed up in one row, the summaries are combined by a
-tree whose nodes are spread over tasks, and the state before each block is joined back
-(``states_before``).
+themselves are the blocks: each is summed up on its last row, and the summaries are
+combined by a tree whose branches are spread over tasks (``states_before``).
 """
 
 from __future__ import annotations
@@ -18,6 +17,8 @@ from pyspark.sql import functions as F
 
 # Rows below a node of the tree and nodes below a branch, as a power of two.
 FAN_BITS = 6
+# Rows of a key, about, that one task holds where blocks below a branch would be more.
+BRANCH_ROWS = 1 << 17
 
 
 def tie(df: DataFrame) -> Column:
@@ -47,133 +48,178 @@ def with_blocks(df: DataFrame, by: list[str], order: list[str], chunk: Column) -
     Rows without a key or a chunk go. Later windows and joins by key and chunk need no
     further shuffle.
     """
+    place = F.row_number().over(Window.partitionBy(*by, "_blk").orderBy(*order))
+    return _chunked(df, by, chunk).repartition(*by, "_blk").withColumn("_pos", place.cast("bigint") - 1)
+
+
+def _chunked(df: DataFrame, by: list[str], chunk: Column) -> DataFrame:
     chunked = df.withColumn("_blk", chunk)
     # Both sides of later joins drop null keys; said here, their shuffles stay equal.
     for key in (*by, "_blk"):
         chunked = chunked.where(F.col(key).isNotNull())
     # No null is left; said so, what is computed from the chunk needs no filter of its own.
-    chunked = chunked.withColumn("_blk", F.coalesce("_blk", F.lit(0).cast("bigint")))
-    place = F.row_number().over(Window.partitionBy(*by, "_blk").orderBy(*order))
-    return chunked.repartition(*by, "_blk").withColumn("_pos", place.cast("bigint") - 1)
+    return chunked.withColumn("_blk", F.coalesce("_blk", F.lit(0).cast("bigint")))
 
 
 def with_positions(blocked: DataFrame, by: list[str]) -> DataFrame:
     """Add ``_ord``, the position within the key, to rows of :func:`with_blocks`."""
-    sizes = blocked.groupBy(*by, "_blk").agg(F.count(F.lit(1)).alias("_n"), tie(blocked))
-    before = Window.partitionBy(*by).orderBy("_blk").rowsBetween(
+    return _with_offset(blocked, by, "_blk").withColumn("_ord", F.col("_offset") + F.col("_pos")).drop("_offset")
+
+
+def _with_offset(parts: DataFrame, by: list[str], part: str) -> DataFrame:
+    """Add ``_offset``, the number of a key's rows in earlier parts; ``parts`` is shuffled by them."""
+    sizes = parts.groupBy(*by, part).agg(F.count(F.lit(1)).alias("_n"), tie(parts))
+    before = Window.partitionBy(*by).orderBy(part).rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = sizes.select(
-        "_tie", *by, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+        "_tie", *by, part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     return (
-        blocked.join(offsets, [*by, "_blk"])
-        .withColumn("_ord", F.col("_offset") + F.col("_pos"))
+        parts.join(offsets, [*by, part])
         # A hash is never null; the condition only keeps the column in use.
         .where(F.col("_tie").isNotNull())
-        .drop("_offset", "_tie")
+        .drop("_tie")
     )
 
 
-Combine = Callable[[Column, Column], Column]
+def in_block(by: str, time: str) -> Window:
+    """The rows of a block of :func:`with_branches`; windows over a node or a branch share its sort."""
+    return Window.partitionBy(by, "_branch", "_node", "_blk").orderBy(time)
 
 
-def _folded(summaries: Column, combine: Combine) -> Column:
-    """All of an array combined from the left; null where it is empty."""
-    rest = F.slice(summaries, F.lit(2), F.greatest(F.size(summaries), F.lit(1)))
-    return F.aggregate(rest, F.get(summaries, F.lit(0)), combine)
+def with_branches(
+    df: DataFrame, by: str, time: str, chunk: Column, block: int, ordinal: bool = False
+) -> DataFrame:
+    """Add ``_blk`` and ``_pos`` as :func:`with_blocks`, in one shuffle for whole branches of blocks.
 
+    ``block`` is the most rows that a block has. A branch has 4096 blocks, or fewer where those
+    could have more than ``BRANCH_ROWS`` rows; ``_branch`` and ``_node`` tell where a row is in the
+    tree of :func:`combined_before`. With ``ordinal``, also adds ``_ord``, the position within the key.
+    """
+    bits = max(0, min(2 * FAN_BITS, (BRANCH_ROWS // block).bit_length() - 1))
+    rows = _in_tree(_chunked(df, [by], chunk), by, "_blk", bits)
+    if ordinal:
+        in_branch = Window.partitionBy(by, "_branch").orderBy("_node", "_blk", time)
+        rows = _with_offset(rows, [by], "_branch")
+        rows = rows.withColumn("_ord", F.col("_offset") + F.row_number().over(in_branch) - 1).drop("_offset")
+    return rows.withColumn("_pos", F.row_number().over(in_block(by, time)).cast("bigint") - 1)
 
-def combined_before(rows: DataFrame, by: str, place: str, combine: Combine) -> DataFrame:
-    """Add ``_before``: the summaries ``_s`` of all earlier rows of a key, combined; null for the first.
 
-    ``combine(a, b)`` is the summary of a stretch from those of its two parts, so it may be
-    applied in any grouping. The rows of a key are the leaves of a tree: 64 places make a
-    node, 64 nodes a branch, and a branch is what one task holds. What is before a row in its
-    node, before its node in the branch and before its branch are combined; only the last
-    needs a second shuffle, of one row per branch. No row holds more than 64 summaries, but
-    for the root's list of a key's branches.
-    """
+def _in_tree(rows: DataFrame, by: str, place: str, bits: int = 2 * FAN_BITS) -> DataFrame:
     # A shift of a column that is never null is never null: joins by it then add no filters,
     # which would make equal shuffles differ.
-    rows = rows.withColumns(
-        {"_branch": F.shiftright(place, 2 * FAN_BITS), "_node": F.shiftright(place, FAN_BITS)}
+    return rows.withColumns(
+        {"_branch": F.shiftright(place, bits), "_node": F.shiftright(place, min(bits, FAN_BITS))}
     ).repartition(by, "_branch")
 
-    def earlier(*keys: str) -> Window:
-        return Window.partitionBy(*keys).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
 
-    def together(first: str, second: str) -> Column:
-        a, b = F.col(first), F.col(second)
-        return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(combine(a, b))
+Combine = Callable[[Column, Column], Column]
+
+
+def _folded(summaries: Column, combine: Combine) -> Column:
+    """An array's summaries, each combined with all before it, one step a summary."""
+    rest = F.slice(summaries, F.lit(2), F.greatest(F.size(summaries), F.lit(1)))
+    return F.aggregate(
+        rest, F.slice(summaries, 1, 1), lambda done, s: F.concat(done, F.array(combine(F.element_at(done, -1), s)))
+    )
 
-    in_node = Window.partitionBy(by, "_branch", "_node").orderBy(place)
+
+def _scanned(
+    rows: DataFrame, part: list[str], order: list[str], of: str, combine: Combine, before: str, whole: str
+) -> DataFrame:
+    """Add ``before``, all ``of`` on earlier rows of a part combined, and ``whole``, all of them, on its last row.
+
+    The few rows of a part that have ``of`` are listed and combined once, on its first row.
+    """
+    run = Window.partitionBy(*part).orderBy(*order)
+    every = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumns(
         {
-            "_list": F.collect_list("_s").over(earlier(by, "_branch", "_node")),
-            "_ends": F.lead(place).over(in_node).isNull(),
+            "_list": F.collect_list(of).over(every),
+            "_rank": F.count(of).over(run.rowsBetween(Window.unboundedPreceding, -1)).cast("int"),
+            "_opens": F.lag(F.lit(1)).over(run).isNull(),
+            "_ends": F.lead(F.lit(1)).over(run).isNull(),
         }
-    ).withColumn("_inner", _folded(F.col("_list"), combine))
-    # The last row of a node completes it, and lists leave nulls out.
-    rows = rows.withColumn("_whole", F.when(F.col("_ends"), together("_inner", "_s")))
-    in_branch = Window.partitionBy(by, "_branch").orderBy(place)
-    rows = rows.withColumns(
+    )
+    rows = rows.withColumn("_list", F.when(F.col("_opens"), _folded(F.col("_list"), combine)))
+    rows = rows.withColumn("_list", F.first("_list").over(every))
+    return rows.withColumns(
         {
-            "_list": F.collect_list("_whole").over(earlier(by, "_branch")),
-            "_last": F.lead(place).over(in_branch).isNull(),
+            before: F.get("_list", F.col("_rank") - 1),
+            whole: F.when(F.col("_ends"), F.element_at("_list", -1)),
         }
-    ).withColumn("_nodes", _folded(F.col("_list"), combine))
-    branches = rows.where("_last").select(by, "_branch", together("_nodes", "_whole").alias("_sum"))
-    branches = branches.withColumn("_list", F.collect_list("_sum").over(
-        Window.partitionBy(by).orderBy("_branch").rowsBetween(Window.unboundedPreceding, -1)
-    ))
-    branches = branches.select(
-        F.col(by).alias("_by"), F.col("_branch").alias("_of"),
-        _folded(F.col("_list"), combine).alias("_outer"),
+    ).drop("_list", "_rank", "_opens")
+
+
+def combined_before(
+    rows: DataFrame, by: str, place: str, combine: Combine, order: tuple[str, ...] = ()
+) -> DataFrame:
+    """Add ``_before``: the summaries ``_s`` of all earlier places of a key, combined; null for the first.
+
+    ``combine(a, b)`` is the summary of a stretch from those of its two parts, so it may be
+    applied in any grouping. A place has one row or, in rows of :func:`with_branches`, several
+    by ``order``, the last of which has the summary. The places of a key are the leaves of a
+    tree: 64 of them make a node, 64 nodes a branch, and a branch is what one task holds. What
+    is before a place in its node, before its node in the branch and before its branch are
+    combined, a step each: a node's summaries are listed once and combined from the left, and
+    so are a branch's nodes. Only the root needs a second shuffle, of one row per branch. No
+    row holds more than 64 summaries, but for the root's list of a key's branches.
+    """
+    own = "_branch" not in rows.columns
+    if own:
+        rows = _in_tree(rows, by, place)
+    shuffled = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).alias("_tie")
+
+    def together(first: Column, second: Column) -> Column:
+        return F.when(first.isNull(), second).when(second.isNull(), first).otherwise(combine(first, second))
+
+    rows = _scanned(rows, [by, "_branch", "_node"], [place, *order], "_s", combine, "_inner", "_whole")
+    rows = _scanned(rows, [by, "_branch"], ["_node", place, *order], "_whole", combine, "_nodes", "_sum")
+    branches = rows.where("_ends").select(by, "_branch", "_sum", shuffled)
+    listed = branches.groupBy(by).agg(
+        F.sort_array(F.collect_list(F.struct("_branch", "_sum"))).alias("_list"), F.max("_tie").alias("_tie")
+    )
+    # What is before a branch is what there is up to the one before it.
+    after_first = F.slice(F.col("_list._branch"), F.lit(2), F.size("_list"))
+    outer = listed.where(F.col("_tie").isNotNull()).select(
+        F.col(by).alias("_by"), F.inline(F.arrays_zip(after_first.alias("_of"), _folded(F.col("_list._sum"), combine).alias("_outer"))),
     )
     here = (F.col(by) == F.col("_by")) & (F.col("_branch") == F.col("_of"))
-    helpers = ("_by", "_of", "_outer", "_inner", "_nodes", "_whole", "_list", "_ends", "_last", "_node", "_branch")
-    return (
-        rows.join(branches, here)
-        .withColumn("_inner", together("_nodes", "_inner"))
-        .withColumn("_before", together("_outer", "_inner"))
-        .drop(*helpers)
+    rows = (
+        rows.join(outer, here, "left")
+        .withColumn("_inner", together(F.col("_nodes"), F.col("_inner")))
+        .withColumn("_before", together(F.col("_outer"), F.col("_inner")))
     )
+    helpers = ("_by", "_of", "_outer", "_inner", "_nodes", "_whole", "_sum", "_ends")
+    return rows.drop(*helpers, *(["_branch", "_node"] if own else []))
 
 
 def states_before(
     df: DataFrame,
     by: str,
+    time: str,
     summary: list[Column],
     start: Callable[[Column], Column],
     step: Combine,
     combine: Combine,
 ) -> DataFrame:
-    """Rows of ``df`` (with ``_blk``) and ``_state``, the state of their key before the block.
+    """Rows of ``df`` (of :func:`with_branches`) and ``_state``, the state of their key before the block.
 
-    ``summary`` are aggregates of a block. ``start`` is the state before the first block, in
-    terms of a summary ``b`` that begins with it; ``step(state, b)`` is the state after a
-    stretch and ``combine(a, b)`` the summary of two stretches in a row. Also adds
-    ``_opens``, true in a key's first block. Neither rows nor summaries of a key meet in one
-    task: see :func:`combined_before`.
+    ``summary`` are columns that sum up a block so far, on its last row all of it. ``start`` is
+    the state before the first block, in terms of a summary ``b`` that begins with it;
+    ``step(state, b)`` is the state after a stretch and ``combine(a, b)`` the summary of two
+    stretches in a row. Also adds ``_opens``, true in a key's first block. Neither rows nor
+    summaries of a key meet in one task: see :func:`combined_before`.
     """
-    blocks = df.groupBy(by, "_blk").agg(*summary, tie(df))
-    fields = [c for c in blocks.columns if c not in (by, "_blk", "_tie")]
-    # The tie travels inside the summaries, so that all uses of a shuffle of them are equal.
-    blocks = blocks.select(by, "_blk", F.struct(F.struct(*fields).alias("of"), "_tie").alias("_s"))
-
-    def tied(b: Column, c: Column) -> Column:
-        return F.struct(combine(b["of"], c["of"]).alias("of"), b["_tie"].alias("_tie"))
-
-    found = combined_before(blocks, by, "_blk", tied)
-    before = F.col("_before.of")
-    state = F.when(F.col("_before").isNull(), start(F.col("_s.of"))).otherwise(step(start(before), before))
-    states = found.where(F.col("_s._tie").isNotNull()).select(
-        F.col(by).alias("_by"), F.col("_blk").alias("_of"),
-        state.alias("_state"), F.col("_before").isNull().alias("_opens"),
+    ends = F.lead(F.lit(1)).over(in_block(by, time)).isNull()
+    rows = df.withColumn("_so_far", F.struct(*summary)).withColumn("_s", F.when(ends, F.col("_so_far")))
+    found = combined_before(rows, by, "_blk", combine, (time,))
+    before, own = F.col("_before"), F.col("_so_far")
+    state = F.when(before.isNull(), start(own)).otherwise(step(start(before), before))
+    return found.withColumn("_state", state).withColumn("_opens", before.isNull()).drop(
+        "_s", "_so_far", "_before", "_branch", "_node"
     )
-    here = (F.col(by) == F.col("_by")) & (F.col("_blk") == F.col("_of"))
-    return df.join(states, here).drop("_by", "_of")
 
 
 def halo_blocks(df: DataFrame, block: int, halo: int) -> DataFrame:

@@ -46,6 +46,11 @@ def _(spark, d):
     )
 
 
+def _closes(spark, d):
+    """What the recurrences read, so that all uses of their shuffle are as narrow."""
+    return m.day_bars(spark, d).select("ticker", "window_start", "close")
+
+
 def _places(df, *values: str, places: int = 4):
     """Rounded values; of prices near 100,000 a double's recurrence has 4 sure decimals."""
     return df.select("ticker", "window_start", *[F.round(v, places).alias(v) for v in values])
@@ -57,7 +62,7 @@ def _places(df, *values: str, places: int = 4):
     SELECT ticker, CAST(window_start AS BIGINT) AS window_start, round(y, 4) AS value FROM e""",
 )
 def _(spark, d):
-    return _places(ind.ema(m.day_bars(spark, d), 10, interval_ns=DAY_NS), "value")
+    return _places(ind.ema(_closes(spark, d), 10, interval_ns=DAY_NS), "value")
 
 
 @query(
@@ -72,7 +77,7 @@ def _(spark, d):
     FROM g JOIN diff USING (ticker, rn)""",
 )
 def _(spark, d):
-    return _places(ind.macd(m.day_bars(spark, d), interval_ns=DAY_NS), "value", "signal", "histogram")
+    return _places(ind.macd(_closes(spark, d), interval_ns=DAY_NS), "value", "signal", "histogram")
 
 
 _RSI = f"""WITH RECURSIVE {_SERIES}, ch AS (SELECT ticker, rn - 1 AS rn, window_start,
@@ -91,13 +96,13 @@ _RSI = f"""WITH RECURSIVE {_SERIES}, ch AS (SELECT ticker, rn - 1 AS rn, window_
 
 @query("win04_rsi", _RSI)
 def _(spark, d):
-    return _places(ind.rsi(m.day_bars(spark, d), 18, interval_ns=DAY_NS), "value", places=6)
+    return _places(ind.rsi(_closes(spark, d), 18, interval_ns=DAY_NS), "value", places=6)
 
 
 @query("win04_rsi_blocks", _RSI)
 def _(spark, d):
     # Blocks of 7 bars: the seed of 18 changes spans three of them.
-    out = ind.rsi(m.day_bars(spark, d), 18, interval_ns=DAY_NS, block=7)
+    out = ind.rsi(_closes(spark, d), 18, interval_ns=DAY_NS, block=7)
     return _places(out, "value", places=6)
 
 
@@ -106,7 +111,7 @@ _SMALL = _SERIES.replace("SELECT ticker, window_start, close,", "SELECT ticker,
 
 
 def _small(spark, d):
-    return m.day_bars(spark, d).withColumn("close", F.col("close") / 1000)
+    return _closes(spark, d).withColumn("close", F.col("close") / 1000)
 
 
 @query(
