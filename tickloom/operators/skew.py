@@ -93,7 +93,7 @@ def with_branches(
 ) -> DataFrame:
     """Add ``_blk`` and ``_pos`` as :func:`with_blocks`, in one shuffle for whole branches of blocks.
 
-    ``block`` is the most rows that a block has. A branch has 4096 blocks, or fewer where those
+    ``_end`` is true on a block's last row. ``block`` is the most rows that a block has. A branch has 4096 blocks, or fewer where those
     could have more than ``BRANCH_ROWS`` rows; ``_branch`` and ``_node`` tell where a row is in the
     tree of :func:`combined_before`. With ``ordinal``, also adds ``_ord``, the position within the key.
     """
@@ -103,7 +103,10 @@ def with_branches(
         in_branch = Window.partitionBy(by, "_branch").orderBy("_node", "_blk", time)
         rows = _with_offset(rows, [by], "_branch")
         rows = rows.withColumn("_ord", F.col("_offset") + F.row_number().over(in_branch) - 1).drop("_offset")
-    return rows.withColumn("_pos", F.row_number().over(in_block(by, time)).cast("bigint") - 1)
+    run = in_block(by, time)
+    return rows.withColumns(
+        {"_pos": F.row_number().over(run).cast("bigint") - 1, "_end": F.lead(F.lit(1)).over(run).isNull()}
+    )
 
 
 def _in_tree(rows: DataFrame, by: str, place: str, bits: int = 2 * FAN_BITS) -> DataFrame:
@@ -212,13 +215,12 @@ def states_before(
     stretches in a row. Also adds ``_opens``, true in a key's first block. Neither rows nor
     summaries of a key meet in one task: see :func:`combined_before`.
     """
-    ends = F.lead(F.lit(1)).over(in_block(by, time)).isNull()
-    rows = df.withColumn("_so_far", F.struct(*summary)).withColumn("_s", F.when(ends, F.col("_so_far")))
+    rows = df.withColumn("_so_far", F.struct(*summary)).withColumn("_s", F.when(F.col("_end"), F.col("_so_far")))
     found = combined_before(rows, by, "_blk", combine, (time,))
     before, own = F.col("_before"), F.col("_so_far")
     state = F.when(before.isNull(), start(own)).otherwise(step(start(before), before))
     return found.withColumn("_state", state).withColumn("_opens", before.isNull()).drop(
-        "_s", "_so_far", "_before", "_branch", "_node"
+        "_s", "_so_far", "_before", "_branch", "_node", "_end"
     )
 
 

@@ -93,11 +93,19 @@ def record_field(
         ]
         present = F.try_variant_get(inside, "$", "map<string,variant>").isNotNull()
         return F.when(present, F.struct(*parts))
-    read = _read(record, names, field.dataType.simpleString())
-    if isinstance(field.dataType, T.VariantType):
-        # A JSON null read as a variant is a value; in a column it is NULL, as for other types.
-        return F.when(~F.is_variant_null(read), read)
-    return read
+    return _settled(_read(record, names, field.dataType.simpleString()), field.dataType)
+
+
+def _settled(read: Column, kind: T.DataType) -> Column:
+    """A JSON null read as a variant is a value; in a column, a list or an object it is NULL, as for other types."""
+    if "variant" not in kind.simpleString():
+        return read
+    if isinstance(kind, T.ArrayType):
+        return F.transform(read, lambda v: _settled(v, kind.elementType))
+    if isinstance(kind, T.StructType):
+        parts = [_settled(read[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(read.isNotNull(), F.struct(*parts))
+    return F.when(~F.is_variant_null(read), read) if isinstance(kind, T.VariantType) else read
 
 
 def read_records(
